@@ -1,0 +1,6 @@
+"""Streaming.
+
+The analysed workload is batch only: its inputs are static tables, and its
+windows are row-count windows over ordered series, which Structured Streaming
+does not offer without custom state.  No streaming operator is provided.
+"""
