@@ -14,3 +14,43 @@ def parse_date(c: Column, fmt: str = STRICT_FORMAT) -> Column:
     s = F.trim(c.cast("string"))
     ok = s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$") if fmt == STRICT_FORMAT else F.lit(True)
     return F.when(ok, F.try_to_date(s, fmt))
+
+
+# Accepted layouts of the multi-format normaliser, tried in this order
+# after '.' and '-' separators are rewritten to '/': month first, then day first,
+# then year first.
+NORMALIZE_FORMATS = ["M/d/yyyy", "d/M/yyyy", "yyyy/M/d"]
+TWO_DIGIT_YEAR_FORMATS = ["M/d/yy", "d/M/yy"]
+
+
+def normalize_date(c: Column) -> Column:
+    """Multi-format date normaliser.
+
+    Typed dates/timestamps pass through.  Text is trimmed, a time part after a
+    space or ``T`` is dropped, separators ``.``/``-`` become ``/``; then month-first,
+    day-first and year-first layouts are tried; 2-digit years come last.  A
+    value none of them accepts is NULL.
+    """
+    s = F.trim(c.cast("string"))
+    s = F.regexp_replace(s, r"^(\S+)[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "$1")
+    s = F.regexp_replace(s, r"[.\-]", "/")
+    four = s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$") | s.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$")
+    two = s.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$")
+    tries = [F.when(four, F.try_to_date(s, f)) for f in NORMALIZE_FORMATS]
+    short = F.coalesce(*[F.when(two, F.try_to_date(s, f)) for f in TWO_DIGIT_YEAR_FORMATS])
+    # two-digit years pivot like POSIX strptime: 00-68 -> 20xx, 69-99 -> 19xx
+    tries.append(F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short))
+    return F.coalesce(*tries)
+
+
+def normalize_date_sql(c: str) -> str:
+    """The same rules in DuckDB SQL (oracle side)."""
+    s = (f"regexp_replace(regexp_replace(trim(CAST({c} AS VARCHAR)), "
+         f"'^(\\S+)[ T]\\d{{1,2}}:\\d{{2}}(:\\d{{2}}(\\.\\d+)?)?$', '\\1'), '[.\\-]', '/', 'g')")
+    four = f"(regexp_full_match({s}, '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}') OR regexp_full_match({s}, '\\d{{4}}/\\d{{1,2}}/\\d{{1,2}}'))"
+    two = f"regexp_full_match({s}, '\\d{{1,2}}/\\d{{1,2}}/\\d{{2}}')"
+    fmts = {"M/d/yyyy": "%m/%d/%Y", "d/M/yyyy": "%d/%m/%Y", "yyyy/M/d": "%Y/%m/%d",
+            "M/d/yy": "%m/%d/%y", "d/M/yy": "%d/%m/%y"}
+    parts = [f"CASE WHEN {four} THEN CAST(try_strptime({s}, '{fmts[f]}') AS DATE) END" for f in NORMALIZE_FORMATS]
+    parts += [f"CASE WHEN {two} THEN CAST(try_strptime({s}, '{fmts[f]}') AS DATE) END" for f in TWO_DIGIT_YEAR_FORMATS]
+    return f"COALESCE({', '.join(parts)})"

@@ -31,12 +31,13 @@ def detect_format(path: str) -> str:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
-               schema: T.StructType | str | None = None, header: bool = True) -> DataFrame:
+               schema: T.StructType | str | None = None, header: bool = True,
+               multiline: bool = False) -> DataFrame:
     """Read a table by extension.  Unknown formats raise instead of returning nothing.
 
     CSV without a schema is read as all-string columns (type inference is a separate,
-    single aggregation pass, see ``operators.clean.infer_types``).  JSON files are whole
-    documents (``multiLine``).
+    single aggregation pass, see ``operators.clean.infer_types``).  JSON is read as
+    JSON lines (splittable); ``multiline=True`` reads each file as one document.
     """
     fmt = fmt or detect_format(path)
     reader = spark.read
@@ -45,7 +46,7 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     if fmt == "csv":
         df = reader.option("header", header).option("mode", "PERMISSIVE").csv(path)
     elif fmt == "json":
-        df = reader.option("multiLine", True).json(path)
+        df = reader.option("multiLine", multiline).json(path)
     elif fmt == "parquet":
         df = reader.parquet(path)
     else:
