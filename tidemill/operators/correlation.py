@@ -24,33 +24,53 @@ def pair_corr_expr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(xa, xb), F.when(den != 0, den))
 
 
-def _lit(s: str) -> Column:
-    return F.lit(s)
+def _entries(cols, upper_only, include_diagonal):
+    out = []
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            out.append((i, j))
+            if not upper_only:
+                out.append((j, i))
+    if include_diagonal:
+        out += [(i, i) for i in range(len(cols))]
+    return out
+
+
+def _null_free(df: DataFrame, cols: Sequence[str]) -> bool:
+    row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"m{k}") for k, c in enumerate(cols)]).first()
+    return all(row[f"m{k}"] == 0 for k in range(len(cols)))
 
 
 def corr_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = True,
               upper_only: bool = False) -> DataFrame:
-    """``(col_a, col_b, i, j, r)`` for every ordered pair (or ``i < j`` with ``upper_only``)."""
+    """``(col_a, col_b, i, j, r)`` for every ordered pair (or ``i < j`` with ``upper_only``).
+
+    Null-free columns use Spark ML's ``Correlation`` (one distributed Gramian pass,
+    cost linear in rows, c x c result); columns with nulls use pairwise-complete
+    aggregates (three per pair).  Zero variance gives NULL.
+    """
     cols = list(cols)
     if len(cols) > MAX_MATRIX_COLUMNS:
         raise ValueError(f"correlation matrix limited to {MAX_MATRIX_COLUMNS} columns, got {len(cols)}")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    aggs = [pair_corr_expr(cols[i], cols[j]).alias(f"__r{i}_{j}") for i, j in pairs]
-    diag = [pair_corr_expr(c, c).alias(f"__d{i}") for i, c in enumerate(cols)] if include_diagonal else []
-    one = df.agg(*(aggs + diag)) if (aggs or diag) else None
-    entries = []
-    for i, j in pairs:
-        entries.append((cols[i], cols[j], i, j, f"__r{i}_{j}"))
-        if not upper_only:
-            entries.append((cols[j], cols[i], j, i, f"__r{i}_{j}"))
-    if include_diagonal:
-        entries += [(c, c, i, i, f"__d{i}") for i, c in enumerate(cols)]
-    args = []
-    for a, b, i, j, name in entries:
-        args += [_lit(a), _lit(b), F.lit(i), F.lit(j), F.col(name)]
-    return one.select(F.inline(F.array(*[F.struct(
-        args[k].alias("col_a"), args[k + 1].alias("col_b"), args[k + 2].alias("i"),
-        args[k + 3].alias("j"), args[k + 4].alias("r")) for k in range(0, len(args), 5)])))
+    spark = df.sparkSession
+    entries = _entries(cols, upper_only, include_diagonal)
+    schema = "col_a string, col_b string, i int, j int, r double"
+    if cols and _null_free(df, cols):
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=cols, outputCol="__v").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+        mat = Correlation.corr(vec, "__v").first()[0].toArray()
+        rows = []
+        for i, j in entries:
+            v = float(mat[i][j])
+            rows.append((cols[i], cols[j], i, j, None if v != v else v))
+        return spark.createDataFrame(rows, schema)
+    pairs = sorted({(min(i, j), max(i, j)) for i, j in entries})
+    one = df.agg(*[pair_corr_expr(cols[i], cols[j]).alias(f"__r{i}_{j}") for i, j in pairs])
+    structs = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(i).alias("i"),
+                        F.lit(j).alias("j"), F.col(f"__r{min(i, j)}_{max(i, j)}").alias("r")) for i, j in entries]
+    return one.select(F.inline(F.array(*structs)))
 
 
 def top_correlates(df: DataFrame, target: str, cols: Sequence[str] | None = None, top_n: int = 15) -> DataFrame:

@@ -57,7 +57,8 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
     prob = (joint.withColumn("n", F.sum("nxy").over(wf))
             .withColumn("nx", F.sum("nxy").over(wf.partitionBy("feature", "bx")))
             .withColumn("ny", F.sum("nxy").over(wf.partitionBy("feature", "by"))))
-    term = (F.col("nxy") / F.col("n")) * F.ln(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
+    nxy, n = F.col("nxy").cast("double"), F.col("n").cast("double")
+    term = (nxy / n) * F.ln(nxy * n / (F.col("nx").cast("double") * F.col("ny").cast("double")))
     return prob.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 

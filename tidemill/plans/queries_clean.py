@@ -58,7 +58,7 @@ def q_csv_roundtrip(spark, sf):
 
 
 @register("profile_missing", with_fixtures(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, COUNT(*) - COUNT({c}) AS n_missing FROM dirty HAVING COUNT(*) - COUNT({c}) > 0"
+    f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS n_missing FROM dirty HAVING COUNT(*) - COUNT({c}) > 0"
     for c in DIRTY_COLS), "dirty"))
 def q_profile_missing(spark, sf):
     """Missing cells per column, only columns that have any."""
@@ -134,7 +134,7 @@ RATIO = 2 / 3
 
 
 @register("drop_sparse_columns", with_fixtures(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, COUNT({c}) AS n_valid, COUNT(*) AS n_rows, COUNT({c}) < COUNT(*) * {RATIO!r} AS dropped "
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS n_valid, COUNT(*) AS n_rows, COUNT({c}) < COUNT(*) * {RATIO!r} AS dropped "
     f"FROM dirty" for c in DIRTY_COLS), "dirty"))
 def q_drop_sparse_columns(spark, sf):
     """Per column valid-cell count against rows x 2/3 and the drop decision."""
@@ -192,7 +192,7 @@ def q_to_numeric(spark, sf):
 
 def _infer_sql() -> str:
     parts = [
-        "SELECT 'pos' AS column, 'int' AS current, CASE WHEN COALESCE(bool_and(pos % 1 = 0), true) THEN 'int' "
+        "SELECT 'pos' AS \"column\", 'int' AS current, CASE WHEN COALESCE(bool_and(pos % 1 = 0), true) THEN 'int' "
         "ELSE 'float' END AS suggested FROM dirty",
         "SELECT 'qty', 'float', CASE WHEN COALESCE(bool_and(qty % 1 = 0), true) THEN 'int' ELSE 'float' END FROM dirty",
     ]

@@ -194,7 +194,7 @@ LAGS = (1, 2, 3, 5, 21)
 WINDOWS = (5, 20)
 
 
-def feature_matrix_sql() -> str:
+def feature_matrix_sql(round_result: bool = True) -> str:
     cols = ["adj_close", "volume", "log_return"]
     lag_exprs = [f"lag({c}, {k}) OVER (ORDER BY date) AS {c}_lag{k}" for c in cols for k in LAGS]
     roll = []
@@ -224,6 +224,8 @@ def feature_matrix_sql() -> str:
                        AND adj_close > 0) WHERE log_return IS NOT NULL))
     WHERE {notnull}))
 WHERE target_next IS NOT NULL"""
+    if not round_result:
+        return body, ordered
     return rounded(with_fixtures(body, "daily"), ordered + ["y"])
 
 
