@@ -24,6 +24,10 @@ def is_numeric(dt: T.DataType) -> bool:
     return isinstance(dt, _NUMERIC)
 
 
+# Fixed value: proleptic Gregorian ordinal of 1970-01-01 (0001-01-01 is day 1).
+ORDINAL_OFFSET = 719163
+
+
 def clean_date(df: DataFrame, column: str, file_order: Sequence[str], fmt: str = STRICT_FORMAT,
                mode: str = "auto") -> DataFrame:
     """Parse ``column`` (bad -> null), fill missing dates by linear interpolation of day
@@ -34,9 +38,12 @@ def clean_date(df: DataFrame, column: str, file_order: Sequence[str], fmt: str =
     date holding a large share of the rows is combined map-side, not in one task.
     """
     others = [c for c in df.columns if c != column]
-    parsed = df.withColumn("__day", F.unix_date(parse_date(F.col(column), fmt)).cast("double"))
+    # day numbers count from 0001-01-01 (day 1) so half-even rounding sees the same parity
+    day = F.unix_date(parse_date(F.col(column), fmt)) + ORDINAL_OFFSET
+    parsed = df.withColumn("__day", day.cast("double"))
     filled = interpolate(parsed, ["__day"], file_order, limit=None, mode=mode, round_half_even=True)
-    dated = filled.withColumn(column, F.date_from_unix_date(F.col("__day").cast("int"))).drop("__day")
+    dated = filled.withColumn(column, F.date_from_unix_date((F.col("__day") - ORDINAL_OFFSET).cast("int"))) \
+        .drop("__day")
     rank = F.struct(*[F.col(c) for c in file_order])
     first = dated.groupBy(column).agg(F.min_by(F.struct(*[F.col(c) for c in others]), rank).alias("__row"))
     out = first.select(column, "__row.*").select(*df.columns)
@@ -203,11 +210,19 @@ def convert_column(c: Column, dtype: str | Callable, errors: str = "raise",
 
 
 def convert_types(df: DataFrame, mapping: Mapping[str, str | Callable] | tuple, errors: str = "raise") -> DataFrame:
-    """Bulk conversion in one ``select``: ``{col: dtype}`` or ``([cols], dtype)``."""
+    """Bulk conversion in one ``select``: ``{col: dtype}`` or ``([cols], dtype)``; a dtype may be
+    ``(callable, return_type)`` for a vectorised user function."""
     if isinstance(mapping, tuple):
         cols, dtype = mapping
         mapping = {c: dtype for c in cols}
-    exprs = {c: convert_column(F.col(c), t, errors) for c, t in mapping.items() if c in df.columns}
+    exprs = {}
+    for c, t in mapping.items():
+        if c not in df.columns:
+            continue
+        if isinstance(t, tuple):  # (callable, declared return type)
+            exprs[c] = convert_column(F.col(c), t[0], errors, return_type=t[1])
+        else:
+            exprs[c] = convert_column(F.col(c), t, errors)
     return df.withColumns(exprs)
 
 

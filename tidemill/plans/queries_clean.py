@@ -106,7 +106,7 @@ def q_normalize_date(spark, sf):
 def _clean_date_sql() -> str:
     base = """SELECT *, row_number() OVER (ORDER BY pos) - 1 AS rn,
   CAST(date_diff('day', DATE '1970-01-01', CASE WHEN regexp_full_match(trim(date_s), '\\d{1,2}/\\d{1,2}/\\d{4}')
-       THEN CAST(try_strptime(trim(date_s), '%m/%d/%Y') AS DATE) END) AS DOUBLE) AS o FROM dirty"""
+       THEN CAST(try_strptime(trim(date_s), '%m/%d/%Y') AS DATE) END) + 719163 AS DOUBLE) AS o FROM dirty"""
     nb = f"""SELECT *,
   last_value(CASE WHEN o IS NOT NULL THEN rn END IGNORE NULLS) OVER (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p0,
   last_value(o IGNORE NULLS) OVER (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v0,
@@ -116,7 +116,7 @@ FROM ({base})"""
     inner = "CASE WHEN p1 = p0 THEN v0 ELSE v0 + (v1 - v0) * (rn - p0) / (p1 - p0) END"
     filled = (f"SELECT pos, price_s, qty, flag_s, note, COALESCE(o, round_even(CASE WHEN p0 IS NOT NULL AND p1 IS NOT NULL "
               f"THEN {inner} WHEN p0 IS NOT NULL THEN v0 END, 0)) AS o FROM ({nb})")
-    dated = f"SELECT pos, price_s, qty, flag_s, note, DATE '1970-01-01' + CAST(o AS INTEGER) AS date_s FROM ({filled})"
+    dated = f"SELECT pos, price_s, qty, flag_s, note, DATE '1970-01-01' + CAST(o - 719163 AS INTEGER) AS date_s FROM ({filled})"
     return rounded(with_fixtures(
         f"SELECT date_s, pos, price_s, qty, flag_s, note FROM (SELECT *, row_number() OVER "
         f"(PARTITION BY date_s ORDER BY pos) AS k FROM ({dated})) WHERE k = 1", "dirty"), ["qty"])

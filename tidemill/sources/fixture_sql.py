@@ -73,9 +73,20 @@ def with_fixtures(body: str, *names: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-def rounded(sql: str, doubles: list[str], digits: int = 6) -> str:
+def sig_round_sql(c: str, bits: int = 30) -> str:
+    """DuckDB twin of ``catalog.sig_round`` (significant bits, exact scaling)."""
+    x = f'CAST("{c}" AS DOUBLE)'
+    e0 = f"floor(log2(abs({x})))"
+    e = (f"(CASE WHEN pow(2.0, {e0} + 1) <= abs({x}) THEN {e0} + 1 "
+         f"WHEN pow(2.0, {e0}) > abs({x}) THEN {e0} - 1 ELSE {e0} END)")
+    sc = f"pow(2.0, {bits - 1} - {e})"
+    return (f"CASE WHEN {x} IS NULL OR abs({x}) < 1e-200 OR isnan({x}) OR isinf({x}) THEN {x} "
+            f"ELSE round({x} * {sc}) / {sc} END + 0.0")
+
+
+def rounded(sql: str, doubles: list[str], bits: int = 30) -> str:
     """Round the listed floating columns exactly like ``catalog.round_doubles``."""
     if not doubles:
         return sql
-    rep = ", ".join(f"round(CAST(\"{c}\" AS DOUBLE), {digits}) + 0.0 AS \"{c}\"" for c in doubles)
+    rep = ", ".join(f'{sig_round_sql(c, bits)} AS "{c}"' for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
