@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.series import DEFAULT_CHUNK_ROWS, known_neighbours, ordered_columns
+from tidemill.operators.series import known_neighbours, ordered_columns, plan_series
 
 
 def _frame(w, n: int):
@@ -33,7 +33,7 @@ def rolling_std_expr(c: str, w, n: int) -> Column:
 
 def lag_features(df: DataFrame, cols: Sequence[str], lags: Sequence[int], order_by: Sequence[str],
                  keys: Sequence[str] | None = None, mode: str = "auto",
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 chunk_rows: int | None = None) -> DataFrame:
     """``{col}_lag{k}`` for every column and lag, in one window operator."""
     def build(w):
         return {f"{c}_lag{k}": F.lag(F.col(c), k).over(w) for c in cols for k in lags}
@@ -42,7 +42,7 @@ def lag_features(df: DataFrame, cols: Sequence[str], lags: Sequence[int], order_
 
 def rolling_features(df: DataFrame, cols: Sequence[str], windows: Sequence[int], order_by: Sequence[str],
                      keys: Sequence[str] | None = None, stats: Sequence[str] = ("mean", "std"),
-                     mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                     mode: str = "auto", chunk_rows: int | None = None) -> DataFrame:
     """``{col}_roll_mean_{w}`` / ``{col}_roll_std_{w}`` (sample std), null until ``w`` values."""
     def build(w):
         out = {}
@@ -58,7 +58,7 @@ def rolling_features(df: DataFrame, cols: Sequence[str], windows: Sequence[int],
 
 
 def log_return(df: DataFrame, price: str, order_by: Sequence[str], keys: Sequence[str] | None = None,
-               out: str = "log_return", mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+               out: str = "log_return", mode: str = "auto", chunk_rows: int | None = None) -> DataFrame:
     """Keep rows with a positive price, then ``ln(p / p[-1])`` (null on the first row)."""
     pos = df.where(F.col(price) > 0)
     return ordered_columns(pos, order_by, keys,
@@ -68,7 +68,7 @@ def log_return(df: DataFrame, price: str, order_by: Sequence[str], keys: Sequenc
 
 def next_step_target(df: DataFrame, col: str, order_by: Sequence[str], keys: Sequence[str] | None = None,
                      out: str = "target_next", mode: str = "auto",
-                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                     chunk_rows: int | None = None) -> DataFrame:
     """``lead(col, 1)``; the last row of each series (no next value) is dropped."""
     res = ordered_columns(df, order_by, keys, lambda w: {out: F.lead(F.col(col), 1).over(w)},
                           back=0, fwd=1, mode=mode, chunk_rows=chunk_rows)
@@ -76,7 +76,7 @@ def next_step_target(df: DataFrame, col: str, order_by: Sequence[str], keys: Seq
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], order_by: Sequence[str], keys: Sequence[str] | None = None,
-                 mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 mode: str = "auto", chunk_rows: int | None = None) -> DataFrame:
     """Carry the last known value forward; leading nulls stay null."""
     nb = known_neighbours(df, order_by, keys, cols, mode=mode, chunk_rows=chunk_rows)
     return nb.withColumns({c: F.col(f"__prev_{c}.val") for c in cols}).drop(
@@ -84,7 +84,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order_by: Sequence[str], ke
 
 
 def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence[str], keys: Sequence[str] | None = None,
-                limit: int | None = None, mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                limit: int | None = None, mode: str = "auto", chunk_rows: int | None = None,
                 round_half_even: bool = False) -> DataFrame:
     """Linear interpolation by row position.
 
@@ -117,8 +117,9 @@ def interpolate(df: DataFrame, cols: Sequence[str], order_by: Sequence[str], key
 
 
 def pct_change(df: DataFrame, col: str, order_by: Sequence[str], keys: Sequence[str] | None = None,
-               out: str = "pct_change", mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+               out: str = "pct_change", mode: str = "auto", chunk_rows: int | None = None) -> DataFrame:
     """``x / x[-1] - 1`` after carrying the last known value forward ([1,_,2] -> [_,0,1])."""
+    mode = plan_series(df, order_by, keys, mode, chunk_rows)
     ff = forward_fill(df.withColumn("__ff", F.col(col)), ["__ff"], order_by, keys, mode=mode, chunk_rows=chunk_rows)
     res = ordered_columns(ff, order_by, keys,
                           lambda w: {out: F.try_divide(F.col("__ff"), F.lag("__ff", 1).over(w)) - 1},
@@ -128,8 +129,9 @@ def pct_change(df: DataFrame, col: str, order_by: Sequence[str], keys: Sequence[
 
 def volatility(df: DataFrame, price: str, order_by: Sequence[str], keys: Sequence[str] | None = None,
                window: int = 30, periods: int = 252, mode: str = "auto",
-               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+               chunk_rows: int | None = None) -> DataFrame:
     """Annualised volatility in percent: ``std_w(pct_change) * sqrt(periods) * 100``."""
+    mode = plan_series(df, order_by, keys, mode, chunk_rows)
     r = pct_change(df, price, order_by, keys, out="ret", mode=mode, chunk_rows=chunk_rows)
     return ordered_columns(r, order_by, keys,
                            lambda w: {"volatility": rolling_std_expr("ret", w, window) * math.sqrt(periods) * 100},
@@ -138,7 +140,7 @@ def volatility(df: DataFrame, price: str, order_by: Sequence[str], keys: Sequenc
 
 def moving_averages(df: DataFrame, price: str, order_by: Sequence[str], keys: Sequence[str] | None = None,
                     windows: Sequence[int] = (50, 200), mode: str = "auto",
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int | None = None) -> DataFrame:
     return ordered_columns(df, order_by, keys,
                            lambda w: {f"ma{n}": rolling_mean_expr(price, w, n) for n in windows},
                            back=max(windows) - 1, fwd=0, mode=mode, chunk_rows=chunk_rows)
@@ -146,7 +148,7 @@ def moving_averages(df: DataFrame, price: str, order_by: Sequence[str], keys: Se
 
 def rolling_corr(df: DataFrame, target: str, others: Sequence[str], order_by: Sequence[str],
                  keys: Sequence[str] | None = None, window: int = 90, mode: str = "auto",
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 chunk_rows: int | None = None) -> DataFrame:
     """Rolling Pearson r over ``window`` rows after dropping rows with any null in the
     used columns; null until ``window`` rows, and null when a variance is zero."""
     clean = df.na.drop(subset=[target, *others])
@@ -172,7 +174,7 @@ def tail_n(df: DataFrame, n: int, order_by: Sequence[str], keys: Sequence[str] |
 
 
 def order_check(df: DataFrame, ts: str, row_order: Sequence[str], keys: Sequence[str] | None = None,
-                mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                mode: str = "auto", chunk_rows: int | None = None) -> DataFrame:
     """Count rows whose ``ts`` is smaller than the previous row's in ``row_order`` (file order)."""
     flagged = ordered_columns(df.select(*(keys or []), *dict.fromkeys([ts, *row_order])), row_order, keys,
                               lambda w: {"__back": (F.col(ts) < F.lag(F.col(ts), 1).over(w)).cast("int")},

@@ -131,7 +131,7 @@ def cv_rmse(indexed: DataFrame, feature_cols: Sequence[str], model: str, params:
 
 
 def tune(matrix: DataFrame, feature_cols: Sequence[str], models: Sequence[str] = MODELS, n_trials: int = 50,
-         spec: FoldSpec = FoldSpec(), n_cv_folds: int = 3, parallelism: int = 4, order_by: str = "date",
+         spec: FoldSpec = FoldSpec(), n_cv_folds: int = 3, parallelism: int = 2, order_by: str = "date",
          seed: int = SEED) -> DataFrame:
     """Random search, scored on the last ``n_cv_folds`` folds *before* the hold-out fold.
 
@@ -166,12 +166,13 @@ def best_params(tuned: DataFrame) -> dict:
 
 def train_models(matrix: DataFrame, feature_cols: Sequence[str], prices: DataFrame,
                  models: Sequence[str] = MODELS, params: dict | None = None, spec: FoldSpec = FoldSpec(),
-                 base_lag: int = 0, order_by: str = "date", parallelism: int = 4):
+                 base_lag: int = 0, order_by: str = "date", parallelism: int = 1):
     """Fit every preset on the hold-out train rows and evaluate on its test rows.
 
     Returns ``(scores, fitted, split)``: ``scores`` has ``model, rmse, r2, dir_accuracy``
     (price space), ``fitted`` maps model -> ``PipelineModel``.  A failing model is
-    skipped.  Presets are fitted concurrently (each fit is its own Spark jobs).
+    skipped.  ``parallelism > 1`` fits presets concurrently; on small data the job scheduler,
+    not the executors, is the bottleneck, so the default is sequential.
     """
     split = holdout_split(matrix, [order_by], spec).persist()
     train, test = split.where("role = 'train'"), split.where("role = 'test'")

@@ -30,6 +30,7 @@ Two physical strategies are chosen per call:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,7 +62,27 @@ def _upto_here(order_by, keys, descending=False):
     return window_spec(order_by, keys, descending).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def resolve_mode(df: DataFrame, keys: Sequence[str] | None, mode: str = "auto") -> str:
+MIN_CHUNK_ROWS = 65_536
+
+
+def series_stats(df: DataFrame, order_by: Sequence[str]) -> tuple[float, float, int] | None:
+    """``(min, max)`` of the leading order column as a number and the row count (one job)."""
+    t = _order_number(df, order_by[0])
+    st = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if not st["n"] or st["lo"] is None:
+        return None
+    return float(st["lo"]), float(st["hi"]), int(st["n"])
+
+
+def auto_chunk_rows(spark, n: int) -> int:
+    """Rows per chunk: enough chunks to occupy every core twice, never above the
+    memory-safe default and not so small that halo copies dominate."""
+    par = spark.sparkContext.defaultParallelism
+    return int(min(DEFAULT_CHUNK_ROWS, max(MIN_CHUNK_ROWS, n // max(1, 2 * par))))
+
+
+def resolve_mode(df: DataFrame, keys: Sequence[str] | None, mode: str = "auto",
+                 n_rows: int | None = None) -> str:
     """Pick ``plain`` or ``chunked``.  ``auto`` runs one small aggregate to decide."""
     if mode in ("plain", "single"):
         return "plain"
@@ -71,11 +92,43 @@ def resolve_mode(df: DataFrame, keys: Sequence[str] | None, mode: str = "auto")
         raise ValueError(f"unknown mode {mode!r}")
     keys = _keys(keys)
     if not keys:
-        return "plain" if df.count() <= SINGLE_MAX_ROWS else "chunked"
+        n = df.count() if n_rows is None else n_rows
+        return "plain" if n <= SINGLE_MAX_ROWS else "chunked"
     biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     return "plain" if biggest <= HOT_KEY_ROWS else "chunked"
 
 
+@dataclass(frozen=True)
+class SeriesPlan:
+    """A resolved strategy that multi-stage pipelines reuse (one planning job in total).
+    ``stats`` bound the leading order column, so they stay valid for filtered subsets."""
+    mode: str
+    stats: tuple | None
+    chunk_rows: int
+
+
+def plan_series(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None, mode: str = "auto",
+                chunk_rows: int | None = None) -> SeriesPlan:
+    return SeriesPlan(*_plan(df, order_by, keys, mode, chunk_rows))
+
+
+def _plan(df: DataFrame, order_by, keys, mode, chunk_rows: int | None):
+    """Resolve the strategy once; returns ``(mode, stats, chunk_rows)``."""
+    if isinstance(mode, SeriesPlan):
+        return mode.mode, mode.stats, mode.chunk_rows
+    keys = _keys(keys)
+    stats = None
+    if mode == "chunked" or (mode == "auto" and not keys):
+        stats = series_stats(df, order_by)
+        n = stats[2] if stats else 0
+        mode = resolve_mode(df, keys, mode, n_rows=n)
+    else:
+        mode = resolve_mode(df, keys, mode)
+    if mode == "chunked" and chunk_rows is None:
+        chunk_rows = auto_chunk_rows(df.sparkSession, stats[2] if stats else 0)
+    return mode, stats, chunk_rows or DEFAULT_CHUNK_ROWS
+
+
 def _order_number(df: DataFrame, c: str) -> Column:
     """A monotone numeric image of the leading order column (time-zone free)."""
     dt = df.schema[c].dataType
@@ -98,17 +151,18 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str], small_rows: int
 
 def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None,
               idx_col: str = "row_idx", mode: str = "auto",
-              target_bucket_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+              target_bucket_rows: int | None = None, stats=None) -> DataFrame:
     """Add a 0-based position in ``order_by`` order (per key).  ``order_by`` must be a total order."""
     keys = _keys(keys)
-    if resolve_mode(df, keys, mode) == "plain":
+    if stats is None or isinstance(mode, SeriesPlan):
+        mode, stats, target_bucket_rows = _plan(df, order_by, keys, mode, target_bucket_rows)
+    if mode == "plain":
         return df.withColumn(idx_col, F.row_number().over(window_spec(order_by, keys)) - 1)
-
+    target_bucket_rows = target_bucket_rows or DEFAULT_CHUNK_ROWS
     t = _order_number(df, order_by[0])
-    stats = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if not stats["n"]:
+    if not stats:
         return df.withColumn(idx_col, F.lit(None).cast("long"))
-    lo, hi, n = float(stats["lo"]), float(stats["hi"]), int(stats["n"])
+    lo, hi, n = stats
     width = max(1.0, (hi - lo + 1.0) * target_bucket_rows / n)
     for _ in range(_MAX_REFINE + 1):
         bucketed = df.withColumn("__bk", F.floor((t - F.lit(lo)) / F.lit(width)).cast("long"))
@@ -128,7 +182,7 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
 
 def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
                     build: Builder, back: int, fwd: int, mode: str = "auto",
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int | None = None) -> DataFrame:
     """Add window columns whose frames reach at most ``back`` rows behind and ``fwd`` ahead.
 
     ``build(w)`` returns ``{name: expression}`` written against an ordered window
@@ -136,11 +190,13 @@ def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
     window operator (one sort).
     """
     keys = _keys(keys)
-    if resolve_mode(df, keys, mode) == "plain":
+    mode, stats, chunk_rows = _plan(df, order_by, keys, mode, chunk_rows)
+    if mode == "plain":
         return df.withColumns(build(window_spec(order_by, keys)))
     if back > chunk_rows or fwd > chunk_rows:
         raise ValueError("window reach exceeds chunk size")
-    idx = row_index(df, order_by, keys, idx_col="__ri", mode="chunked", target_bucket_rows=chunk_rows)
+    idx = row_index(df, order_by, keys, idx_col="__ri", mode="chunked", target_bucket_rows=chunk_rows,
+                    stats=stats)
     ck = F.floor(F.col("__ri") / chunk_rows).cast("long")
     off = F.col("__ri") % chunk_rows
     copies = [F.struct(ck.alias("c"), F.lit(False).alias("h"))]
@@ -156,7 +212,7 @@ def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
 
 
 def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
-                     cols: Sequence[str], mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                     cols: Sequence[str], mode: str = "auto", chunk_rows: int | None = None,
                      pos_col: str = "__pos") -> DataFrame:
     """For each ``c`` add ``__prev_c`` / ``__next_c`` = nearest non-null ``struct(pos, val)``
     at or before / at or after the row, plus the row position ``pos_col``."""
@@ -165,14 +221,16 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
     def kstruct(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.struct(F.col(pos_col).alias("pos"), F.col(c).alias("val")))
 
-    if resolve_mode(df, keys, mode) == "plain":
+    mode, stats, chunk_rows = _plan(df, order_by, keys, mode, chunk_rows)
+    if mode == "plain":
         w = window_spec(order_by, keys)
         df = df.withColumn(pos_col, F.row_number().over(w) - 1)
         before, after = _upto_here([pos_col], keys), _upto_here([pos_col], keys, descending=True)
         df = df.withColumns({f"__prev_{c}": F.last(kstruct(c), True).over(before) for c in cols})
         return df.withColumns({f"__next_{c}": F.last(kstruct(c), True).over(after) for c in cols})
 
-    idx = row_index(df, order_by, keys, idx_col=pos_col, mode="chunked", target_bucket_rows=chunk_rows)
+    idx = row_index(df, order_by, keys, idx_col=pos_col, mode="chunked", target_bucket_rows=chunk_rows,
+                    stats=stats)
     idx = idx.withColumn("__ck", F.floor(F.col(pos_col) / chunk_rows).cast("long"))
     part = keys + ["__ck"]
     idx = idx.withColumns({f"__lp_{c}": F.last(kstruct(c), True).over(_upto_here([pos_col], part))

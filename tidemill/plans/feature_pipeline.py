@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.features import rolling_mean_expr, rolling_std_expr
-from tidemill.operators.series import DEFAULT_CHUNK_ROWS, ordered_columns
+from tidemill.operators.series import ordered_columns, plan_series
 
 INTERNAL_TARGET = "log_return"
 NEXT_TARGET = "target_next"
@@ -33,7 +33,7 @@ class FeatureConfig:
     max_features: int = 30
     selection: bool = True
     mode: str = "auto"
-    chunk_rows: int = DEFAULT_CHUNK_ROWS
+    chunk_rows: int | None = None
     tie_breakers: tuple[str, ...] = field(default_factory=tuple)
 
 
@@ -71,11 +71,12 @@ def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataF
     order = [cfg.date_col, *cfg.tie_breakers]
     keys = list(cfg.keys)
     base = load_series(df, cfg.target_col).where(F.col(cfg.target_col) > 0)
+    plan = plan_series(base, order, keys, cfg.mode, cfg.chunk_rows)  # decided once for all stages
     # 1) internal target (log return) -- one window pass
     with_ret = ordered_columns(
         base, order, keys,
         lambda w: {INTERNAL_TARGET: F.ln(F.col(cfg.target_col) / F.lag(cfg.target_col, 1).over(w))},
-        back=1, fwd=0, mode=cfg.mode, chunk_rows=cfg.chunk_rows).na.drop("any")
+        back=1, fwd=0, mode=plan).na.drop("any")
     # 2) lags of the first numeric columns + target, rolling moments of the target -- one window pass
     key_cols = numeric_columns(with_ret, exclude=[*keys, *cfg.tie_breakers, INTERNAL_TARGET])[: cfg.max_key_columns]
     key_cols.append(INTERNAL_TARGET)
@@ -91,11 +92,10 @@ def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataF
                     out[f"{c}_roll_std_{n}"] = rolling_std_expr(c, w, n)
         return out
     reach = max(max(cfg.lags), max(cfg.rolling_windows) - 1)
-    feats = ordered_columns(with_ret, order, keys, build, back=reach, fwd=0,
-                            mode=cfg.mode, chunk_rows=cfg.chunk_rows).na.drop("any")
+    feats = ordered_columns(with_ret, order, keys, build, back=reach, fwd=0, mode=plan).na.drop("any")
     # 3) next-step target -- one window pass, last row per series dropped
     tgt = ordered_columns(feats, order, keys, lambda w: {NEXT_TARGET: F.lead(INTERNAL_TARGET, 1).over(w)},
-                          back=0, fwd=1, mode=cfg.mode, chunk_rows=cfg.chunk_rows).na.drop(subset=[NEXT_TARGET])
+                          back=0, fwd=1, mode=plan).na.drop(subset=[NEXT_TARGET])
     drop = {NEXT_TARGET, INTERNAL_TARGET, cfg.target_col}
     xcols = [c for c in numeric_columns(tgt, exclude=[*keys, *cfg.tie_breakers]) if c not in drop]
     return tgt.select(*keys, *order, *[F.col(c).cast("float").alias(c) for c in xcols],
