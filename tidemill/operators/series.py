@@ -41,7 +41,6 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 SINGLE_MAX_ROWS = 250_000        # un-keyed series up to this size run in one partition
 HOT_KEY_ROWS = 5_000_000         # keyed series larger than this switch to chunked mode
 BROADCAST_MAX_ROWS = 2_000_000   # side tables above this are shuffle-joined instead
-_MAX_REFINE = 4
 
 Builder = Callable[[Window], dict[str, Column]]
 
@@ -159,25 +158,62 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
     if mode == "plain":
         return df.withColumn(idx_col, F.row_number().over(window_spec(order_by, keys)) - 1)
     target_bucket_rows = target_bucket_rows or DEFAULT_CHUNK_ROWS
-    t = _order_number(df, order_by[0])
     if not stats:
         return df.withColumn(idx_col, F.lit(None).cast("long"))
+    t = _order_number(df, order_by[0])
     lo, hi, n = stats
-    width = max(1.0, (hi - lo + 1.0) * target_bucket_rows / n)
-    for _ in range(_MAX_REFINE + 1):
-        bucketed = df.withColumn("__bk", F.floor((t - F.lit(lo)) / F.lit(width)).cast("long"))
-        counts = bucketed.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__n"))
-        summary = counts.agg(F.max("__n").alias("mx"), F.count(F.lit(1)).alias("nb")).first()
-        # a bucket far above the target is split by a finer width (ties on one
-        # timestamp cannot be split this way; they stay in one spill-able task)
-        if summary["mx"] <= 8 * target_bucket_rows or width <= 1.0:
-            break
-        width = max(1.0, width / 16.0)
-    wb = window_spec(["__bk"], keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__bk", F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
-    joined = _join_small(bucketed, offsets, keys + ["__bk"], int(summary["nb"]), how="inner")
-    inner = window_spec(order_by, keys + ["__bk"])
-    return joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__off")
+    integral = _is_integral(df, order_by[0])
+    span = (hi - lo + 1.0) if integral else (hi - lo)
+    width = max(1.0 if integral else 1e-300, span * target_bucket_rows / n) if span > 0 else 1.0
+    t2 = _order_number(df, order_by[1]) if len(order_by) > 1 and _bucketable(df, order_by[1]) else None
+    bucketed = df.withColumn("__bk", F.floor((t - F.lit(lo)) / F.lit(width)).cast("long"))
+    aggs = [F.count(F.lit(1)).alias("__n"), F.min(t).alias("__tlo"), F.max(t).alias("__thi")]
+    if t2 is not None:
+        aggs += [F.min(t2).alias("__ulo"), F.max(t2).alias("__uhi")]
+    # the bucket table has about rows / target_bucket_rows rows; it is read three times
+    counts = bucketed.groupBy(*keys, "__bk").agg(*aggs).persist()
+    hot_limit = 4 * target_bucket_rows
+    summ = counts.agg(F.count(F.lit(1)).alias("nb"), F.count(F.when(F.col("__n") > hot_limit, 1)).alias("nh")).first()
+    if summ["nh"] == 0:
+        subbed = bucketed.withColumn("__sb", F.lit(0).cast("long"))
+        counts2 = counts.select(*keys, "__bk", F.lit(0).cast("long").alias("__sb"), "__n")
+        n_side = int(summ["nb"])
+    else:
+        # A hot bucket (e.g. one key or one timestamp holding a third of all rows) is split
+        # again: by time range when it spans several instants, else by the first
+        # tie-breaker (all its rows share the instant, so the tie-breaker orders them).
+        k = F.ceil(F.col("__n") / F.lit(target_bucket_rows))
+        by_time = F.col("__thi") > F.col("__tlo")
+        w_time = (F.col("__thi") - F.col("__tlo") + (1.0 if integral else 0.0)) / k
+        hot_cols = [*keys, "__bk", F.col("__tlo"), F.when(by_time, w_time).alias("__wt")]
+        if t2 is not None:
+            w_tie = (F.col("__uhi") - F.col("__ulo") + 1.0) / k
+            hot_cols += [F.col("__ulo"), F.when(~by_time & (F.col("__uhi") > F.col("__ulo")), w_tie).alias("__wu")]
+        hot = counts.where(F.col("__n") > hot_limit).select(*hot_cols)
+        side = F.broadcast(hot) if summ["nh"] <= BROADCAST_MAX_ROWS else hot
+        j = bucketed.join(side, [*keys, "__bk"], "left")
+        sub = F.when(F.col("__wt").isNotNull(), F.floor((t - F.col("__tlo")) / F.col("__wt")))
+        if t2 is not None:
+            sub = sub.when(F.col("__wu").isNotNull(), F.floor((t2 - F.col("__ulo")) / F.col("__wu")))
+        subbed = j.withColumn("__sb", F.coalesce(sub, F.lit(0)).cast("long")).drop("__tlo", "__wt", "__ulo", "__wu")
+        counts2 = subbed.groupBy(*keys, "__bk", "__sb").agg(F.count(F.lit(1)).alias("__n")).persist()
+        n_side = counts2.count()
+    wb = window_spec(["__bk", "__sb"], keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts2.select(*keys, "__bk", "__sb", F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
+    joined = _join_small(subbed, offsets, keys + ["__bk", "__sb"], n_side, how="inner")
+    inner = window_spec(order_by, keys + ["__bk", "__sb"])
+    return joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__sb", "__off")
+
+
+def _is_integral(df: DataFrame, c: str) -> bool:
+    dt = df.schema[c].dataType
+    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.ByteType, T.ShortType,
+                           T.IntegerType, T.LongType))
+
+
+def _bucketable(df: DataFrame, c: str) -> bool:
+    dt = df.schema[c].dataType
+    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType))
 
 
 def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
@@ -248,8 +284,11 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
                         *[F.col(f"__cf_{c}") for c in cols])
     carry = carry.select(*keys, "__ck", *[f"__ci_{c}" for c in cols],
                          *[F.last(f"__cf_{c}", True).over(later).alias(f"__co_{c}") for c in cols])
-    n_chunks = summ.count()
-    joined = _join_small(idx, carry, keys + ["__ck"], n_chunks)
+    if keys:
+        # size unknown without another pass; AQE's runtime size check picks broadcast or shuffle
+        joined = idx.join(carry, on=keys + ["__ck"], how="left")
+    else:
+        joined = _join_small(idx, carry, ["__ck"], stats[2] // chunk_rows + 1)
     out = {}
     for c in cols:
         out[f"__prev_{c}"] = F.coalesce(F.col(f"__lp_{c}"), F.col(f"__ci_{c}"))
