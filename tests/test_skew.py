@@ -30,3 +30,22 @@ def test_hot_key_windows_match_plain(spark):
     b = fe.lag_features(df, ["v"], [1, 4], ["ts", "tie"], keys=["k"], mode="chunked", chunk_rows=64)
     cols = ["k", "tie", "v_lag1", "v_lag4"]
     assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())
+
+
+def test_hybrid_mode_routes_hot_keys(spark, monkeypatch):
+    from tidemill.operators import series
+    monkeypatch.setattr(series, "HOT_KEY_ROWS", 500)
+    df = _skewed(spark).withColumn("k", F.when(F.col("tie") % 3 == 0, F.lit(None)).otherwise(F.col("tie") % 5 + 1))
+    plan = series.plan_series(df, ["ts", "tie"], ["k"], "auto", chunk_rows=64)
+    assert plan.mode == "hybrid" and plan.n_hot == 1  # the NULL key holds a third of the rows
+    a = fe.lag_features(df, ["v"], [1, 2], ["ts", "tie"], keys=["k"], mode="plain")
+    b = fe.lag_features(df, ["v"], [1, 2], ["ts", "tie"], keys=["k"], mode=plan)
+    cols = ["k", "tie", "v_lag1", "v_lag2"]
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted((tuple(r) for r in a.select(cols).collect()), key=key) == \
+        sorted((tuple(r) for r in b.select(cols).collect()), key=key)
+    ia = fe.interpolate(df, ["v"], ["ts", "tie"], keys=["k"], limit=2, mode="plain")
+    ib = fe.interpolate(df, ["v"], ["ts", "tie"], keys=["k"], limit=2, mode=plan)
+    cols = ["k", "tie", "v"]
+    assert sorted((tuple(r) for r in ia.select(cols).collect()), key=key) == \
+        sorted((tuple(r) for r in ib.select(cols).collect()), key=key)

@@ -14,6 +14,11 @@ Two physical strategies are chosen per call:
     keys.  With no keys this is a single-partition window, so it is used only
     for small (already aggregated) series or when asked for explicitly.
 
+``hybrid`` (``auto`` with keys when some series are hot)
+    The hot keys (a small list) are split off with a broadcast semi/anti join;
+    ordinary series take the plain window, hot series the chunked path, and the
+    two results are unioned.
+
 ``chunked``
     Rows are numbered without a global sort: a monotone bucket of the leading
     order column is counted per ``(keys, bucket)``; a prefix sum over that small
@@ -64,6 +69,46 @@ def _upto_here(order_by, keys, descending=False):
 MIN_CHUNK_ROWS = 65_536
 
 
+def _order_number(df: DataFrame, c: str) -> Column:
+    """A monotone numeric image of an order column (time-zone free)."""
+    dt = df.schema[c].dataType
+    col = F.col(c)
+    if isinstance(dt, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)").cast("double")
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(dt, T.NumericType):
+        return col.cast("double")
+    raise TypeError(f"order column {c!r} of type {dt.simpleString()} cannot be bucketed")
+
+
+def _is_integral(df: DataFrame, c: str) -> bool:
+    dt = df.schema[c].dataType
+    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.ByteType, T.ShortType,
+                           T.IntegerType, T.LongType))
+
+
+def _bucketable(df: DataFrame, c: str) -> bool:
+    dt = df.schema[c].dataType
+    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType))
+
+
+def _join_on(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
+             small_rows: int | None = None) -> DataFrame:
+    """Null-safe equi-join (series keys and buckets may be NULL and still form a group,
+    as they do in ``groupBy`` / ``partitionBy``).  ``small`` is broadcast only when its
+    row count is known to be within the limit; otherwise AQE decides at run time."""
+    on = list(on)
+    ren = small.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in small.columns if c not in on])
+    if small_rows is not None and small_rows <= BROADCAST_MAX_ROWS:
+        ren = F.broadcast(ren)
+    cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on]
+    out = big.join(ren, on=cond, how=how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{c}" for c in on])
+
+
 def series_stats(df: DataFrame, order_by: Sequence[str]) -> tuple[float, float, int] | None:
     """``(min, max)`` of the leading order column as a number and the row count (one job)."""
     t = _order_number(df, order_by[0])
@@ -80,118 +125,113 @@ def auto_chunk_rows(spark, n: int) -> int:
     return int(min(DEFAULT_CHUNK_ROWS, max(MIN_CHUNK_ROWS, n // max(1, 2 * par))))
 
 
-def resolve_mode(df: DataFrame, keys: Sequence[str] | None, mode: str = "auto",
-                 n_rows: int | None = None) -> str:
-    """Pick ``plain`` or ``chunked``.  ``auto`` runs one small aggregate to decide."""
-    if mode in ("plain", "single"):
-        return "plain"
-    if mode == "chunked":
-        return "chunked"
-    if mode != "auto":
-        raise ValueError(f"unknown mode {mode!r}")
-    keys = _keys(keys)
-    if not keys:
-        n = df.count() if n_rows is None else n_rows
-        return "plain" if n <= SINGLE_MAX_ROWS else "chunked"
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    return "plain" if biggest <= HOT_KEY_ROWS else "chunked"
-
-
 @dataclass(frozen=True)
 class SeriesPlan:
-    """A resolved strategy that multi-stage pipelines reuse (one planning job in total).
-    ``stats`` bound the leading order column, so they stay valid for filtered subsets."""
+    """A resolved strategy that multi-stage pipelines reuse (planning jobs run once).
+    ``stats`` bound the leading order column, so they stay valid for filtered subsets;
+    ``hot_keys`` lists the series routed to the chunked path in ``hybrid`` mode."""
     mode: str
     stats: tuple | None
     chunk_rows: int
+    hot_keys: DataFrame | None = None
+    n_hot: int = 0
 
 
-def plan_series(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None, mode: str = "auto",
+def plan_series(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None, mode="auto",
                 chunk_rows: int | None = None) -> SeriesPlan:
-    return SeriesPlan(*_plan(df, order_by, keys, mode, chunk_rows))
-
-
-def _plan(df: DataFrame, order_by, keys, mode, chunk_rows: int | None):
-    """Resolve the strategy once; returns ``(mode, stats, chunk_rows)``."""
+    """Decide ``plain`` / ``chunked`` / ``hybrid`` (one or two small aggregate jobs)."""
     if isinstance(mode, SeriesPlan):
-        return mode.mode, mode.stats, mode.chunk_rows
+        return mode
     keys = _keys(keys)
-    stats = None
-    if mode == "chunked" or (mode == "auto" and not keys):
-        stats = series_stats(df, order_by)
-        n = stats[2] if stats else 0
-        mode = resolve_mode(df, keys, mode, n_rows=n)
-    else:
-        mode = resolve_mode(df, keys, mode)
-    if mode == "chunked" and chunk_rows is None:
-        chunk_rows = auto_chunk_rows(df.sparkSession, stats[2] if stats else 0)
-    return mode, stats, chunk_rows or DEFAULT_CHUNK_ROWS
-
-
-def _order_number(df: DataFrame, c: str) -> Column:
-    """A monotone numeric image of the leading order column (time-zone free)."""
-    dt = df.schema[c].dataType
-    col = F.col(c)
-    if isinstance(dt, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dt, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)").cast("double")
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(dt, T.NumericType):
-        return col.cast("double")
-    raise TypeError(f"order column {c!r} of type {dt.simpleString()} cannot be bucketed")
-
-
-def _join_small(big: DataFrame, small: DataFrame, on: list[str], small_rows: int, how: str = "left") -> DataFrame:
-    side = F.broadcast(small) if small_rows <= BROADCAST_MAX_ROWS else small
-    return big.join(side, on=on, how=how)
+    if mode in ("plain", "single"):
+        return SeriesPlan("plain", None, chunk_rows or DEFAULT_CHUNK_ROWS)
+    if mode not in ("auto", "chunked"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "auto" and keys:
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__kn"))
+        summ = per_key.agg(F.count(F.when(F.col("__kn") > HOT_KEY_ROWS, 1)).alias("nh"),
+                           F.sum(F.when(F.col("__kn") > HOT_KEY_ROWS, F.col("__kn"))).alias("rows")).first()
+        if not summ["nh"]:
+            return SeriesPlan("plain", None, chunk_rows or DEFAULT_CHUNK_ROWS)
+        hot = per_key.where(F.col("__kn") > HOT_KEY_ROWS).select(*keys).persist()
+        stats = series_stats(_join_on(df, hot, keys, "left_semi", int(summ["nh"])), order_by)
+        rows = int(summ["rows"])
+        return SeriesPlan("hybrid", stats, chunk_rows or auto_chunk_rows(df.sparkSession, rows), hot, int(summ["nh"]))
+    stats = series_stats(df, order_by)
+    n = stats[2] if stats else 0
+    if mode == "auto" and n <= SINGLE_MAX_ROWS:
+        return SeriesPlan("plain", stats, chunk_rows or DEFAULT_CHUNK_ROWS)
+    return SeriesPlan("chunked", stats, chunk_rows or auto_chunk_rows(df.sparkSession, n))
+
+
+def _split(df: DataFrame, keys: list[str], plan: SeriesPlan) -> tuple[DataFrame, DataFrame, SeriesPlan]:
+    normal = _join_on(df, plan.hot_keys, keys, "left_anti", plan.n_hot)
+    hot = _join_on(df, plan.hot_keys, keys, "left_semi", plan.n_hot)
+    return normal, hot, SeriesPlan("chunked", plan.stats, plan.chunk_rows)
 
 
 def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None,
-              idx_col: str = "row_idx", mode: str = "auto",
-              target_bucket_rows: int | None = None, stats=None) -> DataFrame:
+              idx_col: str = "row_idx", mode="auto", target_bucket_rows: int | None = None,
+              stats=None) -> DataFrame:
     """Add a 0-based position in ``order_by`` order (per key).  ``order_by`` must be a total order."""
     keys = _keys(keys)
-    if stats is None or isinstance(mode, SeriesPlan):
-        mode, stats, target_bucket_rows = _plan(df, order_by, keys, mode, target_bucket_rows)
-    if mode == "plain":
+    if isinstance(mode, SeriesPlan):
+        plan = mode
+    elif mode == "chunked" and stats is not None:
+        plan = SeriesPlan("chunked", stats, target_bucket_rows or DEFAULT_CHUNK_ROWS)
+    else:
+        plan = plan_series(df, order_by, keys, mode, target_bucket_rows)
+    if plan.mode == "plain":
         return df.withColumn(idx_col, F.row_number().over(window_spec(order_by, keys)) - 1)
-    target_bucket_rows = target_bucket_rows or DEFAULT_CHUNK_ROWS
-    if not stats:
+    if plan.mode == "hybrid":
+        normal, hot, sub = _split(df, keys, plan)
+        return row_index(normal, order_by, keys, idx_col, "plain").unionByName(
+            row_index(hot, order_by, keys, idx_col, sub))
+    if not plan.stats:
         return df.withColumn(idx_col, F.lit(None).cast("long"))
+    target = plan.chunk_rows
     t = _order_number(df, order_by[0])
-    lo, hi, n = stats
     integral = _is_integral(df, order_by[0])
-    span = (hi - lo + 1.0) if integral else (hi - lo)
-    width = max(1.0 if integral else 1e-300, span * target_bucket_rows / n) if span > 0 else 1.0
+    pad = 1.0 if integral else 0.0
+    min_w = 1.0 if integral else 1e-300
+    if keys:
+        # per-series bucket width, so many short series do not each span many buckets
+        kst = df.groupBy(*keys).agg(F.min(t).alias("__klo"), F.max(t).alias("__khi"),
+                                    F.count(F.lit(1)).alias("__kn"))
+        based = _join_on(df, kst, keys, "inner")
+        width = F.greatest(F.lit(min_w), (F.col("__khi") - F.col("__klo") + pad) * target / F.col("__kn"))
+        bucketed = based.withColumn("__bk", F.floor((t - F.col("__klo")) / width).cast("long")) \
+            .drop("__klo", "__khi", "__kn")
+    else:
+        lo, hi, n = plan.stats
+        span = hi - lo + pad
+        width = max(min_w, span * target / n) if span > 0 else 1.0
+        bucketed = df.withColumn("__bk", F.floor((t - F.lit(lo)) / F.lit(width)).cast("long"))
     t2 = _order_number(df, order_by[1]) if len(order_by) > 1 and _bucketable(df, order_by[1]) else None
-    bucketed = df.withColumn("__bk", F.floor((t - F.lit(lo)) / F.lit(width)).cast("long"))
     aggs = [F.count(F.lit(1)).alias("__n"), F.min(t).alias("__tlo"), F.max(t).alias("__thi")]
     if t2 is not None:
         aggs += [F.min(t2).alias("__ulo"), F.max(t2).alias("__uhi")]
-    # the bucket table has about rows / target_bucket_rows rows; it is read three times
+    # the bucket table has about rows / target rows (plus one per short series); read three times
     counts = bucketed.groupBy(*keys, "__bk").agg(*aggs).persist()
-    hot_limit = 4 * target_bucket_rows
+    hot_limit = 4 * target
     summ = counts.agg(F.count(F.lit(1)).alias("nb"), F.count(F.when(F.col("__n") > hot_limit, 1)).alias("nh")).first()
     if summ["nh"] == 0:
         subbed = bucketed.withColumn("__sb", F.lit(0).cast("long"))
         counts2 = counts.select(*keys, "__bk", F.lit(0).cast("long").alias("__sb"), "__n")
         n_side = int(summ["nb"])
     else:
-        # A hot bucket (e.g. one key or one timestamp holding a third of all rows) is split
-        # again: by time range when it spans several instants, else by the first
-        # tie-breaker (all its rows share the instant, so the tie-breaker orders them).
-        k = F.ceil(F.col("__n") / F.lit(target_bucket_rows))
+        # A hot bucket (one instant or a narrow time range holding a large share of the
+        # rows) is split again: by time range when it spans several instants, else by
+        # the first tie-breaker (its rows share the instant, so the tie-breaker orders them).
+        k = F.ceil(F.col("__n") / F.lit(target))
         by_time = F.col("__thi") > F.col("__tlo")
-        w_time = (F.col("__thi") - F.col("__tlo") + (1.0 if integral else 0.0)) / k
+        w_time = (F.col("__thi") - F.col("__tlo") + pad) / k
         hot_cols = [*keys, "__bk", F.col("__tlo"), F.when(by_time, w_time).alias("__wt")]
         if t2 is not None:
             w_tie = (F.col("__uhi") - F.col("__ulo") + 1.0) / k
             hot_cols += [F.col("__ulo"), F.when(~by_time & (F.col("__uhi") > F.col("__ulo")), w_tie).alias("__wu")]
         hot = counts.where(F.col("__n") > hot_limit).select(*hot_cols)
-        side = F.broadcast(hot) if summ["nh"] <= BROADCAST_MAX_ROWS else hot
-        j = bucketed.join(side, [*keys, "__bk"], "left")
+        j = _join_on(bucketed, hot, [*keys, "__bk"], "left", int(summ["nh"]))
         sub = F.when(F.col("__wt").isNotNull(), F.floor((t - F.col("__tlo")) / F.col("__wt")))
         if t2 is not None:
             sub = sub.when(F.col("__wu").isNotNull(), F.floor((t2 - F.col("__ulo")) / F.col("__wu")))
@@ -200,24 +240,13 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
         n_side = counts2.count()
     wb = window_spec(["__bk", "__sb"], keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts2.select(*keys, "__bk", "__sb", F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
-    joined = _join_small(subbed, offsets, keys + ["__bk", "__sb"], n_side, how="inner")
+    joined = _join_on(subbed, offsets, keys + ["__bk", "__sb"], "inner", n_side)
     inner = window_spec(order_by, keys + ["__bk", "__sb"])
     return joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__sb", "__off")
 
 
-def _is_integral(df: DataFrame, c: str) -> bool:
-    dt = df.schema[c].dataType
-    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.ByteType, T.ShortType,
-                           T.IntegerType, T.LongType))
-
-
-def _bucketable(df: DataFrame, c: str) -> bool:
-    dt = df.schema[c].dataType
-    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType))
-
-
 def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
-                    build: Builder, back: int, fwd: int, mode: str = "auto",
+                    build: Builder, back: int, fwd: int, mode="auto",
                     chunk_rows: int | None = None) -> DataFrame:
     """Add window columns whose frames reach at most ``back`` rows behind and ``fwd`` ahead.
 
@@ -226,13 +255,17 @@ def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
     window operator (one sort).
     """
     keys = _keys(keys)
-    mode, stats, chunk_rows = _plan(df, order_by, keys, mode, chunk_rows)
-    if mode == "plain":
+    plan = plan_series(df, order_by, keys, mode, chunk_rows)
+    if plan.mode == "plain":
         return df.withColumns(build(window_spec(order_by, keys)))
+    if plan.mode == "hybrid":
+        normal, hot, sub = _split(df, keys, plan)
+        return ordered_columns(normal, order_by, keys, build, back, fwd, "plain").unionByName(
+            ordered_columns(hot, order_by, keys, build, back, fwd, sub))
+    chunk_rows = plan.chunk_rows
     if back > chunk_rows or fwd > chunk_rows:
         raise ValueError("window reach exceeds chunk size")
-    idx = row_index(df, order_by, keys, idx_col="__ri", mode="chunked", target_bucket_rows=chunk_rows,
-                    stats=stats)
+    idx = row_index(df, order_by, keys, idx_col="__ri", mode=plan)
     ck = F.floor(F.col("__ri") / chunk_rows).cast("long")
     off = F.col("__ri") % chunk_rows
     copies = [F.struct(ck.alias("c"), F.lit(False).alias("h"))]
@@ -248,7 +281,7 @@ def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
 
 
 def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
-                     cols: Sequence[str], mode: str = "auto", chunk_rows: int | None = None,
+                     cols: Sequence[str], mode="auto", chunk_rows: int | None = None,
                      pos_col: str = "__pos") -> DataFrame:
     """For each ``c`` add ``__prev_c`` / ``__next_c`` = nearest non-null ``struct(pos, val)``
     at or before / at or after the row, plus the row position ``pos_col``."""
@@ -257,16 +290,19 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
     def kstruct(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.struct(F.col(pos_col).alias("pos"), F.col(c).alias("val")))
 
-    mode, stats, chunk_rows = _plan(df, order_by, keys, mode, chunk_rows)
-    if mode == "plain":
+    plan = plan_series(df, order_by, keys, mode, chunk_rows)
+    if plan.mode == "plain":
         w = window_spec(order_by, keys)
         df = df.withColumn(pos_col, F.row_number().over(w) - 1)
         before, after = _upto_here([pos_col], keys), _upto_here([pos_col], keys, descending=True)
         df = df.withColumns({f"__prev_{c}": F.last(kstruct(c), True).over(before) for c in cols})
         return df.withColumns({f"__next_{c}": F.last(kstruct(c), True).over(after) for c in cols})
-
-    idx = row_index(df, order_by, keys, idx_col=pos_col, mode="chunked", target_bucket_rows=chunk_rows,
-                    stats=stats)
+    if plan.mode == "hybrid":
+        normal, hot, sub = _split(df, keys, plan)
+        return known_neighbours(normal, order_by, keys, cols, "plain", pos_col=pos_col).unionByName(
+            known_neighbours(hot, order_by, keys, cols, sub, pos_col=pos_col))
+    chunk_rows = plan.chunk_rows
+    idx = row_index(df, order_by, keys, idx_col=pos_col, mode=plan)
     idx = idx.withColumn("__ck", F.floor(F.col(pos_col) / chunk_rows).cast("long"))
     part = keys + ["__ck"]
     idx = idx.withColumns({f"__lp_{c}": F.last(kstruct(c), True).over(_upto_here([pos_col], part))
@@ -284,11 +320,9 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
                         *[F.col(f"__cf_{c}") for c in cols])
     carry = carry.select(*keys, "__ck", *[f"__ci_{c}" for c in cols],
                          *[F.last(f"__cf_{c}", True).over(later).alias(f"__co_{c}") for c in cols])
-    if keys:
-        # size unknown without another pass; AQE's runtime size check picks broadcast or shuffle
-        joined = idx.join(carry, on=keys + ["__ck"], how="left")
-    else:
-        joined = _join_small(idx, carry, ["__ck"], stats[2] // chunk_rows + 1)
+    # un-keyed: at most rows / chunk_rows + 1 chunks (known); keyed: AQE sizes the join at run time
+    n_chunks = None if keys else plan.stats[2] // chunk_rows + 1
+    joined = _join_on(idx, carry, keys + ["__ck"], "left", n_chunks)
     out = {}
     for c in cols:
         out[f"__prev_{c}"] = F.coalesce(F.col(f"__lp_{c}"), F.col(f"__ci_{c}"))
