@@ -95,3 +95,13 @@ def test_unknown_format_raises(spark):
     from tidemill.sources.io import read_table
     with pytest.raises(ValueError):
         read_table(spark, "/tmp/x.xlsx")
+
+
+def test_label_codes_distributed_rank_matches_window(spark, monkeypatch):
+    from tidemill.operators import encode
+    df = spark.range(5000).select((F.col("id") * 7919 % 3001).cast("string").alias("s"))
+    small = {r[0]: r[1] for r in encode.value_codes(df, "s", "c")[0].collect()}
+    monkeypatch.setattr(encode, "BROADCAST_MAX_ROWS", 100)
+    monkeypatch.setattr(encode, "RANK_PARTITION_ROWS", 400)
+    big = {r[0]: r[1] for r in encode.value_codes(df, "s", "c")[0].collect()}
+    assert small == big and sorted(big.values()) == list(range(len(big)))

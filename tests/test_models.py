@@ -38,3 +38,10 @@ def test_fit_score_roundtrip(spark):
 def test_pipeline_selection_leak_free_option(spark):
     m, feats = run_pipeline(fx.daily(spark, SF_SMALL), FeatureConfig(max_features=5))
     assert 0 < len(feats) <= 5 and set(feats) <= set(m.columns)
+
+
+def test_params_roundtrip_and_missing_file(spark):
+    path = scratch_path(spark, "params")
+    mo.save_params({"xgboost": {"n_estimators": 120, "learning_rate": 0.1}}, spark, path)
+    assert mo.load_params(spark, path) == {"xgboost": {"learning_rate": 0.1, "n_estimators": 120}}
+    assert mo.load_params(spark, scratch_path(spark, "absent")) == {}

@@ -11,16 +11,38 @@ from tidemill.operators.series import BROADCAST_MAX_ROWS
 MAX_ONEHOT_CATEGORIES = 1000
 
 
-def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Codes ``0..k-1`` in ascending value order; NULL stays NULL.
+RANK_PARTITION_ROWS = 1_000_000
+
 
-    The code table (distinct values) is built by Spark; it is broadcast only when
-    its row count is within the broadcast limit, otherwise shuffle-joined.
+def value_codes(df: DataFrame, col: str, out: str) -> tuple[DataFrame, int]:
+    """``(value, code)`` with codes ``0..k-1`` in ascending value order, and ``k``.
+
+    Up to the broadcast limit the distinct values are ranked in one window.  Above
+    it the ranking is distributed: values are range-partitioned, checkpointed into
+    the shared checkpoint folder (so partition contents are stable on recompute),
+    counted per partition, and each partition adds the prefix sum of the counts
+    before it to a local ``row_number``.
     """
-    out = out or f"{col}_code"
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
     n = values.count()
-    codes = values.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("bigint"))
+    if n <= BROADCAST_MAX_ROWS:
+        return values.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("bigint")), n
+    parts = -(-n // RANK_PARTITION_ROWS)
+    ranged = values.repartitionByRange(parts, col).checkpoint()
+    tagged = ranged.withColumn("__p", F.spark_partition_id())
+    counts = tagged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    offs = counts.select("__p", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    codes = tagged.join(F.broadcast(offs), "__p").withColumn(
+        out, (F.col("__off") + F.row_number().over(Window.partitionBy("__p").orderBy(col)) - 1).cast("bigint"))
+    return codes.select(col, out), n
+
+
+def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """Codes ``0..k-1`` in ascending value order; NULL stays NULL.  The code table is
+    broadcast only when its row count is within the broadcast limit."""
+    out = out or f"{col}_code"
+    codes, n = value_codes(df, col, out)
     side = F.broadcast(codes) if n <= BROADCAST_MAX_ROWS else codes
     return df.join(side, on=col, how="left")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.profile import histogram
-from tidemill.operators.series import BROADCAST_MAX_ROWS, ordered_columns
+from tidemill.operators.series import _join_on, ordered_columns
 
 
 def regression_metrics(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
@@ -60,7 +60,7 @@ def price_reconstruct(preds: DataFrame, prices: DataFrame, date: str = "date", y
     base = base.select(*keys, date, "__b")
     if price_rows is None:
         price_rows = base.count()
-    side = F.broadcast(base) if price_rows <= BROADCAST_MAX_ROWS else base
-    j = preds.select(*keys, date, y, p).join(side, [*keys, date], "inner").where(F.col("__b").isNotNull())
+    j = _join_on(preds.select(*keys, date, y, p), base, [*keys, date], "inner", price_rows) \
+        .where(F.col("__b").isNotNull())
     return j.select(*keys, date, (F.col("__b") * F.exp(y)).alias("actual_price"),
                     (F.col("__b") * F.exp(p)).alias("predicted_price"))

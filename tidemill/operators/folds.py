@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.series import BROADCAST_MAX_ROWS, row_index
+from tidemill.operators.series import _join_on, row_index
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,7 @@ def with_series_counts(indexed: DataFrame, keys: Sequence[str] | None) -> DataFr
         n = indexed.count()
         return indexed.withColumn("__n", F.lit(n).cast("long"))
     counts = indexed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    n_keys = counts.count()
-    side = F.broadcast(counts) if n_keys <= BROADCAST_MAX_ROWS else counts
-    return indexed.join(side, keys)
+    return _join_on(indexed, counts, keys, "inner")  # one row per series; AQE sizes the join
 
 
 def fold_membership(df: DataFrame, order_by: Sequence[str], spec: FoldSpec = FoldSpec(),
@@ -91,7 +89,7 @@ def fold_table(df: DataFrame, order_by: Sequence[str], spec: FoldSpec = FoldSpec
     ts = order_by[0]
     lo_rows = idx.select(*keys, F.col(idx_col).alias("lo"), F.col(ts).alias("start_value"))
     hi_rows = idx.select(*keys, F.col(idx_col).alias("hi"), F.col(ts).alias("end_value"))
-    out = ranges.join(lo_rows, [*keys, "lo"], "left").join(hi_rows, [*keys, "hi"], "left")
+    out = _join_on(_join_on(ranges, lo_rows, [*keys, "lo"], "left"), hi_rows, [*keys, "hi"], "left")
     return out.select(*keys, "fold", "role", F.col("lo").alias("start_idx"), F.col("hi").alias("end_idx"),
                       (F.col("hi") - F.col("lo") + 1).alias("n_rows"), "start_value", "end_value")
 

@@ -166,13 +166,12 @@ def best_params(tuned: DataFrame) -> dict:
 
 def train_models(matrix: DataFrame, feature_cols: Sequence[str], prices: DataFrame,
                  models: Sequence[str] = MODELS, params: dict | None = None, spec: FoldSpec = FoldSpec(),
-                 base_lag: int = 0, order_by: str = "date", parallelism: int = 1):
+                 base_lag: int = 0, order_by: str = "date", parallelism: int = 4):
     """Fit every preset on the hold-out train rows and evaluate on its test rows.
 
     Returns ``(scores, fitted, split)``: ``scores`` has ``model, rmse, r2, dir_accuracy``
     (price space), ``fitted`` maps model -> ``PipelineModel``.  A failing model is
-    skipped.  ``parallelism > 1`` fits presets concurrently; on small data the job scheduler,
-    not the executors, is the bottleneck, so the default is sequential.
+    skipped.  Presets are fitted ``parallelism`` at a time (each fit is its own Spark jobs).
     """
     split = holdout_split(matrix, [order_by], spec).persist()
     train, test = split.where("role = 'train'"), split.where("role = 'test'")
@@ -234,6 +233,28 @@ def permutation_importance(model: PipelineModel, df: DataFrame, feature_cols: Se
         .orderBy(F.col("rmse_increase").desc(), "feature")
 
 
+def save_params(params: dict, spark, path: str) -> str:
+    """Tuned parameters as a small JSON table ``(model, params)`` (one file)."""
+    rows = [(m, json.dumps(p, sort_keys=True)) for m, p in sorted(params.items())]
+    spark.createDataFrame(rows, "model string, params string").coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+def load_params(spark, path: str) -> dict:
+    """Read tuned parameters back; a missing or unreadable file gives ``{}`` (base presets)."""
+    try:
+        return {r["model"]: json.loads(r["params"]) for r in spark.read.schema("model string, params string")
+                .json(path).collect()}
+    except Exception:  # noqa: BLE001 - absent file means "use the base parameters"
+        return {}
+
+
+def save_scores(scores: DataFrame, path: str) -> str:
+    """Model scores (``model, rmse, r2, dir_accuracy``) as a small JSON table."""
+    scores.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
