@@ -137,14 +137,17 @@ def _current_kind(dt: T.DataType) -> str:
     return "str"
 
 
-def infer_types(df: DataFrame, category_ratio: float = 0.05) -> DataFrame:
+def infer_types(df: DataFrame, category_ratio: float = 0.05, exact: bool | None = None) -> DataFrame:
     """``(column, current, suggested)`` from one aggregation over all columns.
 
     numeric -> int when every value is whole, else float; text -> datetime when more
     than 30 % of values contain a date separator and more than 80 % parse; bool when
     every value is one of true/false/0/1; category when distinct / count < 5 %;
-    otherwise str.  An all-null text column is reported as str.
+    otherwise str.  An all-null text column is reported as str.  Distinct counts are
+    exact up to ``EXACT_MAX_ROWS`` rows and HyperLogLog sketches (1 % error) above.
     """
+    from tidemill.operators.stats import exact_ok
+    distinct = F.count_distinct if exact_ok(df, exact) else (lambda c: F.approx_count_distinct(c, 0.01))
     aggs, plan = [], []
     for k, f in enumerate(df.schema.fields):
         c = F.col(f.name)
@@ -157,7 +160,7 @@ def infer_types(df: DataFrame, category_ratio: float = 0.05) -> DataFrame:
             aggs += [F.count(F.when(s.rlike(DATE_CHARS), 1)).alias(f"d{k}"),
                      F.count(normalize_date(s)).alias(f"p{k}"),
                      F.count(F.when(F.lower(s).isin(*BOOL_WORDS), 1)).alias(f"b{k}"),
-                     F.count_distinct(c).alias(f"u{k}")]
+                     distinct(c).alias(f"u{k}")]
         plan.append((k, f.name, kind))
     one = df.agg(*aggs)
     rows = []

@@ -21,7 +21,7 @@ def _missing_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
 
 def fill_missing(df: DataFrame, strategy: str = "median", value=None, cols: Sequence[str] | None = None,
                  order_by: Sequence[str] | None = None, keys: Sequence[str] | None = None,
-                 limit: int | None = None, exact: bool = True, mode: str = "auto") -> DataFrame:
+                 limit: int | None = None, exact: bool | None = None, mode: str = "auto") -> DataFrame:
     """Fill nulls per column: ``mean`` | ``median`` | ``mode`` | ``custom`` | ``ffill`` | ``interpolate``.
 
     Whole-column statistics come from one aggregation and are applied with

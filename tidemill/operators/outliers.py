@@ -19,7 +19,7 @@ def _numeric(df: DataFrame, cols):
     return list(cols) if cols else [f.name for f in df.schema.fields if is_numeric(f.dataType)]
 
 
-def iqr_flags(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def iqr_flags(df: DataFrame, cols: Sequence[str] | None = None, exact: bool | None = None) -> DataFrame:
     """``{c}_outlier``: outside ``[Q1 - 1.5 IQR, Q3 + 1.5 IQR]`` (null -> false)."""
     cols = _numeric(df, cols)
     st = column_stats(df, cols, ["q1", "q3"], exact)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.clean import is_numeric
-from tidemill.operators.stats import quantile
+from tidemill.operators.stats import exact_ok, quantile
 
 
 def profile_missing(df: DataFrame) -> DataFrame:
@@ -21,9 +21,11 @@ def profile_missing(df: DataFrame) -> DataFrame:
     return one.select(F.inline(rows)).where(F.col("n_missing") > 0)
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """``(column, count, mean, std, min, p25, p50, p75, max)`` from one aggregation."""
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool | None = None) -> DataFrame:
+    """``(column, count, mean, std, min, p25, p50, p75, max)`` from one aggregation
+    (quartiles exact up to ``EXACT_MAX_ROWS`` rows, sketched above)."""
     cols = list(cols) if cols else [f.name for f in df.schema.fields if is_numeric(f.dataType)]
+    exact = exact_ok(df, exact)
     aggs = []
     for k, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -120,11 +122,11 @@ def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = 100_000
                        (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), (F.col("k") / F.lit(norm)).alias("density"))
 
 
-def box_stats(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, col: str, exact: bool | None = None) -> DataFrame:
     """``(q1, median, q3, lower_whisker, upper_whisker, n_outliers)``; whiskers are the most
     extreme data within 1.5 IQR of the box."""
     x = F.col(col).cast("double")
-    q = df.agg(quantile(col, [0.25, 0.5, 0.75], exact).alias("q")).first()["q"]
+    q = df.agg(quantile(col, [0.25, 0.5, 0.75], exact_ok(df, exact)).alias("q")).first()["q"]
     if q is None:
         return df.sparkSession.createDataFrame(
             [], "q1 double, median double, q3 double, lower_whisker double, upper_whisker double, n_outliers bigint")

@@ -8,6 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+EXACT_MAX_ROWS = 10_000_000
+
+
+def exact_ok(df: DataFrame, exact: bool | None) -> bool:
+    """``None`` = decide by size: exact statistics merge every distinct value in one
+    reducer, so above ``EXACT_MAX_ROWS`` rows the bounded-memory sketches are used."""
+    if exact is not None:
+        return exact
+    return df.count() <= EXACT_MAX_ROWS
+
+
 def quantile(c: str, q, exact: bool = True, accuracy: int = 10000) -> Column:
     """Linear-interpolated quantile(s).  ``exact=False`` switches to the bounded-memory
     ``percentile_approx`` sketch for columns too large to ship to one reducer."""
@@ -31,8 +42,10 @@ def mode_frame(df: DataFrame, c: str) -> DataFrame:
             .orderBy(F.col("__n").desc(), F.col(c).asc()).limit(1).select(F.col(c).alias("mode")))
 
 
-def column_stats(df: DataFrame, cols: Sequence[str], stats: Sequence[str], exact: bool = True) -> dict:
+def column_stats(df: DataFrame, cols: Sequence[str], stats: Sequence[str], exact: bool | None = None) -> dict:
     """One aggregation for many columns; returns ``{(col, stat): value}``."""
+    if any(s in ("median", "q1", "q3") for s in stats):
+        exact = exact_ok(df, exact)
     aggs = []
     for k, c in enumerate(cols):
         for s in stats:
