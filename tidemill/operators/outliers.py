@@ -94,7 +94,9 @@ def iforest_flags(df: DataFrame, cols: Sequence[str] | None = None, contaminatio
             out = out.withColumn(f"{c}_outlier", F.lit(False))
             continue
         frac = min(1.0, n_trees * sample_size * 2.0 / n)
-        pool = np.array([r[0] for r in valid.select(F.col(c).cast("double")).sample(False, frac, seed).collect()])
+        cap = n_trees * sample_size * 4  # hard bound on what reaches the driver
+        pool = np.array([r[0] for r in valid.select(F.col(c).cast("double")).sample(False, frac, seed)
+                         .limit(cap).collect()])
         rng = np.random.default_rng(seed)
         psi = min(sample_size, len(pool))
         max_depth = int(np.ceil(np.log2(max(psi, 2))))

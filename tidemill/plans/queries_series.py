@@ -194,12 +194,15 @@ LAGS = (1, 2, 3, 5, 21)
 WINDOWS = (5, 20)
 
 
-def feature_matrix_sql(round_result: bool = True) -> str:
-    cols = ["adj_close", "volume", "log_return"]
-    lag_exprs = [f"lag({c}, {k}) OVER (ORDER BY date) AS {c}_lag{k}" for c in cols for k in LAGS]
+def feature_matrix_sql(round_result: bool = True, src: str = "daily", keys: tuple = (), order: tuple = ("date",),
+                       target: str = "adj_close", others: tuple = ("volume",)) -> str:
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    ob = f"({part}ORDER BY {', '.join(order)})"
+    cols = [target, *others, "log_return"]
+    lag_exprs = [f"lag({c}, {k}) OVER {ob} AS {c}_lag{k}" for c in cols for k in LAGS]
     roll = []
     for n in WINDOWS:
-        w = f"(ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        w = f"({part}ORDER BY {', '.join(order)} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
         roll.append(f"CASE WHEN count(log_return) OVER {w} = {n} THEN avg(log_return) OVER {w} END "
                     f"AS log_return_roll_mean_{n}")
         roll.append(f"CASE WHEN count(log_return) OVER {w} = {n} THEN stddev_samp(log_return) OVER {w} END "
@@ -207,29 +210,39 @@ def feature_matrix_sql(round_result: bool = True) -> str:
     feat_names = [f"{c}_lag{k}" for c in cols for k in LAGS]
     for n in WINDOWS:
         feat_names += [f"log_return_roll_mean_{n}", f"log_return_roll_std_{n}"]
-    # output in the Spark column order: volume first, then lag/rolling columns by key column
-    ordered = ["volume"]
+    # output in the Spark column order: raw non-target columns, then lag/rolling columns by key column
+    ordered = list(others)
     for c in cols:
         ordered += [f"{c}_lag{k}" for k in LAGS]
         if c == "log_return":
             for n in WINDOWS:
                 ordered += [f"log_return_roll_mean_{n}", f"log_return_roll_std_{n}"]
     notnull = " AND ".join(f"{c} IS NOT NULL" for c in feat_names)
+    base_cols = [*keys, *order, target, *others]
+    base_notnull = " AND ".join(f"{c} IS NOT NULL" for c in base_cols)
     sel = ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in ordered)
-    body = f"""SELECT date, {sel}, target_next AS y FROM (
-  SELECT *, lead(log_return) OVER (ORDER BY date) AS target_next FROM (
+    lead_cols = ", ".join([*keys, *order])
+    body = f"""SELECT {lead_cols}, {sel}, target_next AS y FROM (
+  SELECT *, lead(log_return) OVER {ob} AS target_next FROM (
     SELECT * FROM (SELECT *, {', '.join(lag_exprs + roll)} FROM (
-      SELECT * FROM (SELECT date, adj_close, volume, ln(adj_close / lag(adj_close) OVER (ORDER BY date)) AS log_return
-                     FROM daily WHERE date IS NOT NULL AND adj_close IS NOT NULL AND volume IS NOT NULL
-                       AND adj_close > 0) WHERE log_return IS NOT NULL))
+      SELECT * FROM (SELECT {', '.join(base_cols)}, ln({target} / lag({target}) OVER {ob}) AS log_return
+                     FROM {src} WHERE {base_notnull} AND {target} > 0) WHERE log_return IS NOT NULL))
     WHERE {notnull}))
 WHERE target_next IS NOT NULL"""
     if not round_result:
         return body, ordered
-    return rounded(with_fixtures(body, "daily"), ordered + ["y"])
+    return rounded(with_fixtures(body, src), ordered + ["y"])
 
 
 @register("feature_matrix", feature_matrix_sql())
 def q_feature_matrix(spark, sf):
     """M3 (flagship): daily prices -> log return -> lags + rolling moments -> next-day target."""
     return build_features(fx.daily(spark, sf), FeatureConfig())
+
+
+@register("feature_matrix_keyed", feature_matrix_sql(src="ticks", keys=("user_id",), order=("ts", "event_id"),
+                                                     target="value", others=()))
+def q_feature_matrix_keyed(spark, sf):
+    """M3 per series: the same pipeline for every user of the event stream (keyed windows)."""
+    cfg = FeatureConfig(target_col="value", date_col="ts", keys=("user_id",), tie_breakers=("event_id",))
+    return build_features(fx.ticks(spark, sf), cfg)
