@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from tidemill.catalog import register
@@ -308,5 +306,3 @@ def q_select_top_mi(spark, sf):
     m, feats = _feature_table(spark, sf)
     return se.top_mutual_information(m, feats, "y", k=10, bins=10)
 
-
-_ = math

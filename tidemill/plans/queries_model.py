@@ -12,7 +12,7 @@ from tidemill.operators.features import rolling_mean_expr
 from tidemill.operators.series import ordered_columns, row_index
 from tidemill.plans.feature_pipeline import FeatureConfig, build_features, feature_columns
 from tidemill.plans.queries_series import feature_matrix_sql
-from tidemill.plans.report import market_report, report_sizes, table_report
+from tidemill.plans.report import market_report, report_sizes, table_report  # noqa: F401
 from tidemill.session import scratch_path
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import rounded, with_fixtures
@@ -231,7 +231,7 @@ def _fitted(spark, sf, model="random_forest"):
 @register("score")
 def q_score(spark, sf):
     """Batch scoring of the hold-out test rows with a fitted pipeline."""
-    pm, test, _ = _fitted(spark, sf, "xgboost")
+    pm, test, _ = _fitted(spark, sf)
     return mo.score(pm, test)
 
 
