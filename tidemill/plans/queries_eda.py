@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tidemill.catalog import register
 from tidemill.operators import correlation as co
