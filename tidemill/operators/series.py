@@ -172,8 +172,11 @@ def _split(df: DataFrame, keys: list[str], plan: SeriesPlan) -> tuple[DataFrame,
 
 def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None,
               idx_col: str = "row_idx", mode="auto", target_bucket_rows: int | None = None,
-              stats=None) -> DataFrame:
-    """Add a 0-based position in ``order_by`` order (per key).  ``order_by`` must be a total order."""
+              stats=None, keep_buckets: bool = False) -> DataFrame:
+    """Add a 0-based position in ``order_by`` order (per key).  ``order_by`` must be a total order.
+
+    ``keep_buckets`` (chunked path) keeps ``__bk``/``__sb``: the output is partitioned by
+    ``(keys, __bk, __sb)``, which later windows can reuse without another shuffle."""
     keys = _keys(keys)
     if isinstance(mode, SeriesPlan):
         plan = mode
@@ -242,7 +245,8 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
     offsets = counts2.select(*keys, "__bk", "__sb", F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
     joined = _join_on(subbed, offsets, keys + ["__bk", "__sb"], "inner", n_side)
     inner = window_spec(order_by, keys + ["__bk", "__sb"])
-    return joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__sb", "__off")
+    out = joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1).drop("__off")
+    return out if keep_buckets else out.drop("__bk", "__sb")
 
 
 def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
@@ -301,14 +305,15 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
         normal, hot, sub = _split(df, keys, plan)
         return known_neighbours(normal, order_by, keys, cols, "plain", pos_col=pos_col).unionByName(
             known_neighbours(hot, order_by, keys, cols, sub, pos_col=pos_col))
-    chunk_rows = plan.chunk_rows
-    idx = row_index(df, order_by, keys, idx_col=pos_col, mode=plan)
-    idx = idx.withColumn("__ck", F.floor(F.col(pos_col) / chunk_rows).cast("long"))
-    part = keys + ["__ck"]
+    # the numbering buckets serve as carry chunks: the local windows reuse the numbering's
+    # partitioning (no second shuffle of the rows)
+    idx = row_index(df, order_by, keys, idx_col=pos_col, mode=plan, keep_buckets=True)
+    part = keys + ["__bk", "__sb"]
     idx = idx.withColumns({f"__lp_{c}": F.last(kstruct(c), True).over(_upto_here([pos_col], part))
                            for c in cols})
     idx = idx.withColumns({f"__ln_{c}": F.last(kstruct(c), True).over(_upto_here([pos_col], part, True))
                            for c in cols})
+    idx = idx.withColumn("__ck", F.struct("__bk", "__sb")).drop("__bk", "__sb")
     # per-chunk summary -> carries from earlier / later chunks (a table of rows / chunk_rows)
     summ = idx.groupBy(*keys, "__ck").agg(
         *[F.max(kstruct(c)).alias(f"__cl_{c}") for c in cols],
@@ -320,8 +325,8 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
                         *[F.col(f"__cf_{c}") for c in cols])
     carry = carry.select(*keys, "__ck", *[f"__ci_{c}" for c in cols],
                          *[F.last(f"__cf_{c}", True).over(later).alias(f"__co_{c}") for c in cols])
-    # un-keyed: at most rows / chunk_rows + 1 chunks (known); keyed: AQE sizes the join at run time
-    n_chunks = None if keys else plan.stats[2] // chunk_rows + 1
+    # about rows / chunk_rows buckets (un-keyed: bounded by the bucket count); keyed: AQE sizes it
+    n_chunks = None if keys else 4 * (plan.stats[2] // plan.chunk_rows + 1)
     joined = _join_on(idx, carry, keys + ["__ck"], "left", n_chunks)
     out = {}
     for c in cols:
