@@ -93,17 +93,19 @@ def test_keyed_chunked_equals_plain(spark):
     assert ra == rb
 
 
-def test_unkeyed_long_series_windows_per_chunk(spark):
+def test_unkeyed_long_series_shuffles_rows_once(spark):
     ls = fx.long_series(spark, SF_SMALL)
     out = fe.rolling_features(ls, ["value"], [20], fx.LONG_ORDER, stats=("mean",), mode="chunked", chunk_rows=500)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = out._jdf.queryExecution().executedPlan().toString()
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # the row data is exchanged by bucket (numbering) and by chunk (windows); only the
-    # tiny per-bucket count table may pass through a single partition
-    assert "hashpartitioning(__ck" in plan and "hashpartitioning(__bk" in plan
-    for line in plan.splitlines():
-        if "SinglePartition" in line:
-            assert "l_extendedprice" not in line
+    # the feature window sits directly on the union of numbered rows and halo rows:
+    # no exchange between them (the union keeps the numbering's hash partitioning)
+    top = next(i for i, line in enumerate(lines) if "Window [count(value" in line)
+    below = [line for line in lines[top + 1:] if "Sort [" not in line]
+    assert "Union" in below[0]
+    # only the numbering exchange moves whole rows; the halo exchange follows a group limit
+    assert sum("Exchange hashpartitioning(__bk" in line and "REPARTITION" not in line for line in lines) >= 1
+    assert any("WindowGroupLimit" in line for line in lines)

@@ -222,6 +222,7 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
         subbed = bucketed.withColumn("__sb", F.lit(0).cast("long"))
         counts2 = counts.select(*keys, "__bk", F.lit(0).cast("long").alias("__sb"), "__n")
         n_side = int(summ["nb"])
+        part = [*keys, "__bk"]  # __sb is constant here, so it is not a partitioning column
     else:
         # A hot bucket (one instant or a narrow time range holding a large share of the
         # rows) is split again: by time range when it spans several instants, else by
@@ -241,11 +242,16 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
         subbed = j.withColumn("__sb", F.coalesce(sub, F.lit(0)).cast("long")).drop("__tlo", "__wt", "__ulo", "__wu")
         counts2 = subbed.groupBy(*keys, "__bk", "__sb").agg(F.count(F.lit(1)).alias("__n")).persist()
         n_side = counts2.count()
+        part = [*keys, "__bk", "__sb"]
     wb = window_spec(["__bk", "__sb"], keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts2.select(*keys, "__bk", "__sb", F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
+    offsets = counts2.select(*keys, "__bk", "__sb", "__n",
+                             F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
     joined = _join_on(subbed, offsets, keys + ["__bk", "__sb"], "inner", n_side)
-    inner = window_spec(order_by, keys + ["__bk", "__sb"])
-    out = joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1).drop("__off")
+    inner = window_spec(order_by, part)
+    out = joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1)
+    if keep_buckets == "offsets":
+        return out, offsets.persist(), n_side, subbed, part
+    out = out.drop("__off", "__n")
     return out if keep_buckets else out.drop("__bk", "__sb")
 
 
@@ -266,22 +272,55 @@ def ordered_columns(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
         normal, hot, sub = _split(df, keys, plan)
         return ordered_columns(normal, order_by, keys, build, back, fwd, "plain").unionByName(
             ordered_columns(hot, order_by, keys, build, back, fwd, sub))
-    chunk_rows = plan.chunk_rows
-    if back > chunk_rows or fwd > chunk_rows:
-        raise ValueError("window reach exceeds chunk size")
-    idx = row_index(df, order_by, keys, idx_col="__ri", mode=plan)
-    ck = F.floor(F.col("__ri") / chunk_rows).cast("long")
-    off = F.col("__ri") % chunk_rows
-    copies = [F.struct(ck.alias("c"), F.lit(False).alias("h"))]
-    if back > 0:
-        copies.append(F.when(off >= chunk_rows - back, F.struct((ck + 1).alias("c"), F.lit(True).alias("h"))))
-    if fwd > 0:
-        copies.append(F.when((off < fwd) & (ck > 0), F.struct((ck - 1).alias("c"), F.lit(True).alias("h"))))
-    exploded = (idx.withColumn("__cp", F.explode(F.filter(F.array(*copies), lambda x: x.isNotNull())))
-                .withColumn("__ck", F.col("__cp.c")).withColumn("__halo", F.col("__cp.h")).drop("__cp"))
-    w = window_spec(["__ri"], keys + ["__ck"])
-    out = exploded.withColumns(build(w)).where(~F.col("__halo"))
-    return out.drop("__ri", "__ck", "__halo")
+    if not plan.stats:
+        return df.withColumns(build(window_spec(order_by, keys)))
+    return _bounded_by_bucket(df, order_by, keys, build, back, fwd, plan)
+
+
+def _bounded_by_bucket(df: DataFrame, order_by, keys: list[str], build: Builder, back: int, fwd: int,
+                       plan: SeriesPlan) -> DataFrame:
+    """Bounded frames on the numbering's own buckets.
+
+    The rows are shuffled once, by ``(keys, bucket)`` for the numbering.  The ``back``
+    rows before and ``fwd`` rows after every bucket are found as a per-bucket top-k of
+    the bucketed input (Spark limits each group before the exchange, so this moves at
+    most ``k`` rows per bucket and task), placed by their global positions, and sent to
+    the bucket(s) they border -- several when buckets are small.  That small exchange is
+    hash-partitioned like the numbering, so the union keeps the partitioning and the
+    feature window runs without another shuffle.
+    """
+    idx, offsets, n_side, subbed, part = row_index(df, order_by, keys, "__ri", plan, keep_buckets="offsets")
+    full = [*keys, "__bk", "__sb"]
+    wo = window_spec(["__off"], keys)
+    tgt = F.struct(F.col("__bk").alias("bk"), F.col("__sb").alias("sb"), F.col("__off").alias("off"),
+                   (F.col("__off") + F.col("__n")).alias("end"))
+    g = F.col("__ri")
+    halos = []
+    for k, desc in ((back, True), (fwd, False)):
+        if k <= 0:
+            continue
+        rk = F.row_number().over(window_spec(order_by, part, descending=desc))
+        edge = subbed.withColumn("__rk", rk).where(F.col("__rk") <= k)
+        edge = _join_on(edge, offsets, full, "inner", n_side)
+        pos = (F.col("__off") + F.col("__n") - F.col("__rk")) if desc else (F.col("__off") + F.col("__rk") - 1)
+        edge = edge.withColumn("__ri", pos).drop("__rk")
+        frame = wo.rowsBetween(1, k) if desc else wo.rowsBetween(-k, -1)
+        near = offsets.select(*full, F.collect_list(tgt).over(frame).alias("__t"))
+        cand = _join_on(edge, near.where(F.size("__t") > 0), full, "inner", n_side)
+        cand = cand.withColumn("__t", F.explode("__t"))
+        cand = cand.where(g >= F.col("__t.off") - k) if desc else cand.where(g < F.col("__t.end") + k)
+        halos.append(cand)
+    main = idx.withColumn("__halo", F.lit(False))
+    if halos:
+        halo = halos[0] if len(halos) == 1 else halos[0].unionByName(halos[1])
+        halo = (halo.withColumn("__bk", F.col("__t.bk")).withColumn("__sb", F.col("__t.sb"))
+                .drop("__t").withColumn("__halo", F.lit(True)))
+        n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        halo = halo.repartition(n_part, *[F.col(c) for c in part]).select(*main.columns)
+        main = main.unionByName(halo)
+    w = window_spec(["__ri"], part)
+    out = main.withColumns(build(w)).where(~F.col("__halo"))
+    return out.drop("__ri", "__bk", "__sb", "__off", "__n", "__halo")
 
 
 def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None,
