@@ -9,7 +9,7 @@ from tidemill.operators import eda
 from tidemill.operators import features as fe
 from tidemill.operators import profile as pr
 from tidemill.operators import select as se
-from tidemill.plans.feature_pipeline import FeatureConfig, build_features, feature_columns
+from tidemill.plans.feature_pipeline import DAILY, build_features, feature_columns
 from tidemill.plans.queries_series import feature_matrix_sql
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import rounded, with_fixtures
@@ -259,8 +259,8 @@ def _corr_filter_sql(threshold: float = 0.98) -> str:
 
 
 def _feature_table(spark, sf):
-    m = build_features(fx.daily(spark, sf), FeatureConfig())
-    return m, feature_columns(m, FeatureConfig())
+    m = build_features(fx.daily(spark, sf), DAILY)
+    return m, feature_columns(m, DAILY)
 
 
 @register("corr_filter", _corr_filter_sql())

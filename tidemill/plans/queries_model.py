@@ -10,7 +10,7 @@ from tidemill.operators import folds as fo
 from tidemill.operators import models as mo
 from tidemill.operators.features import rolling_mean_expr
 from tidemill.operators.series import ordered_columns, row_index
-from tidemill.plans.feature_pipeline import FeatureConfig, build_features, feature_columns
+from tidemill.plans.feature_pipeline import DAILY, build_features, feature_columns
 from tidemill.plans.queries_series import feature_matrix_sql
 from tidemill.plans.report import market_report, report_sizes, table_report  # noqa: F401
 from tidemill.session import scratch_path
@@ -28,8 +28,8 @@ def _fm_sql(body: str) -> str:
 
 
 def _matrix(spark, sf):
-    m = build_features(fx.daily(spark, sf), FeatureConfig())
-    return m, feature_columns(m, FeatureConfig())
+    m = build_features(fx.daily(spark, sf), DAILY)
+    return m, feature_columns(m, DAILY)
 
 
 _IDX = f"""i AS (SELECT date, y, row_number() OVER (ORDER BY date) - 1 AS r FROM fm),
@@ -133,7 +133,8 @@ def q_date_intersection(spark, sf):
 
 def _naive(spark, sf):
     pr = fx.predictions(spark, sf).select("date", "y", "p")
-    pr = ordered_columns(pr, ["date"], [], lambda w: {"mean5": rolling_mean_expr("p", w, 5)}, back=4, fwd=0)
+    pr = ordered_columns(pr, ["date"], [], lambda w: {"mean5": rolling_mean_expr("p", w, 5)}, back=4, fwd=0,
+                         mode="single")
     pr = pr.na.drop(subset=["mean5"])
     long = pr.select("date", "y", F.inline(F.array(
         F.struct(F.lit("zero").alias("model"), F.lit(0.0).alias("pred")),
@@ -155,7 +156,7 @@ k AS (SELECT i.*, CASE WHEN n >= {tps} THEN CAST(floor((n - {tp}) / {s}) AS BIGI
 def _naive_with_folds(spark, sf):
     long = _naive(spark, sf)
     dates = long.select("date").distinct()
-    idx = row_index(dates, ["date"])
+    idx = row_index(dates, ["date"], mode="single")
     n = dates.count()
     nf = SPEC.n_folds(n)
     start = T + P

@@ -8,7 +8,7 @@ from tidemill.catalog import register
 from tidemill.functions.dates import parse_date
 from tidemill.operators import features as fe
 from tidemill.operators.series import row_index
-from tidemill.plans.feature_pipeline import FeatureConfig, build_features, load_series
+from tidemill.plans.feature_pipeline import DAILY, FeatureConfig, build_features, load_series
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import LONG_ORDER, rounded, with_fixtures
 
@@ -52,7 +52,7 @@ def q_rolling_mean(spark, sf):
 def q_rolling_std(spark, sf):
     """Rolling sample standard deviation of the daily price."""
     d = fx.daily(spark, sf).select("date", "adj_close")
-    return fe.rolling_features(d, ["adj_close"], [5, 20], ["date"], stats=("std",))
+    return fe.rolling_features(d, ["adj_close"], [5, 20], ["date"], stats=("std",), mode="single")
 
 
 @register("log_return", rounded(with_fixtures(
@@ -60,7 +60,7 @@ def q_rolling_std(spark, sf):
     "FROM daily WHERE adj_close > 0", "daily"), ["adj_close", "log_return"]))
 def q_log_return(spark, sf):
     """W3 + P3: positive-price filter then log return."""
-    return fe.log_return(fx.daily(spark, sf).select("date", "adj_close"), "adj_close", ["date"])
+    return fe.log_return(fx.daily(spark, sf).select("date", "adj_close"), "adj_close", ["date"], mode="single")
 
 
 @register("next_step_target", rounded(with_fixtures(
@@ -144,7 +144,7 @@ def q_interpolate_limit(spark, sf):
     ["adj_close", "ma50", "ma200"]))
 def q_moving_averages(spark, sf):
     """Price with 50- and 200-row moving averages."""
-    return fe.moving_averages(fx.daily(spark, sf).select("date", "adj_close"), "adj_close", ["date"])
+    return fe.moving_averages(fx.daily(spark, sf).select("date", "adj_close"), "adj_close", ["date"], mode="single")
 
 
 @register("volatility", rounded(with_fixtures(
@@ -154,7 +154,7 @@ def q_moving_averages(spark, sf):
     "daily"), ["adj_close", "ret", "volatility"]))
 def q_volatility(spark, sf):
     """Annualised 30-row volatility of percent returns."""
-    return fe.volatility(fx.daily(spark, sf).select("date", "adj_close"), "adj_close", ["date"])
+    return fe.volatility(fx.daily(spark, sf).select("date", "adj_close"), "adj_close", ["date"], mode="single")
 
 
 @register("tail_n", rounded(with_fixtures(
@@ -237,7 +237,7 @@ WHERE target_next IS NOT NULL"""
 @register("feature_matrix", feature_matrix_sql())
 def q_feature_matrix(spark, sf):
     """M3 (flagship): daily prices -> log return -> lags + rolling moments -> next-day target."""
-    return build_features(fx.daily(spark, sf), FeatureConfig())
+    return build_features(fx.daily(spark, sf), DAILY)
 
 
 @register("feature_matrix_keyed", feature_matrix_sql(src="ticks", keys=("user_id",), order=("ts", "event_id"),

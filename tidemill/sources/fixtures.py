@@ -102,14 +102,15 @@ def log_returns(prices: DataFrame, price: str = "adj_close", order: str = "date"
     """Helper used by several fixtures: keep positive prices, add ``r = ln(p / p[-1])``."""
     from tidemill.operators.series import ordered_columns
     pos = prices.where(F.col(price) > 0)
+    # one row per day: a bounded series, so the single-partition window is chosen explicitly
     return ordered_columns(pos, [order], [], lambda w: {"r": F.ln(F.col(price) / F.lag(price, 1).over(w))},
-                           back=1, fwd=0)
+                           back=1, fwd=0, mode="single")
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive forecast table: ``y`` next-day log return, ``p`` today's log return (no ML)."""
     from tidemill.operators.series import ordered_columns
     r = log_returns(daily(spark, sf_dir))
-    out = ordered_columns(r, ["date"], [], lambda w: {"y": F.lead("r", 1).over(w)}, back=0, fwd=1)
+    out = ordered_columns(r, ["date"], [], lambda w: {"y": F.lead("r", 1).over(w)}, back=0, fwd=1, mode="single")
     return out.select("date", "y", F.col("r").alias("p"), F.col("adj_close").alias("price")).na.drop(
         subset=["y", "p"])
