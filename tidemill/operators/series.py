@@ -23,13 +23,14 @@ Two physical strategies are chosen per call:
     Rows are numbered without a global sort: a monotone bucket of the leading
     order column is counted per ``(keys, bucket)``; a prefix sum over that small
     table gives each bucket's offset; ``row_number`` inside the bucket finishes
-    the position.  Positions are cut into chunks of ``chunk_rows``; bounded
-    frames copy the last ``back`` (and first ``fwd``) rows of every chunk into
-    its neighbour ("halo") and run the window per ``(keys, chunk)``; unbounded
-    carries are finished from a per-chunk summary table.  A single very long
-    series, or one key holding a third of all rows, is therefore spread over
-    ``rows / chunk_rows`` tasks.  Every small side table is joined with a
-    broadcast only after its row count was checked.
+    the position.  Bounded frames run on those same buckets: the ``back`` rows
+    before (and ``fwd`` after) every bucket are copied in as halo rows found by a
+    per-bucket top-k, through a small exchange partitioned like the numbering, so
+    the row data is shuffled once.  Unbounded carries are finished from a
+    per-bucket summary table.  A single very long series, or one key holding a
+    third of all rows, is therefore spread over ``rows / chunk_rows`` tasks.
+    Small side tables are broadcast only when their row count is known to be
+    within the limit.
 """
 
 from __future__ import annotations
