@@ -46,8 +46,7 @@ def round_doubles(df: DataFrame, bits: int = BITS) -> DataFrame:
 
 def register(name: str, sql: str | None = None, rounding: bool = True):
     def deco(fn: QueryFn) -> QueryFn:
-        if name in QUERIES:
-            raise KeyError(f"query {name!r} registered twice")
+        # re-registration (a module reload) replaces the entry
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
