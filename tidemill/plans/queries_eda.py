@@ -154,7 +154,8 @@ def _cross_lag_sql() -> str:
 @register("cross_lag_corr", _cross_lag_sql())
 def q_cross_lag_corr(spark, sf):
     """corr(target[t], asset[t-k]) for k = 1..7."""
-    return co.cross_lag_corr(fx.assets(spark, sf), "adj_close", ["a_price", "n_price", "r_price"], ["date"], 7)
+    return co.cross_lag_corr(fx.assets(spark, sf), "adj_close", ["a_price", "n_price", "r_price"], ["date"], 7,
+                             mode="single")
 
 
 def _rolling_corr_sql() -> str:
@@ -170,7 +171,8 @@ def _rolling_corr_sql() -> str:
 @register("rolling_corr", _rolling_corr_sql())
 def q_rolling_corr(spark, sf):
     """90-row rolling correlation of the target with two assets (null rows dropped first)."""
-    out = fe.rolling_corr(fx.assets(spark, sf), "adj_close", ["a_price", "r_price"], ["date"], window=90)
+    out = fe.rolling_corr(fx.assets(spark, sf), "adj_close", ["a_price", "r_price"], ["date"], window=90,
+                          mode="single")
     return out.select("date", "adj_close", "corr_a_price", "corr_r_price")
 
 

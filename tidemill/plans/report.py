@@ -16,20 +16,24 @@ from tidemill.operators import profile as pr
 def market_report(prices: DataFrame, ohlc: DataFrame | None = None, target: str = "adj_close",
                   assets: Sequence[str] = (), date: str = "date") -> dict[str, DataFrame]:
     """Trend with moving averages, segments, volatility, seasonal table, asset correlations,
-    cross-lag correlations, rolling correlation and candles -- one DataFrame each."""
+    cross-lag correlations, rolling correlation and candles -- one DataFrame each.
+
+    ``prices`` is one row per day (bounded by the calendar), so it is persisted once
+    instead of being re-aggregated by every part."""
+    prices = prices.persist()
     out = {
-        "trend": fe.moving_averages(prices.select(date, target), target, [date]),
+        "trend": fe.moving_averages(prices.select(date, target), target, [date], mode="single"),
         "segments": eda.trend_segments(prices, target, date),
-        "volatility": fe.volatility(prices.select(date, target), target, [date]),
+        "volatility": fe.volatility(prices.select(date, target), target, [date], mode="single"),
         "seasonal": eda.seasonal_pivot(eda.monthly_returns(prices, target, date)),
     }
     assets = [a for a in assets if a in prices.columns]
     if assets:
         out["pair_corr"] = eda.rebased_correlations(prices, target, assets)
         out["top_correlates"] = co.top_correlates(prices, target, [target, *assets])
-        out["cross_lag"] = co.cross_lag_corr(prices, target, assets, [date])
+        out["cross_lag"] = co.cross_lag_corr(prices, target, assets, [date], mode="single")
         if len(assets) >= 2:
-            out["rolling_corr"] = fe.rolling_corr(prices, target, assets[:2], [date])
+            out["rolling_corr"] = fe.rolling_corr(prices, target, assets[:2], [date], mode="single")
     if ohlc is not None:
         out["candles"] = eda.candlestick(ohlc, 60, date)
     return out
