@@ -1,9 +1,9 @@
 """Session helpers: a configured SparkSession and a shared scratch location.
 
 On a cluster the scratch location is whatever the session names in
-``spark.checkpoint.dir`` (a shared file system).  Only when that setting is
-absent -- local runs and tests -- do we create a private directory and record
-it in the session so every later call sees the same place.
+``spark.checkpoint.dir`` (a shared file system); a cluster session without it
+is refused.  Only for a local master (runs and tests) with the setting absent do
+we create a private directory and record it in the session.
 """
 
 from __future__ import annotations
@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not visible to other executors and dies with the node
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemill-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
