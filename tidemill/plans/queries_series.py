@@ -246,3 +246,31 @@ def q_feature_matrix_keyed(spark, sf):
     """M3 per series: the same pipeline for every user of the event stream (keyed windows)."""
     cfg = FeatureConfig(target_col="value", date_col="ts", keys=("user_id",), tie_breakers=("event_id",))
     return build_features(fx.ticks(spark, sf), cfg)
+
+
+def _gappy_ticks(spark, sf):
+    t = fx.ticks(spark, sf)
+    return t.withColumn("value", F.when((F.col("event_id") % 7).isin(0, 1), F.lit(None).cast("double"))
+                        .otherwise(F.col("value")))
+
+
+def _interp_keyed_sql(limit: int) -> str:
+    base = f"""SELECT user_id, ts, event_id, v, rn,
+  last_value(CASE WHEN v IS NOT NULL THEN rn END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p0,
+  last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v0,
+  first_value(CASE WHEN v IS NOT NULL THEN rn END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p1,
+  first_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v1
+FROM (SELECT user_id, ts, event_id, CASE WHEN event_id % 7 IN (0, 1) THEN NULL ELSE value END AS v,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS rn FROM ticks)"""
+    inner = "CASE WHEN p1 = p0 THEN v0 ELSE v0 + (v1 - v0) * (rn - p0) / (p1 - p0) END"
+    val = (f"CASE WHEN p0 IS NOT NULL AND p1 IS NOT NULL AND (rn - p0 <= {limit} OR p1 - rn <= {limit}) "
+           f"THEN {inner} WHEN p0 IS NOT NULL AND p1 IS NULL AND rn - p0 <= {limit} THEN v0 "
+           f"WHEN p0 IS NULL AND p1 IS NOT NULL AND p1 - rn <= {limit} THEN v1 END")
+    return rounded(with_fixtures(f"SELECT user_id, ts, event_id, COALESCE(v, {val}) AS value FROM ({base})",
+                                 "ticks"), ["value"])
+
+
+@register("interpolate_keyed", _interp_keyed_sql(3))
+def q_interpolate_keyed(spark, sf):
+    """W10 per series: linear interpolation (limit 3, both directions) within each user's events."""
+    return fe.interpolate(_gappy_ticks(spark, sf), ["value"], TICK_ORDER, keys=["user_id"], limit=3)
