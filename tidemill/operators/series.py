@@ -347,7 +347,8 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
             known_neighbours(hot, order_by, keys, cols, sub, pos_col=pos_col))
     # the numbering buckets serve as carry chunks: the local windows reuse the numbering's
     # partitioning (no second shuffle of the rows)
-    idx = row_index(df, order_by, keys, idx_col=pos_col, mode=plan, keep_buckets=True)
+    idx, _, n_buckets, _, _ = row_index(df, order_by, keys, idx_col=pos_col, mode=plan, keep_buckets="offsets")
+    idx = idx.drop("__off", "__n")
     part = keys + ["__bk", "__sb"]
     idx = idx.withColumns({f"__lp_{c}": F.last(kstruct(c), True).over(_upto_here([pos_col], part))
                            for c in cols})
@@ -365,9 +366,8 @@ def known_neighbours(df: DataFrame, order_by: Sequence[str], keys: Sequence[str]
                         *[F.col(f"__cf_{c}") for c in cols])
     carry = carry.select(*keys, "__ck", *[f"__ci_{c}" for c in cols],
                          *[F.last(f"__cf_{c}", True).over(later).alias(f"__co_{c}") for c in cols])
-    # about rows / chunk_rows buckets (un-keyed: bounded by the bucket count); keyed: AQE sizes it
-    n_chunks = None if keys else 4 * (plan.stats[2] // plan.chunk_rows + 1)
-    joined = _join_on(idx, carry, keys + ["__ck"], "left", n_chunks)
+    # one carry row per bucket; the bucket count is known from the numbering
+    joined = _join_on(idx, carry, keys + ["__ck"], "left", n_buckets)
     out = {}
     for c in cols:
         out[f"__prev_{c}"] = F.coalesce(F.col(f"__lp_{c}"), F.col(f"__ci_{c}"))
