@@ -105,3 +105,9 @@ def test_label_codes_distributed_rank_matches_window(spark, monkeypatch):
     monkeypatch.setattr(encode, "RANK_PARTITION_ROWS", 400)
     big = {r[0]: r[1] for r in encode.value_codes(df, "s", "c")[0].collect()}
     assert small == big and sorted(big.values()) == list(range(len(big)))
+
+
+def test_interpolating_an_integer_column_keeps_fractions(spark):
+    df = spark.createDataFrame([(0, 1), (1, None), (2, 2)], "i long, x long")
+    out = im.fill_missing(df, "interpolate", order_by=["i"])
+    assert [r["x"] for r in out.orderBy("i").collect()] == [1.0, 1.5, 2.0]

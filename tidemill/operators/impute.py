@@ -40,10 +40,9 @@ def fill_missing(df: DataFrame, strategy: str = "median", value=None, cols: Sequ
             return forward_fill(df, todo, order_by, keys, mode=mode)
         num = [c for c in todo if is_numeric(types[c])]
         other = [c for c in todo if c not in num]
-        out = interpolate(df, num, order_by, keys, limit=limit, mode=mode) if num else df
-        # numeric results of interpolation are doubles; restore the declared type
-        out = out.withColumns({c: F.col(c).cast(types[c]) for c in num if types[c].simpleString() != "double"})
-        return out
+        # interpolated values are fractional, so numeric columns come back as double (an
+        # integer column with gaps becomes a floating column, never truncated)
+        return interpolate(df, num, order_by, keys, limit=limit, mode=mode) if num else df
     if strategy not in ("mean", "median", "mode"):
         raise ValueError(f"unknown strategy {strategy!r}")
     num = [c for c in todo if is_numeric(types[c])] if strategy != "mode" else []
