@@ -111,3 +111,8 @@ def test_interpolating_an_integer_column_keeps_fractions(spark):
     df = spark.createDataFrame([(0, 1), (1, None), (2, 2)], "i long, x long")
     out = im.fill_missing(df, "interpolate", order_by=["i"])
     assert [r["x"] for r in out.orderBy("i").collect()] == [1.0, 1.5, 2.0]
+
+
+def test_mean_fill_of_integer_column_is_not_truncated(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "x long")
+    assert sorted(r[0] for r in im.fill_missing(df, "mean").collect()) == [1.0, 1.5, 2.0]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.operators.clean import is_numeric
 from tidemill.operators.features import forward_fill, interpolate
@@ -51,7 +52,9 @@ def fill_missing(df: DataFrame, strategy: str = "median", value=None, cols: Sequ
         st = column_stats(df, num, ["mean" if strategy == "mean" else "median"], exact=exact)
         for c in num:
             v = st[(c, "mean" if strategy == "mean" else "median")]
-            fills[c] = F.coalesce(F.col(c), F.lit(v).cast(types[c]))
+            # a mean/median is fractional: integer columns become double rather than truncate
+            target = "double" if not isinstance(types[c], (T.FloatType, T.DecimalType)) else types[c]
+            fills[c] = F.coalesce(F.col(c).cast(target), F.lit(v).cast(target))
     for c in todo:
         if c not in fills:
             m = mode_value(df, c)
