@@ -116,3 +116,18 @@ def test_interpolating_an_integer_column_keeps_fractions(spark):
 def test_mean_fill_of_integer_column_is_not_truncated(spark):
     df = spark.createDataFrame([(1,), (None,), (2,)], "x long")
     assert sorted(r[0] for r in im.fill_missing(df, "mean").collect()) == [1.0, 1.5, 2.0]
+
+
+def test_file_order_drives_keep_first(spark):
+    from tests.conftest import SF_SMALL
+    from tidemill.session import scratch_path
+    from tidemill.sources import fixtures as fx
+    from tidemill.sources.io import FILE_ORDER, read_table, with_file_order, write_csv
+    d = fx.dirty(spark, SF_SMALL).dropDuplicates(["pos"])
+    path = write_csv(d.repartitionByRange(3, "pos").sortWithinPartitions("pos"), scratch_path(spark, "ordered.csv"))
+    raw = read_table(spark, path, fmt="csv", schema="pos bigint, date_s string, price_s string, qty double, "
+                                                    "flag_s string, note string")
+    by_file = cl.clean_date(with_file_order(raw), "date_s", FILE_ORDER).select("date_s", "pos")
+    by_pos = cl.clean_date(d, "date_s", ["pos"]).select("date_s", "pos")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(map(tuple, by_file.collect()), key=key) == sorted(map(tuple, by_pos.collect()), key=key)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +70,25 @@ def write_json(df: DataFrame, path: str) -> str:
 def basic_info(df: DataFrame) -> dict:
     """Row / column counts and column types; missing counts come from ``profile_missing``."""
     return {"rows": df.count(), "columns": len(df.columns), "dtypes": dict(df.dtypes)}
+
+
+FILE_ORDER = ["__file", "__block", "__row"]
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Add a deterministic *file order* for "first occurrence wins" operators on raw files.
+
+    ``(__file, __block, __row)`` = index of the file in path order, start offset of the
+    split inside the file, and ``monotonically_increasing_id()`` (increasing within a
+    split).  Together they order rows as they appear in the files, whatever the scan's
+    partition layout; pass ``FILE_ORDER`` as ``order_by`` / ``file_order``.  The file list
+    comes from the scan's metadata (one entry per file) and is broadcast.  Call it
+    directly on a file scan.
+    """
+    strip = r"^[a-zA-Z][\w+.-]*:(//[^/]*)?"  # scheme and authority are spelled differently by the two APIs
+    files = sorted(re.sub(strip, "", f) for f in df.inputFiles())
+    index = df.sparkSession.createDataFrame(list(zip(files, range(len(files)))), "__path string, __file long")
+    scanned = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), strip, "").alias("__path"),
+                        F.col("_metadata.file_block_start").alias("__block"),
+                        F.monotonically_increasing_id().alias("__row"))
+    return scanned.join(F.broadcast(index), "__path").drop("__path")
