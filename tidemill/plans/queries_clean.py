@@ -17,7 +17,7 @@ from tidemill.plans.feature_pipeline import sanitize_names
 from tidemill.session import scratch_path
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import rounded, with_fixtures
-from tidemill.sources.io import read_table, write_csv, write_json
+from tidemill.sources.io import FILE_ORDER, read_table, with_file_order, write_csv, write_json
 
 DIRTY_COLS = ["pos", "date_s", "price_s", "qty", "flag_s", "note"]
 DIRTY_SCHEMA = "pos bigint, date_s string, price_s string, qty double, flag_s string, note string"
@@ -387,3 +387,13 @@ def q_sanitize_columns(spark, sf):
     d = fx.daily(spark, sf).select(F.col("date").alias("Date"), F.col("adj_close").alias("Adj Close"),
                                    F.col("volume").alias("USO_Volume (k)"))
     return sanitize_names(d)
+
+
+@register("clean_date_csv", _clean_date_sql())
+def q_clean_date_csv(spark, sf):
+    """S1 + W11/W13: the noisy table as CSV files in position order, scanned back, and the date
+    repair driven by *file order* (file index, split offset, row within split) -- no key column."""
+    d = fx.dirty(spark, sf)
+    path = write_csv(d.repartitionByRange(4, "pos").sortWithinPartitions("pos"), scratch_path(spark, "dirty-ordered.csv"))
+    raw = with_file_order(read_table(spark, path, fmt="csv", schema=DIRTY_SCHEMA))
+    return cl.clean_date(raw, "date_s", FILE_ORDER, mode="chunked").drop(*FILE_ORDER)
