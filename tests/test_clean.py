@@ -131,3 +131,18 @@ def test_file_order_drives_keep_first(spark):
     by_pos = cl.clean_date(d, "date_s", ["pos"]).select("date_s", "pos")
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(map(tuple, by_file.collect()), key=key) == sorted(map(tuple, by_pos.collect()), key=key)
+
+
+def test_onehot_cardinality_guard(spark):
+    from tidemill.operators import encode
+    df = spark.range(50).select(F.col("id").cast("string").alias("s"))
+    with pytest.raises(ValueError):
+        encode.onehot_encode(df, "s", max_categories=10)
+    out = encode.onehot_encode(df.limit(3), "s", max_categories=10)
+    assert sorted(out.columns) == ["s_0", "s_1", "s_2"]
+
+
+def test_describe_categorical_tie_takes_smallest(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
+    r = pr.describe_categorical(df, ["c"]).first()
+    assert (r["count"], r["unique"], r["top"], r["freq"]) == (4, 2, "a", 2)
