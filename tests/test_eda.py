@@ -37,3 +37,10 @@ def test_reports_build(spark):
     assert sizes["candles"] == 60 and sizes["cross_lag"] == 21 and sizes["seasonal"] > 0
     tab = table_report(fx.table(spark, SF_SMALL, "labels"))
     assert {"chart_kind", "bar:quality", "hist:doc_id"} <= set(tab)
+
+
+def test_market_report_picks_assets_by_prefix(spark):
+    prices = fx.assets(spark, SF_SMALL).withColumnRenamed("a_price", "AX_Close").withColumnRenamed("n_price", "NX_open")
+    rep = market_report(prices, None, "adj_close", asset_prefixes={"first": ["AX_"], "second": ["NX_"]})
+    assets = {r["asset"] for r in rep["cross_lag"].select("asset").distinct().collect()}
+    assert assets == {"AX_Close", "NX_open"}

@@ -14,12 +14,17 @@ from tidemill.operators import profile as pr
 
 
 def market_report(prices: DataFrame, ohlc: DataFrame | None = None, target: str = "adj_close",
-                  assets: Sequence[str] = (), date: str = "date") -> dict[str, DataFrame]:
+                  assets: Sequence[str] = (), date: str = "date",
+                  asset_prefixes: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
     """Trend with moving averages, segments, volatility, seasonal table, asset correlations,
     cross-lag correlations, rolling correlation and candles -- one DataFrame each.
 
     ``prices`` is one row per day (bounded by the calendar), so it is persisted once
     instead of being re-aggregated by every part."""
+    if asset_prefixes:
+        # one price column per asset group, picked by name (see ``eda.resolve_column``)
+        picked = [eda.resolve_column(prices.columns, p) for p in asset_prefixes.values()]
+        assets = [*assets, *[c for c in picked if c and c != target]]
     prices = prices.persist()
     out = {
         "trend": fe.moving_averages(prices.select(date, target), target, [date], mode="single"),
