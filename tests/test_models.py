@@ -45,3 +45,12 @@ def test_params_roundtrip_and_missing_file(spark):
     mo.save_params({"xgboost": {"n_estimators": 120, "learning_rate": 0.1}}, spark, path)
     assert mo.load_params(spark, path) == {"xgboost": {"learning_rate": 0.1, "n_estimators": 120}}
     assert mo.load_params(spark, scratch_path(spark, "absent")) == {}
+
+
+def test_best_params_fall_back_when_all_trials_fail(spark):
+    rows = [("xgboost", 0, '{"n_estimators": 300}', float("inf"), True),
+            ("random_forest", 0, '{"max_depth": 7, "n_estimators": 110}', 0.5, True)]
+    tuned = spark.createDataFrame(rows, "model string, trial int, params string, cv_rmse double, is_best boolean")
+    best = mo.best_params(tuned)
+    assert best["xgboost"] == mo.BASE_PARAMS["xgboost"]
+    assert best["random_forest"] == {"max_depth": 7, "n_estimators": 110}
