@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import string
 import uuid
 
@@ -11,7 +12,14 @@ from pyspark.sql import functions as F
 from tidemill.session import ensure_checkpoint_dir
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package from where the driver found it, if it is there
+    env = spark.sparkContext.environment
+    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), _ROOT]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, packing, url_filter, warc
+from . import ann, embed_dedup, license_scan, mixing, packing, quality, simhash, substring, url_filter, warc
 from ._common import table
 from .url_filter import UrlRule
 
@@ -62,6 +62,23 @@ def op1(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+# ---------------------------------------------------------------- op2, op3
+
+@query("op2_substring_dedup")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring.dedup_substrings(docs)
+    spans = F.col("substring_spans")
+    return out.select("doc_id", "text", F.coalesce(F.size(spans), F.lit(0)).alias("n_removed"),
+                      F.array_join(F.transform(spans, lambda s: F.concat(s["s"].cast("string"), F.lit("-"), s["e"].cast("string"))),
+                                   ",").alias("removed_bytes"))
+
+
+@query("op3_embedding_near_dedup")
+def op3(spark, sf_dir):
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 # ---------------------------------------------------------------- op4
 
 OP4_SQL = """
@@ -110,6 +127,13 @@ def op5(spark, sf_dir):
                        F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+# ---------------------------------------------------------------- op6
+
+@query("op6_nearest_neighbours")
+def op6(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 # ---------------------------------------------------------------- op7
 
 def default_tokenizer() -> str:
@@ -122,6 +146,19 @@ def op7(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+# ---------------------------------------------------------------- op8, op9
+
+@query("op8_simhash_near_dedup")
+def op8(spark, sf_dir):
+    marked = simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_quality_classifier")
+def op9(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # ---------------------------------------------------------------- op10
 
 _SIGNATURES = license_scan.signature_rules()
