@@ -22,84 +22,61 @@ from pyspark.sql import functions as F
 
 MAX_TOKENS = 4096
 OPEN_BINS = 512
-_CACHE_WORDS = 400_000   # bound on remembered words of one Python worker
+_CACHE_WORDS = 1_000_000  # bound on remembered words of one Python worker
 _BATCH_CHARS = 1 << 20
-# letters whose lower case is one letter of the same range, then a run of plain signs
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([.,!?%$#&*]*)")
-_SPACES = re.compile(r"[ \t\r\n]+")
+# Texts of these characters only take the short way: their letters have one-letter lower case
+# and are composed, so the vocabulary's own normalizing and splitting come down to lower() and
+# the split pattern below (fixed value: the vocabulary file's pattern, for these letters).
+_OTHER = re.compile(r"[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]|<\|")
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
 class WordTokenizer:
-    """Token ids of whole texts as little-endian uint32 bytes, remembering words already met.
+    """Token ids of whole texts as little-endian uint32 bytes, remembering pieces already met.
 
-    The vocabulary never merges across white space, so a text's ids are those of its words.
-    Unknown plain words are encoded together, separated by spaces, and cut at the tokens that
-    end a word; all others are encoded one by one.
+    The vocabulary splits a text into pieces (runs of letters, digits, signs) and merges inside
+    a piece only, so a text's ids are those of its pieces.  New runs of letters are encoded
+    together, separated by spaces, and cut at the tokens that end a piece.  Texts with other
+    characters are encoded whole.
     """
 
     def __init__(self, path: str):
-        import json
-
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for t, i in vocab.items():
             self.ends[i] = t.endswith("</w>")
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        specials = [t["content"] for t in spec["added_tokens"]]
-        # a special token's string that holds white space would cross words
-        self.whole = any(re.search(r"\s", s) for s in specials)
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of words not yet known."""
-        plain, out, parts = {}, {}, set()
-        for w in new:
-            m = _PLAIN.fullmatch(w)
-            if m:
-                plain[w] = (m.group(1).lower(), m.group(2))
-                parts.update(p for p in plain[w] if p)
-            else:
-                out[w] = self._encode(w).tobytes()
-        known = self.words
-        todo = [p for p in parts if p not in known]
-        ids: dict[str, bytes] = {}
-        for i in range(0, len(todo), 4096):
-            some = todo[i:i + 4096]
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, new: list[str]) -> None:
+        letters = [p for p in new if p.isalpha()]
+        for p in new:
+            if not p.isalpha():
+                self.known[p] = self._encode(p).tobytes()
+        for i in range(0, len(letters), 1024):
+            some = letters[i:i + 1024]
             a = self._encode(" ".join(some))
-            cuts = np.flatnonzero(self.ends[a]) + 1
-            if len(cuts) == len(some):
-                raw, lo = a.tobytes(), 0
-                for p, hi in zip(some, cuts.tolist()):
-                    ids[p] = raw[4 * lo:4 * hi]
-                    lo = hi
-            else:
-                for p in some:
-                    ids[p] = self._encode(p).tobytes()
-        for w, (a, b) in plain.items():
-            out[w] = (ids[a] if a in ids else known[a]) + ((ids[b] if b in ids else known[b]) if b else b"")
-        room = _CACHE_WORDS - len(known)
-        if room > 0:
-            for part in (ids, out):
-                known.update(list(part.items())[:max(0, _CACHE_WORDS - len(known))])
-        return out
+            cuts = ((np.flatnonzero(self.ends[a]) + 1) * 4).tolist()
+            if len(cuts) != len(some):
+                raise ValueError("the vocabulary does not end every word with a token of its own")
+            raw = a.tobytes()
+            self.known.update(zip(some, [raw[lo:hi] for lo, hi in zip([0, *cuts], cuts)]))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if self.whole:
-            return [self._encode(t).tobytes() for t in texts]
-        split = [_SPACES.split(t) for t in texts]
-        new = {w for ws in split for w in ws}
-        new = {w for w in new if w not in self.words}
-        fresh = self._learn(new) if new else {}
-        known = self.words
-        if not fresh:
-            return [b"".join(map(known.__getitem__, ws)) for ws in split]
-        return [b"".join([fresh[w] if w in fresh else known[w] for w in ws]) for ws in split]
+        known = self.known
+        plain = [None if _OTHER.search(t) else _SPLIT.findall(t.lower()) for t in texts]
+        room = max(0, _CACHE_WORDS - len(known))
+        new = list(set().union(*filter(None, plain)).difference(known))
+        if new:
+            self._learn(new)
+        out = [self._encode(t).tobytes() if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, plain)]
+        for p in new[room:]:
+            del known[p]
+        return out
 
 
 class BestFit:
