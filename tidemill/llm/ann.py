@@ -108,15 +108,16 @@ class _Lists:
         self.held[query] = x[o], ids[o], scores[o]
 
     def flush(self, more_than: int = 0) -> Iterator[pa.RecordBatch]:
+        """One row per query, its list packed."""
         if len(self.held) > more_than:
             lists = list(self.held.values())
-            q = np.repeat(np.fromiter(self.held, np.int64), [len(v[0]) for v in lists])
-            yield pa.RecordBatch.from_arrays([pa.array(q), *(pa.array(np.concatenate(c)) for c in zip(*lists))],
-                                             names=["q", "x", "x_id", "score"])
+            packed = [pa.array([a.astype(t).tobytes() for a in c], pa.binary()) for c, t in zip(zip(*lists), ("<i8", "<i8", "<f8"))]
+            yield pa.RecordBatch.from_arrays([pa.array(list(self.held), pa.int64()), *packed], names=["q", "x", "x_id", "score"])
             self.held = {}
 
 
-_FOUND = "q bigint, x bigint, x_id bigint, score double"
+_FOUND = "q bigint, x binary, x_id binary, score binary"
+_RANKED = "q bigint, rank int, x bigint, x_id bigint, score double"
 
 
 def _scan(best: _Lists, q: np.ndarray, q_nodes: np.ndarray, x: np.ndarray, nodes: np.ndarray, ids: np.ndarray) -> None:
@@ -129,9 +130,26 @@ def _scan(best: _Lists, q: np.ndarray, q_nodes: np.ndarray, x: np.ndarray, nodes
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
-    """k best of each query over lists that may repeat a candidate."""
-    w = Window.partitionBy("q").orderBy(F.desc("score"), "x_id", "x")
-    return found.groupBy("q", "x", "x_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    """(q, rank, x, x_id, score): the k best of each query over the lists of all tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, last = _Lists(k), None
+        for b in batches:
+            for q, *packed in zip(*(c.to_pylist() for c in b.columns)):
+                if q != last:
+                    yield from _ranked(best)
+                last = q
+                best.add(q, *(unpack(c, t) for c, t in zip(packed, ("<i8", "<i8", "<f8"))))
+        yield from _ranked(best)
+
+    return found.repartition("q").sortWithinPartitions("q").mapInArrow(run, _RANKED)
+
+
+def _ranked(best: _Lists) -> Iterator[pa.RecordBatch]:
+    for q, cols in best.held.items():
+        n = len(cols[0])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, q, np.int64)), pa.array(np.arange(1, n + 1, dtype=np.int32)),
+                                          *map(pa.array, cols)], names=["q", "rank", "x", "x_id", "score"])
+    best.held = {}
 
 
 def brute_force(rows: DataFrame, queries: np.ndarray, nodes: np.ndarray, dims: int, k: int) -> DataFrame:
@@ -173,9 +191,9 @@ def nearest(df: DataFrame, k: int = 20, query_every: int = 20, target_recall: fl
     curves = _curves(dims, seed)
     tiles = _ordered_tiles(rows, curves, dims)
     window = _measure(rows.where(is_query), rows, tiles, dims, k, sample_queries, target_recall)
-    found = staged(_search(tiles, window, dims, k, query_every), "ann-found")
-    return (_merge(found, k).join(rows.select(F.col("node").alias("q"), F.col("vec_id").alias("query_id")), "q")
-            .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("x_id").alias("vec_id"), "score"))
+    found = staged(_merge(_search(tiles, window, dims, k, query_every), k), "ann-found")
+    return (found.join(rows.select(F.col("node").alias("q"), F.col("vec_id").alias("query_id")), "q")
+            .select("query_id", "rank", F.col("x_id").alias("vec_id"), "score"))
 
 
 def _ordered_tiles(rows: DataFrame, curves: list, dims: int) -> DataFrame:
