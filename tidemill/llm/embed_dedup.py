@@ -34,7 +34,7 @@ SAMPLE = 4096            # bound on the vectors that codebooks and the walk's en
 ROWS_PER_CELL = 256
 MAX_CODEWORDS = 1024
 _PREFIX = (1, 2, 4, 8, 16)  # nearest codewords averaged for the lower bounds
-_SLACK = 4.0             # simulated partners per sampled vector
+_PARTNERS = 4            # simulated partners per sampled vector
 TILE = 512
 
 
@@ -72,7 +72,7 @@ def bounds(a: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     between c and the mean of any few codewords; the distance to the furthest such plane counts.
     """
     d = _squared(a, book)
-    order = np.argsort(d, axis=1, kind="stable")[:, :max(p for p in _PREFIX)]
+    order = np.argsort(d, axis=1, kind="stable")[:, :max(_PREFIX)]
     near = np.take_along_axis(d, order, axis=1)
     best = np.zeros_like(d)
     norms = (book * book).sum(1)
@@ -94,7 +94,7 @@ def fit_grid(sample: np.ndarray, n_rows: int, threshold: float, target_recall: f
     books = kmeans(sample[:, :half], k, seed), kmeans(sample[:, half:], k, seed + 1)
     # partners at exactly the threshold: x = t * q + sqrt(1 - t * t) * (a random unit vector across q)
     rng = np.random.default_rng(seed)
-    q = np.repeat(sample, int(_SLACK), axis=0)
+    q = np.repeat(sample, _PARTNERS, axis=0)
     z = rng.normal(size=q.shape)
     z -= (z * q).sum(1, keepdims=True) * q
     x = threshold * q + math.sqrt(1 - threshold * threshold) * unit(z)

@@ -28,7 +28,7 @@ BUCKETS = 1 << 16
 MAX_LABELS = 20_000
 _TOKENS = re.compile(r"\w+|[^\w\s]")
 _SAME = zlib.crc32(b"\0same")    # stands for a token equal to the one before
-_CACHE_TOKENS = 300_000
+_CACHE_TOKENS = 200_000
 _SMOOTH = 1.0
 
 _HASHES: dict[str, int] = {}     # one per Python worker

@@ -180,7 +180,8 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     spans = spans.select(F.col("doc").alias("substring_doc"), F.col("text_hash").alias("substring_hash"),
                          F.col("spans").alias("substring_spans"))
     rows = df.withColumns({"substring_doc": _doc(df[id_col], df[text_col]), "substring_hash": F.xxhash64(df[text_col])})
-    j = rows.join(spans, ["substring_doc", "substring_hash"], "left")
+    # the spans grow with the corpus, so they are merged at every size rather than broadcast at some
+    j = rows.join(spans.hint("merge"), ["substring_doc", "substring_hash"], "left")
     s = j["substring_spans"]
     raw = df[text_col].cast("binary")
     # what stands between the spans: from each span's end to the next one's start
