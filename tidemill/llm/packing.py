@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_TOKENS = 4096
-OPEN_BINS = 512
+OPEN_BINS = 4096
 _CACHE_WORDS = 400_000   # bound on remembered words of one Python worker
 _BATCH_CHARS = 1 << 20
 # Texts of these characters only take the short way: their letters have one-letter lower case

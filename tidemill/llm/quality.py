@@ -2,11 +2,13 @@
 
 Two generative models of hashed n-grams are counted: one of the target (documents labelled
 good), one of the raw text (all documents).  A document's log weight is the sum over its n-grams
-of log p(target) - log p(raw).  Adding Gumbel noise and keeping the k largest keys samples k
+of log p(target) - log p(raw), both smoothed by the same count per bucket, so that n-grams the
+labelled sample is too small to hold say little.  Adding Gumbel noise and keeping the k largest keys samples k
 documents without replacement in proportion to their weights; the others are rejected.
 
 k is the number of documents whose log weight reaches a cut, placed on the labelled sample
-where it best separates good from bad.  The labelled sample is bounded (``max_labels``); the
+where it best separates good from bad; a good document is weighed there without its own
+counts in the target, as an unlabelled one would be.  The labelled sample is bounded (``max_labels``); the
 raw model, the weights, k and the k-th largest key are taken over all documents.
 """
 
@@ -29,7 +31,7 @@ MAX_LABELS = 20_000
 _TOKENS = re.compile(r"\w+|[^\w\s]")
 _SAME = zlib.crc32(b"\0same")    # stands for a token equal to the one before
 _CACHE_TOKENS = 200_000
-_SMOOTH = 1.0
+_SMOOTH = 5.0                    # added to each bucket's count in the target and its expected count
 
 _HASHES: dict[str, int] = {}     # one per Python worker
 
@@ -60,8 +62,18 @@ def ngram_buckets(text: str) -> np.ndarray:
 
 @dataclass
 class QualityModel:
-    log_ratio: np.ndarray   # per bucket: log p(target) - log p(raw)
-    cut: float              # log weight that best separates the labelled sample
+    target: np.ndarray      # n-grams of the labelled good documents, per bucket
+    expected: np.ndarray    # as many n-grams, in the raw text's shares
+    cut: float = -np.inf    # log weight that best separates the labelled sample
+
+    def log_weight(self, at: np.ndarray, own: bool = False) -> float:
+        """Sum of log p(target) - log p(raw) over buckets ``at``; ``own``: without these n-grams'
+        own counts in the target."""
+        if not len(at):
+            return 0.0
+        bucket, n = np.unique(at, return_counts=True)
+        t, e = self.target[bucket], self.expected[bucket]
+        return float((n * (np.log(t - own * n + _SMOOTH) - np.log(e + _SMOOTH))).sum())
 
 
 def labelled_sample(labels: DataFrame, max_labels: int = MAX_LABELS, id_col: str = "doc_id",
@@ -81,7 +93,7 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def fit(df: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, id_col: str = "doc_id",
         text_col: str = "text", quality_col: str = "quality") -> QualityModel:
-    """Count both models and place the cut.  Without good labels every log ratio is 0."""
+    """Count both models and place the cut.  Without good labels every weight is 0."""
     sample = staged(labelled_sample(labels, max_labels, id_col, quality_col), "quality-labels")
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     marked = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"), "left").select("text", "good")
@@ -104,18 +116,19 @@ def fit(df: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, id_col:
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in rows:
         raw[r.bucket], target[r.bucket] = r.raw, r.target
-    ratio = np.zeros(BUCKETS)
-    if target.sum():
-        # the target model learns from a sample, so its smoothing counts in proportion
-        share = target.sum() / raw.sum()
-        ratio = np.log((target + _SMOOTH * share) / (target.sum() + _SMOOTH * share * BUCKETS)) - np.log(
-            (raw + _SMOOTH) / (raw.sum() + _SMOOTH * BUCKETS))
-    model = QualityModel(ratio, 0.0)
+    model = QualityModel(target, raw * (target.sum() / max(raw.sum(), 1)))
     # the labelled documents' weights: as many rows as the sample holds
-    scored = score(df.join(F.broadcast(sample.select("label_id")), F.col(id_col).cast("bigint") == F.col("label_id"), "left_semi"),
-                   model, id_col, text_col)
-    got = scored.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).groupBy("label_id").agg(
-        F.min("log_weight").alias("w"), F.first("good").alias("good")).collect()
+    held = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("label_id", "good", "text")
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = b.column(1).to_pylist()
+            w = [shared.value.log_weight(ngram_buckets(t.as_py() or ""), own=g == 1) for t, g in zip(b.column(2), good)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(w, pa.float64())], names=["label_id", "good", "w"])
+
+    got = (held.mapInArrow(weigh, "label_id bigint, good int, w double")
+           .groupBy("label_id").agg(F.min("w").alias("w"), F.first("good").alias("good")).collect())
     model.cut = best_cut(np.array([r.w for r in got]), np.array([r.good for r in got]))
     return model
 
@@ -142,16 +155,16 @@ _SCORED = "doc_id bigint, text_hash bigint, n_ngrams bigint, log_weight double"
 
 def score(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_ngrams, log_weight): one row per input row; no text weighs 0."""
-    ratio = df.sparkSession.sparkContext.broadcast(model.log_ratio)  # BUCKETS doubles
+    shared = df.sparkSession.sparkContext.broadcast(model)  # two doubles a bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = ratio.value
+        m = shared.value
         for b in batches:
             n, w = [], []
             for t in b.column(2):
                 at = ngram_buckets(t.as_py() or "")
                 n.append(len(at))
-                w.append(float(r[at].sum()))
+                w.append(m.log_weight(at))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(w, pa.float64())],
                                              names=["doc_id", "text_hash", "n_ngrams", "log_weight"])
 
@@ -223,12 +236,12 @@ def keep_good(df: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, se
     which is less work than joining the verdicts to them."""
     model = fit(df, labels, max_labels, id_col, text_col)
     _, least = resample(df, model, seed, id_col, text_col)
-    ratio = df.sparkSession.sparkContext.broadcast(model.log_ratio)
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def weight(texts):
-        r = ratio.value
-        return texts.map(lambda t: float(r[ngram_buckets(t or "")].sum()))
+        m = shared.value
+        return texts.map(lambda t: m.log_weight(ngram_buckets(t or "")))
 
     rows = df.withColumns({"quality_weight": weight(df[text_col]), "quality_hash": F.xxhash64(df[text_col])})
     key = F.col("quality_weight") + _gumbel(seed, df[id_col].cast("bigint"), F.col("quality_hash"))
