@@ -23,16 +23,29 @@ NORMALIZE_FORMATS = ["M/d/yyyy", "d/M/yyyy", "yyyy/M/d"]
 TWO_DIGIT_YEAR_FORMATS = ["M/d/yy", "d/M/yy"]
 
 
+_WITH_TIME = r"^(\S+)[ T](\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)Z?$"
+
+
+def time_of_day(c: Column) -> Column:
+    """Microseconds after midnight of a text's time part; NULL without one."""
+    part = F.regexp_extract(F.trim(c.cast("string")), _WITH_TIME, 2)
+    hms = F.split(part, ":")
+
+    def number(i):
+        return F.coalesce(F.try_element_at(hms, F.lit(i)).try_cast("decimal(12,6)"), F.lit(0))
+    return F.when(part != "", ((number(1) * 3600 + number(2) * 60 + number(3)) * 1_000_000).cast("bigint"))
+
+
 def normalize_date(c: Column) -> Column:
     """Multi-format date normaliser.
 
-    Typed dates/timestamps pass through.  Text is trimmed, a time part after a
-    space or ``T`` is dropped, separators ``.``/``-`` become ``/``; then month-first,
+    Typed dates pass through.  Text is trimmed, a time part after a space or ``T`` (with or
+    without ``Z``) is dropped (``time_of_day`` reads it), separators ``.``/``-`` become ``/``; then month-first,
     day-first and year-first layouts are tried; 2-digit years come last.  A
     value none of them accepts is NULL.
     """
     s = F.trim(c.cast("string"))
-    s = F.regexp_replace(s, r"^(\S+)[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "$1")
+    s = F.regexp_replace(s, _WITH_TIME, "$1")
     s = F.regexp_replace(s, r"[.\-]", "/")
     four = s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$") | s.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$")
     two = s.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$")
@@ -46,7 +59,7 @@ def normalize_date(c: Column) -> Column:
 def normalize_date_sql(c: str) -> str:
     """The same rules in DuckDB SQL (oracle side)."""
     s = (f"regexp_replace(regexp_replace(trim(CAST({c} AS VARCHAR)), "
-         f"'^(\\S+)[ T]\\d{{1,2}}:\\d{{2}}(:\\d{{2}}(\\.\\d+)?)?$', '\\1'), '[.\\-]', '/', 'g')")
+         f"'^(\\S+)[ T]\\d{{1,2}}:\\d{{2}}(:\\d{{2}}(\\.\\d+)?)?Z?$', '\\1'), '[.\\-]', '/', 'g')")
     four = f"(regexp_full_match({s}, '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}') OR regexp_full_match({s}, '\\d{{4}}/\\d{{1,2}}/\\d{{1,2}}'))"
     two = f"regexp_full_match({s}, '\\d{{1,2}}/\\d{{1,2}}/\\d{{2}}')"
     fmts = {"M/d/yyyy": "%m/%d/%Y", "d/M/yyyy": "%d/%m/%Y", "yyyy/M/d": "%Y/%m/%d",

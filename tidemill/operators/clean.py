@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions.dates import STRICT_FORMAT, normalize_date, parse_date
+from tidemill.functions.dates import STRICT_FORMAT, normalize_date, time_of_day, parse_date
 from tidemill.functions.scalar import to_numeric
 from tidemill.operators.features import interpolate
 
@@ -137,49 +137,54 @@ def _current_kind(dt: T.DataType) -> str:
     return "str"
 
 
-def infer_types(df: DataFrame, category_ratio: float = 0.05, exact: bool | None = None) -> DataFrame:
-    """``(column, current, suggested)`` from one aggregation over all columns.
+def infer_types(df: DataFrame, category_ratio: float = 0.05) -> DataFrame:
+    """``(column, current, suggested)``: one aggregation for the numeric columns, one unpivoted
+    count of (column, value) for the text columns, whose rules run on distinct values.
 
     numeric -> int when every value is whole, else float; text -> datetime when more
     than 30 % of values contain a date separator and more than 80 % parse; bool when
     every value is one of true/false/0/1; category when distinct / count < 5 %;
-    otherwise str.  An all-null text column is reported as str.  Distinct counts are
-    exact up to ``EXACT_MAX_ROWS`` rows and HyperLogLog sketches (1 % error) above.
+    otherwise str.  An all-null text column is reported as str.
     """
-    from tidemill.operators.stats import exact_ok
-    distinct = F.count_distinct if exact_ok(df, exact) else (lambda c: F.approx_count_distinct(c, 0.01))
-    aggs, plan = [], []
-    for k, f in enumerate(df.schema.fields):
-        c = F.col(f.name)
-        kind = _current_kind(f.dataType)
-        aggs.append(F.count(c).alias(f"n{k}"))
-        if kind in ("int", "float"):
-            aggs.append(F.bool_and(F.when(c.isNotNull(), c.cast("double") % 1 == 0)).alias(f"w{k}"))
-        elif kind == "str":
-            s = c.cast("string")
-            aggs += [F.count(F.when(s.rlike(DATE_CHARS), 1)).alias(f"d{k}"),
-                     F.count(normalize_date(s)).alias(f"p{k}"),
-                     F.count(F.when(F.lower(s).isin(*BOOL_WORDS), 1)).alias(f"b{k}"),
-                     distinct(c).alias(f"u{k}")]
-        plan.append((k, f.name, kind))
-    one = df.agg(*aggs)
+    kinds = [(k, f.name, _current_kind(f.dataType)) for k, f in enumerate(df.schema.fields)]
+    texts = [(k, c) for k, c, kind in kinds if kind == "str"]
+    whole = [F.bool_and(F.when(F.col(c).isNotNull(), F.col(c).cast("double") % 1 == 0)).alias(f"w{k}")
+             for k, c, kind in kinds if kind in ("int", "float")]
+    one = df.agg(F.count(F.lit(1)).alias("rows"), *whole)
+    facts: dict[int, object] = {}
+    if texts:
+        pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("string").alias("v")) for k, c in texts])
+        values = (df.select(F.explode(pairs).alias("p")).where("p.v is not null")
+                  .groupBy("p.k", "p.v").agg(F.count(F.lit(1)).alias("n")))
+        v = F.col("v")
+        for r in values.groupBy("k").agg(
+                F.sum("n").alias("n"), F.sum(F.when(v.rlike(DATE_CHARS), F.col("n")).otherwise(0)).alias("dated"),
+                F.sum(F.when(normalize_date(v).isNotNull(), F.col("n")).otherwise(0)).alias("parsed"),
+                F.sum(F.when(F.lower(v).isin(*BOOL_WORDS), F.col("n")).otherwise(0)).alias("bools"),
+                F.count(F.lit(1)).alias("distinct")).collect():  # one row per text column
+            facts[r["k"]] = r
     rows = []
-    for k, name, kind in plan:
-        n = F.col(f"n{k}")
+    for k, name, kind in kinds:
         if kind in ("int", "float"):
             sug = F.when(F.coalesce(F.col(f"w{k}"), F.lit(True)), F.lit("int")).otherwise(F.lit("float"))
         elif kind == "str":
-            sug = (F.when(n == 0, F.lit("str"))
-                   .when((F.col(f"d{k}") > n * 0.3) & (F.col(f"p{k}") > n * 0.8), F.lit("datetime"))
-                   .when(F.col(f"b{k}") == n, F.lit("bool"))
-                   .when(F.col(f"u{k}") < n * category_ratio, F.lit("category"))
-                   .otherwise(F.lit("str")))
+            sug = F.lit(_text_kind(facts.get(k), category_ratio))
         else:
             sug = F.lit(kind)
         rows.append(F.struct(F.lit(name).alias("column"), F.lit(kind).alias("current"), sug.alias("suggested")))
     return one.select(F.inline(F.array(*rows)))
 
 
+def _text_kind(f, category_ratio: float) -> str:
+    if f is None:
+        return "str"
+    if f["dated"] > f["n"] * 0.3 and f["parsed"] > f["n"] * 0.8:
+        return "datetime"
+    if f["bools"] == f["n"]:
+        return "bool"
+    return "category" if f["distinct"] < f["n"] * category_ratio else "str"
+
+
 def convert_column(c: Column, dtype: str | Callable, errors: str = "raise",
                    return_type: str = "string") -> Column:
     """One column to ``int``/``float``/``str``/``bool``/``datetime``/``category`` (kept as
@@ -214,14 +219,25 @@ def convert_column(c: Column, dtype: str | Callable, errors: str = "raise",
 
 def convert_types(df: DataFrame, mapping: Mapping[str, str | Callable] | tuple, errors: str = "raise") -> DataFrame:
     """Bulk conversion in one ``select``: ``{col: dtype}`` or ``([cols], dtype)``; a dtype may be
-    ``(callable, return_type)`` for a vectorised user function."""
+    ``(callable, return_type)`` for a vectorised user function.
+
+    For ``datetime``, typed dates and timestamps stay as they are, and a text column becomes
+    timestamps where any value has a time of day, else dates."""
     if isinstance(mapping, tuple):
         cols, dtype = mapping
         mapping = {c: dtype for c in cols}
     exprs = {}
+    dated = ("datetime", "date", "time")
     for c, t in mapping.items():
         if c not in df.columns:
             continue
+        if t in dated and isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            continue
+        if t in dated and not df.where(F.coalesce(time_of_day(F.col(c)) > 0, F.lit(False))).isEmpty():
+            day = convert_column(F.col(c), t, errors)
+            exprs[c] = F.timestamp_micros(F.unix_date(day).cast("bigint") * 86_400_000_000
+                                          + F.coalesce(time_of_day(F.col(c)), F.lit(0)))
+            continue
         if isinstance(t, tuple):  # (callable, declared return type)
             exprs[c] = convert_column(F.col(c), t[0], errors, return_type=t[1])
         else:

@@ -77,7 +77,8 @@ def fold_table(df: DataFrame, order_by: Sequence[str], spec: FoldSpec = FoldSpec
     else:
         counts = idx.agg(F.count(F.lit(1)).alias("__n"))
     nf = _n_folds_expr(F.col("__n"), spec)
-    folds = counts.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), nf - 1)).alias("fold"))
+    # sequence(0, -1) would count down, so series without a fold go first
+    folds = counts.where(nf > 0).select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), nf - 1)).alias("fold"))
     folds = folds.where(F.col("fold") >= 0)
     f = F.col("fold")
     start = spec.train + spec.purge

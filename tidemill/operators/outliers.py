@@ -12,17 +12,17 @@ from pyspark.sql import types as T
 
 from tidemill.operators.clean import is_numeric
 from tidemill.operators.impute import fill_missing
-from tidemill.operators.stats import column_stats
+from tidemill.operators.stats import column_stats, quantiles
 
 
 def _numeric(df: DataFrame, cols):
     return list(cols) if cols else [f.name for f in df.schema.fields if is_numeric(f.dataType)]
 
 
-def iqr_flags(df: DataFrame, cols: Sequence[str] | None = None, exact: bool | None = None) -> DataFrame:
+def iqr_flags(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``{c}_outlier``: outside ``[Q1 - 1.5 IQR, Q3 + 1.5 IQR]`` (null -> false)."""
     cols = _numeric(df, cols)
-    st = column_stats(df, cols, ["q1", "q3"], exact)
+    st = column_stats(df, cols, ["q1", "q3"])
     out = {}
     for c in cols:
         q1, q3 = st[(c, "q1")], st[(c, "q3")]
@@ -80,45 +80,53 @@ def iforest_flags(df: DataFrame, cols: Sequence[str] | None = None, contaminatio
                   n_trees: int = 100, sample_size: int = 256, seed: int = 42) -> DataFrame:
     """``{c}_outlier`` per column from a one-dimensional isolation forest.
 
-    Each tree is grown from at most ``sample_size`` rows drawn with a seeded
-    ``sample`` (the algorithm's own sub-sampling, so the driver holds at most
-    ``n_trees * sample_size`` values); rows are scored by a pandas UDF in Arrow
-    batches and cut at the ``contamination`` quantile of the scores.
+    Trees are grown from the algorithm's own sub-samples: one pass counts the columns, one
+    draws each column's ``n_trees * sample_size`` values with the smallest row hashes (a
+    bounded sample of the whole column, never a prefix), one scores all columns in Arrow
+    batches; a column is cut at the exact ``1 - contamination`` quantile of its scores.
     """
     cols = _numeric(df, cols)
-    out = df
-    for c in cols:
-        valid = df.where(F.col(c).isNotNull())
-        n = valid.count()
-        if n == 0:
-            out = out.withColumn(f"{c}_outlier", F.lit(False))
-            continue
-        frac = min(1.0, n_trees * sample_size * 2.0 / n)
-        cap = n_trees * sample_size * 4  # hard bound on what reaches the driver
-        pool = np.array([r[0] for r in valid.select(F.col(c).cast("double")).sample(False, frac, seed)
-                         .limit(cap).collect()])
+    if not cols:
+        return df
+    want = n_trees * sample_size
+    n = df.agg(*[F.count(c).alias(f"n{k}") for k, c in enumerate(cols)]).first()
+    # a row is drawn for a column when its hash falls below the column's share; about twice
+    # the values wanted, of which the driver keeps those with the smallest hashes
+    u = [F.xxhash64(F.lit(seed + k), *df.columns) / F.lit(2.0 ** 64) + 0.5 for k in range(len(cols))]
+    drawn = F.array(*[F.when(F.col(c).isNotNull() & (u[k] < min(1.0, 2.0 * want / max(1, n[f"n{k}"]))),
+                             F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v"), u[k].alias("u")))
+                      for k, c in enumerate(cols)])
+    pools: dict[int, list] = {}
+    for r in df.select(F.explode(drawn).alias("d")).where("d is not null").select("d.*").collect():
+        pools.setdefault(r["k"], []).append((r["u"], r["v"]))
+    forests = {}
+    for k, pool in pools.items():
+        x = np.array([v for _, v in sorted(pool)[:want]])
         rng = np.random.default_rng(seed)
-        psi = min(sample_size, len(pool))
-        max_depth = int(np.ceil(np.log2(max(psi, 2))))
-        trees = [_grow(rng.choice(pool, psi, replace=False), 0, max_depth, rng) for _ in range(n_trees)]
-        norm = _c(psi)
-        bc = df.sparkSession.sparkContext.broadcast(trees)
+        psi = min(sample_size, len(x))
+        depth = int(np.ceil(np.log2(max(psi, 2))))
+        forests[k] = [_grow(rng.choice(x, psi, replace=False), 0, depth, rng) for _ in range(n_trees)], _c(psi)
+    shared = df.sparkSession.sparkContext.broadcast(forests)  # columns x n_trees trees of bounded depth
 
+    def scorer(k: int):
         @F.pandas_udf(T.DoubleType())
         def score(s: pd.Series) -> pd.Series:
             v = s.astype(float).to_numpy()
             res = np.full(len(v), np.nan)
             ok = ~np.isnan(v)
             if ok.any():
-                depth = np.mean([_path(t, v[ok]) for t in bc.value], axis=0)
-                res[ok] = 2.0 ** (-depth / norm)
+                trees, norm = shared.value[k]
+                values, back = np.unique(v[ok], return_inverse=True)
+                res[ok] = (2.0 ** (-np.mean([_path(t, values) for t in trees], axis=0) / norm))[back] if norm else 0.5
             return pd.Series(res)
-
-        scored = out.withColumn(f"__score_{c}", score(F.col(c).cast("double")))
-        cut = scored.agg(F.percentile_approx(f"__score_{c}", 1 - contamination, 10000)).first()[0]
-        out = scored.withColumn(f"{c}_outlier", F.coalesce(F.col(f"__score_{c}") > F.lit(cut), F.lit(False))) \
-            .drop(f"__score_{c}")
-    return out
+        return score
+
+    scored = df.withColumns({f"__score_{c}": scorer(k)(F.col(c).cast("double")) for k, c in enumerate(cols) if k in forests})
+    named = {c: f"__score_{c}" for k, c in enumerate(cols) if k in forests}
+    cut = quantiles(scored, list(named.values()), [1 - contamination])
+    flags = {f"{c}_outlier": F.coalesce(F.nanvl(F.col(named[c]), F.lit(None).cast("double")) > F.lit(cut[named[c], 1 - contamination]), F.lit(False))
+             if c in named else F.lit(False) for c in cols}
+    return scored.withColumns(flags).drop(*named.values())
 
 
 def repair_outliers(df: DataFrame, method: str = "iqr", cols: Sequence[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.clean import is_numeric
-from tidemill.operators.stats import exact_ok, quantile
+from tidemill.operators.stats import quantiles
 
 
 def profile_missing(df: DataFrame) -> DataFrame:
@@ -21,22 +21,20 @@ def profile_missing(df: DataFrame) -> DataFrame:
     return one.select(F.inline(rows)).where(F.col("n_missing") > 0)
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, exact: bool | None = None) -> DataFrame:
-    """``(column, count, mean, std, min, p25, p50, p75, max)`` from one aggregation
-    (quartiles exact up to ``EXACT_MAX_ROWS`` rows, sketched above)."""
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(column, count, mean, std, min, p25, p50, p75, max)``; quartiles are exact at any size."""
     cols = list(cols) if cols else [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    exact = exact_ok(df, exact)
+    quarts = quantiles(df, cols, [0.25, 0.5, 0.75])
     aggs = []
     for k, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{k}"), F.avg(x).alias(f"a{k}"), F.stddev_samp(x).alias(f"s{k}"),
-                 F.min(x).alias(f"lo{k}"), F.max(x).alias(f"hi{k}"),
-                 quantile(c, [0.25, 0.5, 0.75], exact).alias(f"q{k}")]
+                 F.min(x).alias(f"lo{k}"), F.max(x).alias(f"hi{k}")]
     one = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{k}").alias("count"), F.col(f"a{k}").alias("mean"),
                      F.col(f"s{k}").alias("std"), F.col(f"lo{k}").alias("min"),
-                     F.col(f"q{k}")[0].alias("p25"), F.col(f"q{k}")[1].alias("p50"),
-                     F.col(f"q{k}")[2].alias("p75"), F.col(f"hi{k}").alias("max")) for k, c in enumerate(cols)]
+                     *[F.lit(quarts[c, q]).cast("double").alias(f"p{round(q * 100)}") for q in (0.25, 0.5, 0.75)],
+                     F.col(f"hi{k}").alias("max")) for k, c in enumerate(cols)]
     return one.select(F.inline(F.array(*rows)))
 
 
@@ -87,13 +85,13 @@ def histogram(df: DataFrame, col: str, bins: int = 30, density: bool = True) ->
     return out.select("bin", "lo", "hi", "count", dens.alias("density"))
 
 
-def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = 100_000) -> DataFrame:
+def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = None) -> DataFrame:
     """Gaussian kernel density at ``points`` grid values over ``[min, max]`` with Scott's
     bandwidth ``n^(-1/5) * std`` (sample std).
 
-    With ``prebin`` the data is first reduced to at most ``prebin`` equal-width bins
-    (a grouped count; kernel mass at bin centres), so the work is
-    ``points x min(rows, prebin)``; ``None`` evaluates every row exactly.  Each value
+    Equal values are counted first, so the work is ``points x distinct values``.  With
+    ``prebin``, an approximation the caller asks for, the data is first reduced to at most so
+    many equal-width bins (kernel mass at bin centres).  Each value
     row emits its kernel at the fixed grid (an array) and contributions are summed
     per grid point with map-side partial aggregation.
     """
@@ -112,7 +110,7 @@ def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = 100_000
         vals = (vals.select((F.lit(lo) + (_bin_expr(F.col("v"), lo, bw, prebin) + 0.5) * F.lit(bw)).alias("v"))
                 .groupBy("v").agg(F.count(F.lit(1)).alias("w")))
     else:
-        vals = vals.withColumn("w", F.lit(1))
+        vals = vals.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
     grid = F.array(*[F.lit(i) for i in range(points)])
     contrib = vals.select(F.explode(grid).alias("point"), "v", "w").withColumn(
         "z", (F.lit(lo) + F.col("point") * F.lit(step) - F.col("v")) / F.lit(h))
@@ -122,15 +120,15 @@ def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = 100_000
                        (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), (F.col("k") / F.lit(norm)).alias("density"))
 
 
-def box_stats(df: DataFrame, col: str, exact: bool | None = None) -> DataFrame:
+def box_stats(df: DataFrame, col: str) -> DataFrame:
     """``(q1, median, q3, lower_whisker, upper_whisker, n_outliers)``; whiskers are the most
     extreme data within 1.5 IQR of the box."""
     x = F.col(col).cast("double")
-    q = df.agg(quantile(col, [0.25, 0.5, 0.75], exact_ok(df, exact)).alias("q")).first()["q"]
-    if q is None:
+    q = quantiles(df, [col], [0.25, 0.5, 0.75])
+    if q[col, 0.5] is None:
         return df.sparkSession.createDataFrame(
             [], "q1 double, median double, q3 double, lower_whisker double, upper_whisker double, n_outliers bigint")
-    q1, med, q3 = q
+    q1, med, q3 = (q[col, p] for p in (0.25, 0.5, 0.75))
     lo_f, hi_f = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     inside = (x >= F.lit(lo_f)) & (x <= F.lit(hi_f))
     return df.where(x.isNotNull()).agg(

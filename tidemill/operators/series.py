@@ -186,13 +186,21 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
     else:
         plan = plan_series(df, order_by, keys, mode, target_bucket_rows)
     if plan.mode == "plain":
-        return df.withColumn(idx_col, F.row_number().over(window_spec(order_by, keys)) - 1)
+        return df.withColumn(idx_col, (F.row_number().over(window_spec(order_by, keys)) - 1).cast("long"))
     if plan.mode == "hybrid":
         normal, hot, sub = _split(df, keys, plan)
         return row_index(normal, order_by, keys, idx_col, "plain").unionByName(
             row_index(hot, order_by, keys, idx_col, sub))
     if not plan.stats:
-        return df.withColumn(idx_col, F.lit(None).cast("long"))
+        # nothing to bucket by: no rows, or no order value at all
+        out = row_index(df, order_by, keys, idx_col, "plain")
+        if not keep_buckets:
+            return out
+        part = [*keys, "__bk", "__sb"]
+        out = out.withColumns({c: F.lit(0).cast("long") for c in ("__bk", "__sb", "__off")})
+        sizes = out.groupBy(*part, "__off").agg(F.count(F.lit(1)).alias("__n"))
+        out = _join_on(out, sizes.drop("__off"), part, "inner")
+        return (out, sizes, 1, out.drop(idx_col, "__off", "__n"), part) if keep_buckets == "offsets" else out.drop("__off", "__n")
     target = plan.chunk_rows
     t = _order_number(df, order_by[0])
     integral = _is_integral(df, order_by[0])

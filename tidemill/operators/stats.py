@@ -2,30 +2,93 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-EXACT_MAX_ROWS = 10_000_000
+BINS = 1024
+COLLECT_ROWS = 4096  # a bin of at most so many rows hands its values to the driver
 
 
-def exact_ok(df: DataFrame, exact: bool | None) -> bool:
-    """``None`` = decide by size: exact statistics merge every distinct value in one
-    reducer, so above ``EXACT_MAX_ROWS`` rows the bounded-memory sketches are used."""
-    if exact is not None:
-        return exact
-    return df.count() <= EXACT_MAX_ROWS
+def _ranked(df: DataFrame, cols: Sequence[str], ranks: dict[int, set[int]], spans: dict[int, tuple]) -> dict:
+    """Values at 0-based ``ranks`` of each column, nulls and NaN left out.
+
+    Every open rank has an interval that holds it; one pass counts the rows of all intervals'
+    bins, and the bin with the rank is the next interval.  The driver sees bin counts, and the
+    values of bins that are small already, so no task ever holds a column.
+    """
+    done: dict[tuple[int, int], float] = {}
+    todo = {}
+    for k, rs in ranks.items():
+        lo, hi, _ = spans[k]
+        for r in rs:
+            if lo == hi:
+                done[k, r] = lo
+            else:
+                todo.setdefault((k, lo, hi), []).append((r, r))
+    while todo:
+        jobs = list(todo.items())
+        parts = []
+        for j, ((k, lo, hi), _) in enumerate(jobs):
+            x = F.col(cols[k]).cast("double")
+            step = hi / BINS - lo / BINS
+            at = F.least(F.greatest(F.floor(x / F.lit(step) - F.lit(lo / step)), F.lit(0)), F.lit(BINS - 1)).cast("int")
+            parts.append(F.when((x >= lo) & (x <= hi), F.struct(F.lit(j).alias("j"), at.alias("bin"), x.alias("x"))))
+        long = df.select(F.explode(F.array(*parts)).alias("r")).where("r is not null").select("r.*")
+        bins = (long.groupBy("j", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+                .orderBy("j", "bin").collect())
+        nxt, small = {}, {}
+        for j, ((k, _, _), wanted) in enumerate(jobs):
+            mine = [b for b in bins if b["j"] == j]
+            for r, left in wanted:
+                for b in mine:
+                    if left < b["n"]:
+                        break
+                    left -= b["n"]
+                if b["lo"] == b["hi"]:
+                    done[k, r] = b["lo"]
+                elif b["n"] <= COLLECT_ROWS:
+                    small.setdefault((j, b["bin"], k), []).append((r, left))
+                else:
+                    nxt.setdefault((k, b["lo"], b["hi"]), []).append((r, left))
+        if small:
+            pick = F.struct("j", "bin").isin([F.struct(F.lit(j), F.lit(b)) for j, b, _ in small])
+            got: dict[tuple[int, int], list] = {}
+            for v in long.where(pick).collect():
+                got.setdefault((v["j"], v["bin"]), []).append(v["x"])
+            for (j, b, k), wanted in small.items():
+                values = sorted(got[j, b])
+                for r, left in wanted:
+                    done[k, r] = values[left]
+        todo = nxt
+    return done
 
 
-def quantile(c: str, q, exact: bool = True, accuracy: int = 10000) -> Column:
-    """Linear-interpolated quantile(s).  ``exact=False`` switches to the bounded-memory
-    ``percentile_approx`` sketch for columns too large to ship to one reducer."""
-    qs = F.array(*[F.lit(float(x)) for x in q]) if isinstance(q, (list, tuple)) else F.lit(float(q))
-    if exact:
-        return F.percentile(F.col(c), qs)
-    return F.percentile_approx(F.col(c), qs, accuracy)
+def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> dict[tuple[str, float], float | None]:
+    """Exact linear-interpolated quantiles ``{(column, q): value}``, the same at any size; None
+    for a column without values."""
+    cols = list(cols)
+    aggs = []
+    for k, c in enumerate(cols):
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.min(x).alias(f"lo{k}"), F.max(x).alias(f"hi{k}"), F.count(x).alias(f"n{k}")]
+    if not cols:
+        return {}
+    row = df.agg(*aggs).first()
+    spans = {k: (row[f"lo{k}"], row[f"hi{k}"], row[f"n{k}"]) for k in range(len(cols)) if row[f"n{k}"]}
+    places = {(k, q): q * (spans[k][2] - 1) for k in spans for q in qs}
+    ranks: dict[int, set[int]] = {}
+    for (k, _), p in places.items():
+        ranks.setdefault(k, set()).update((math.floor(p), math.ceil(p)))
+    found = _ranked(df, cols, ranks, spans)
+    out: dict[tuple[str, float], float | None] = {(c, q): None for c in cols for q in qs}
+    for (k, q), p in places.items():
+        lo, hi = found[k, math.floor(p)], found[k, math.ceil(p)]
+        out[cols[k], q] = lo if lo == hi else (math.ceil(p) - p) * lo + (p - math.floor(p)) * hi
+    return out
 
 
 def mode_value(df: DataFrame, c: str):
@@ -36,39 +99,33 @@ def mode_value(df: DataFrame, c: str):
     return row[0][c] if row else None
 
 
-def mode_frame(df: DataFrame, c: str) -> DataFrame:
-    """The same as a one-row DataFrame ``(mode)`` for lazy joins."""
-    return (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-            .orderBy(F.col("__n").desc(), F.col(c).asc()).limit(1).select(F.col(c).alias("mode")))
+def text_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+    """``mode_value`` of several text columns from one unpivoted count."""
+    if not cols:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("v")) for k, c in enumerate(cols)])
+    counts = df.select(F.explode(pairs).alias("p")).where("p.v is not null").groupBy("p.k", "p.v").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("k").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b")).collect()
+    got = {r["k"]: r["b"]["v"] for r in best}
+    return {c: got.get(k) for k, c in enumerate(cols)}
 
 
-def column_stats(df: DataFrame, cols: Sequence[str], stats: Sequence[str], exact: bool | None = None) -> dict:
-    """One aggregation for many columns; returns ``{(col, stat): value}``."""
-    if any(s in ("median", "q1", "q3") for s in stats):
-        exact = exact_ok(df, exact)
-    aggs = []
-    for k, c in enumerate(cols):
-        for s in stats:
-            if s == "mean":
-                e = F.avg(c)
-            elif s == "median":
-                e = quantile(c, 0.5, exact)
-            elif s == "q1":
-                e = quantile(c, 0.25, exact)
-            elif s == "q3":
-                e = quantile(c, 0.75, exact)
-            elif s == "std_pop":
-                e = F.stddev_pop(c)
-            elif s == "std":
-                e = F.stddev_samp(c)
-            elif s == "min":
-                e = F.min(c)
-            elif s == "max":
-                e = F.max(c)
-            elif s == "count":
-                e = F.count(c)
-            else:
-                raise ValueError(s)
-            aggs.append(e.alias(f"s{k}_{s}"))
-    row = df.agg(*aggs).first()
-    return {(c, s): row[f"s{k}_{s}"] for k, c in enumerate(cols) for s in stats}
+_QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def column_stats(df: DataFrame, cols: Sequence[str], stats: Sequence[str]) -> dict:
+    """Statistics of many columns together; returns ``{(col, stat): value}``."""
+    plain = {"mean": F.avg, "std_pop": F.stddev_pop, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
+    unknown = [s for s in stats if s not in plain and s not in _QUANTILES]
+    if unknown:
+        raise ValueError(unknown[0])
+    out = {}
+    simple = [s for s in stats if s in plain]
+    if simple and cols:
+        row = df.agg(*[plain[s](c).alias(f"s{k}_{s}") for k, c in enumerate(cols) for s in simple]).first()
+        out = {(c, s): row[f"s{k}_{s}"] for k, c in enumerate(cols) for s in simple}
+    ordered = [s for s in stats if s in _QUANTILES]
+    if ordered:
+        got = quantiles(df, cols, [_QUANTILES[s] for s in ordered])
+        out |= {(c, s): got[c, _QUANTILES[s]] for c in cols for s in ordered}
+    return out

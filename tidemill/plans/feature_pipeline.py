@@ -60,8 +60,11 @@ def find_date_column(df: DataFrame) -> str | None:
 def load_series(df: DataFrame, target_col: str) -> DataFrame:
     """Parse the ``date`` column (any case), drop rows with any null."""
     dc = find_date_column(df)
-    if dc is not None:
-        df = df.withColumn(dc, F.to_date(F.col(dc)))
+    if dc is not None and isinstance(df.schema[dc].dataType, T.StringType):
+        stamp = F.try_to_timestamp(F.col(dc))
+        # a text column becomes dates only where no value has a time of day
+        intraday = not df.where(stamp != F.date_trunc("day", stamp)).isEmpty()
+        df = df.withColumn(dc, stamp if intraday else stamp.cast("date"))
     return df.na.drop("any")
 
 
@@ -112,9 +115,13 @@ def feature_columns(matrix: DataFrame, cfg: FeatureConfig = FeatureConfig()) ->
     return [c for c in matrix.columns if c not in skip]
 
 
-def sanitize_names(df: DataFrame, pattern: str = r"[^A-Za-z0-9_]+") -> DataFrame:
+def sanitized(name: str) -> str:
+    return re.sub(r"[^A-Za-z0-9_]+", "", name)
+
+
+def sanitize_names(df: DataFrame) -> DataFrame:
     """Strip characters outside ``[A-Za-z0-9_]`` from names; refuse collisions."""
-    mapping = {c: re.sub(pattern, "", c) for c in df.columns}
+    mapping = {c: sanitized(c) for c in df.columns}
     seen: dict[str, str] = {}
     for old, new in mapping.items():
         if new in seen:
@@ -142,4 +149,4 @@ def run_pipeline(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), fit_rows:
             keep = {r["feature"] for r in top.collect()}
             feats = [c for c in feats if c in keep]
     out = matrix.select(*cfg.keys, cfg.date_col, *cfg.tie_breakers, *feats, "y")
-    return sanitize_names(out), feats
+    return sanitize_names(out), [sanitized(c) for c in feats]

@@ -319,7 +319,7 @@ def q_repair_outliers(spark, sf):
 @register("outliers_iforest")
 def q_outliers_iforest(spark, sf):
     """Isolation-forest flags (1 % contamination) on daily price and volume."""
-    return ol.iforest_flags(fx.daily(spark, sf), DAILY2, n_trees=50)
+    return ol.iforest_flags(fx.daily(spark, sf), DAILY2)
 
 
 # ---------------------------------------------------------------- encoders / scalers
@@ -394,6 +394,6 @@ def q_clean_date_csv(spark, sf):
     """S1 + W11/W13: the noisy table as CSV files in position order, scanned back, and the date
     repair driven by *file order* (file index, split offset, row within split) -- no key column."""
     d = fx.dirty(spark, sf)
-    path = write_csv(d.repartitionByRange(4, "pos").sortWithinPartitions("pos"), scratch_path(spark, "dirty-ordered.csv"))
+    path = write_csv(d.repartitionByRange("pos").sortWithinPartitions("pos"), scratch_path(spark, "dirty-ordered.csv"))
     raw = with_file_order(read_table(spark, path, fmt="csv", schema=DIRTY_SCHEMA))
     return cl.clean_date(raw, "date_s", FILE_ORDER, mode="chunked").drop(*FILE_ORDER)

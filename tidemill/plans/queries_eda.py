@@ -70,12 +70,10 @@ def q_histogram(spark, sf):
     return pr.histogram(fx.daily(spark, sf), "adj_close", 30)
 
 
-def _kde_sql(src: str, col: str, points: int = 300, prebin: int = 100_000) -> str:
-    bw = f"((hi - lo) / {prebin})"
+def _kde_sql(src: str, col: str, points: int = 300) -> str:
     return f"""WITH v0 AS (SELECT {col} AS v FROM {src} WHERE {col} IS NOT NULL),
 s AS (SELECT min(v) AS lo, max(v) AS hi, COUNT(v) AS n, stddev_samp(v) AS sd, pow(COUNT(v), -0.2) * stddev_samp(v) AS h FROM v0),
-b AS (SELECT lo + (CAST(least(floor((v - lo) / {bw}), {prebin - 1}) AS INTEGER) + 0.5) * {bw} AS v, COUNT(*) AS w
-      FROM v0, s GROUP BY 1),
+b AS (SELECT v, COUNT(*) AS w FROM v0 GROUP BY v),
 g AS (SELECT CAST(range AS INTEGER) AS point FROM range({points}))
 SELECT point, lo + point * ((hi - lo) / {points - 1}) AS x,
        SUM(w * exp(-0.5 * ((lo + point * ((hi - lo) / {points - 1}) - b.v) / h) * ((lo + point * ((hi - lo) / {points - 1}) - b.v) / h)))

@@ -44,9 +44,9 @@ def market_report(prices: DataFrame, ohlc: DataFrame | None = None, target: str
     return out
 
 
-def table_report(df: DataFrame, max_columns: int = 200) -> dict[str, DataFrame]:
-    """Chart choice for up to ``max_columns`` columns plus the data each chart needs."""
-    cols = df.columns[:max_columns]
+def table_report(df: DataFrame) -> dict[str, DataFrame]:
+    """Chart choice for every column plus the data each chart needs."""
+    cols = df.columns
     kinds = {r["column"]: r["kind"] for r in pr.chart_kind(df, cols).collect()}
     out: dict[str, DataFrame] = {"chart_kind": pr.chart_kind(df, cols)}
     numeric = [c for c, k in kinds.items() if k == "hist_box"]
@@ -59,7 +59,7 @@ def table_report(df: DataFrame, max_columns: int = 200) -> dict[str, DataFrame]:
         else:
             out[f"bar:{c}"] = pr.value_counts(df, c)
     if len(numeric) >= 2:
-        out["correlation"] = co.corr_long(df, numeric[:100])
+        out["correlation"] = co.corr_long(df, numeric)
     return out
 
 

@@ -20,11 +20,16 @@ _CKPT_KEY = "spark.checkpoint.dir"
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidemill") -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off."""
-    master = master or os.environ.get("TIDEMILL_MASTER", "local[*]")
-    parts = shuffle_partitions or int(os.environ.get("TIDEMILL_SHUFFLE_PARTITIONS", "8"))
+    master = master or os.environ.get("TIDEMILL_MASTER")
+    parts = shuffle_partitions or os.environ.get("TIDEMILL_SHUFFLE_PARTITIONS")
+    builder = SparkSession.builder.appName(app_name)
+    # master and shuffle width are the cluster's own unless the caller names them
+    if master:
+        builder = builder.master(master)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
-        SparkSession.builder.master(master).appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(parts))
+        builder
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -63,6 +68,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
