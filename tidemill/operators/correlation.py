@@ -1,21 +1,20 @@
 """Correlation family: pairwise-complete Pearson matrix (long form), top correlates,
 safe pair correlation, cross-lag correlation.
 
-A whole matrix is one aggregation: for every pair the population covariance and
-the two standard deviations over the rows where *both* values are present.  The
-one-row result is turned into long form with ``stack`` on the executors.  Zero
-variance yields NULL (never a division error).
+A whole matrix is one pass: every partition multiplies its null-filled columns, their squares
+and their presence masks (Gramians), which gives the moments of every pair over the rows where
+*both* values are present; the moments are added up per pair.  Zero variance yields NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_MATRIX_COLUMNS = 100
-
 
 def pair_corr_expr(a: str, b: str) -> Column:
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
@@ -46,12 +45,10 @@ def corr_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = True,
     """``(col_a, col_b, i, j, r)`` for every ordered pair (or ``i < j`` with ``upper_only``).
 
     Null-free columns use Spark ML's ``Correlation`` (one distributed Gramian pass,
-    cost linear in rows, c x c result); columns with nulls use pairwise-complete
-    aggregates (three per pair).  Zero variance gives NULL.
+    cost linear in rows, c x c result); columns with nulls the pairwise-complete Gramians.
+    Zero variance gives NULL.
     """
     cols = list(cols)
-    if len(cols) > MAX_MATRIX_COLUMNS:
-        raise ValueError(f"correlation matrix limited to {MAX_MATRIX_COLUMNS} columns, got {len(cols)}")
     spark = df.sparkSession
     entries = _entries(cols, upper_only, include_diagonal)
     schema = "col_a string, col_b string, i int, j int, r double"
@@ -66,11 +63,42 @@ def corr_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = True,
             v = float(mat[i][j])
             rows.append((cols[i], cols[j], i, j, None if v != v else v))
         return spark.createDataFrame(rows, schema)
-    pairs = sorted({(min(i, j), max(i, j)) for i, j in entries})
-    one = df.agg(*[pair_corr_expr(cols[i], cols[j]).alias(f"__r{i}_{j}") for i, j in pairs])
-    structs = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(i).alias("i"),
-                        F.lit(j).alias("j"), F.col(f"__r{min(i, j)}_{max(i, j)}").alias("r")) for i, j in entries]
-    return one.select(F.inline(F.array(*structs)))
+    pairs = spark.createDataFrame([(cols[i], cols[j], i, j, min(i, j), max(i, j)) for i, j in entries],
+                                  "col_a string, col_b string, i int, j int, a int, b int")
+    return (pairs.join(_pair_moments(df, cols), ["a", "b"], "left")
+            .select("col_a", "col_b", "i", "j", "r"))
+
+
+def _pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(a, b, r)`` for ``a <= b`` over the rows that hold both; one row per pair and partition
+    is all that moves."""
+    c = len(cols)
+    # shifted by the column's minimum: sums stay small, and a constant column is exactly zero
+    low = df.agg(*[F.min(F.col(x).cast("double")).alias(f"m{k}") for k, x in enumerate(cols)]).first()
+    x = df.select(*[(F.col(n).cast("double") - F.lit(low[f"m{k}"] or 0.0)).alias(f"x{k}") for k, n in enumerate(cols)])
+    up = np.triu_indices(c)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, c, c))
+        for batch in batches:
+            v = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(c)]).astype(float)
+            m = ~np.isnan(v)
+            v, m = np.where(m, v, 0.0), m.astype(float)
+            q = v * v
+            total += np.stack([m.T @ m, v.T @ m, m.T @ v, v.T @ v, q.T @ m, m.T @ q])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(up[0].astype(np.int32)), pa.array(up[1].astype(np.int32)), *(pa.array(t[up]) for t in total)],
+            names=["a", "b", "n", "sa", "sb", "sab", "saa", "sbb"])
+
+    s = (x.mapInArrow(moments, "a int, b int, n double, sa double, sb double, sab double, saa double, sbb double")
+         .groupBy("a", "b").agg(*[F.sum(k).alias(k) for k in ("n", "sa", "sb", "sab", "saa", "sbb")]))
+
+    def spread(square, total):
+        v = F.col(square) - F.col(total) * F.col(total) / F.col("n")
+        return F.when(v > 1e-13 * F.col(square), v)  # below: rounding of a constant
+    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
+    r = cov / F.sqrt(spread("saa", "sa") * spread("sbb", "sb"))
+    return s.where("n > 0").select("a", "b", F.when(F.col("a") == F.col("b"), F.when(r.isNotNull(), 1.0)).otherwise(r).alias("r"))
 
 
 def top_correlates(df: DataFrame, target: str, cols: Sequence[str] | None = None, top_n: int = 15) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,13 +71,28 @@ def estimator(name: str, params: dict | None = None, label: str = "y", features:
     return GBTRegressor(**kw)
 
 
-def build_pipeline(name: str, feature_cols: Sequence[str], params: dict | None = None, label: str = "y") -> Pipeline:
-    """Assemble -> standardise (fitted on the training rows only) -> tree ensemble."""
+VALIDATION_SHARE = 0.2  # latest part of the training rows that decides when boosting stops
+
+
+def build_pipeline(name: str, feature_cols: Sequence[str], params: dict | None = None, label: str = "y",
+                   validation: str | None = None) -> Pipeline:
+    """Assemble -> tree ensemble (trees split by order, so features need no scaling).
+
+    ``validation`` names a boolean column: boosting is fitted on the rows where it is false and
+    stops when the others no longer improve; bagged trees ignore it."""
+    fitter = estimator(name, params, label=label)
+    if validation and isinstance(fitter, GBTRegressor):
+        fitter = fitter.setParams(validationIndicatorCol=validation)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(feature_cols), outputCol="__raw", handleInvalid="error"),
-        StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True),
-        estimator(name, params, label=label),
-    ])
+        VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error"), fitter])
+
+
+def mark_validation(train: DataFrame, idx_col: str = "row_idx", share: float = VALIDATION_SHARE) -> DataFrame:
+    """``__validation``: true in the latest ``share`` of the rows' index range."""
+    b = train.agg(F.min(idx_col).alias("lo"), F.max(idx_col).alias("hi")).first()
+    if b["lo"] is None or b["hi"] - b["lo"] < 10:
+        return train.withColumn("__validation", F.lit(False))
+    return train.withColumn("__validation", F.col(idx_col) > b["hi"] - share * (b["hi"] - b["lo"] + 1))
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("date", "y")) -> DataFrame:
@@ -170,30 +185,31 @@ def train_models(matrix: DataFrame, feature_cols: Sequence[str], prices: DataFra
     """Fit every preset on the hold-out train rows and evaluate on its test rows.
 
     Returns ``(scores, fitted, split)``: ``scores`` has ``model, rmse, r2, dir_accuracy``
-    (price space), ``fitted`` maps model -> ``PipelineModel``.  A failing model is
-    skipped.  Presets are fitted ``parallelism`` at a time (each fit is its own Spark jobs).
+    (price space) and ``error``, ``fitted`` maps model -> ``PipelineModel``.  A failing model
+    is a row of scores with its error.  Boosting stops early on the latest training rows.  Presets are fitted ``parallelism`` at a time (each fit is its own Spark jobs).
     """
     split = holdout_split(matrix, [order_by], spec).persist()
-    train, test = split.where("role = 'train'"), split.where("role = 'test'")
+    train, test = mark_validation(split.where("role = 'train'")).persist(), split.where("role = 'test'")
     spark = matrix.sparkSession
 
     def fit_one(m):
         try:
-            pm = build_pipeline(m, feature_cols, (params or {}).get(m)).fit(train)
-        except Exception:  # noqa: BLE001 - mirrors "log and skip"
-            return m, None, None
+            pm = build_pipeline(m, feature_cols, (params or {}).get(m), validation="__validation").fit(train)
+        except Exception as e:  # noqa: BLE001 - reported as the model's row
+            return m, None, (m, None, None, None, f"{type(e).__name__}: {str(e)[:300]}")
         pred = score(pm, test, keep=[order_by, "y"])
         px = price_reconstruct(pred.withColumnRenamed("prediction", "p"), prices, order_by, "y", "p",
                                base_lag=base_lag)
         met = regression_metrics(px, "actual_price", "predicted_price").first()
         da = direction_accuracy(pred, "y", "prediction").first()
-        return m, pm, (m, met["rmse"], met["r2"], da["dir_accuracy"])
+        return m, pm, (m, met["rmse"], met["r2"], da["dir_accuracy"], None)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(fit_one, models))
+    train.unpersist()
     fitted = {m: pm for m, pm, _ in results if pm is not None}
     rows = [r for _, _, r in results if r is not None]
-    scores = spark.createDataFrame(rows, "model string, rmse double, r2 double, dir_accuracy double")
+    scores = spark.createDataFrame(rows, "model string, rmse double, r2 double, dir_accuracy double, error string")
     return scores, fitted, split
 
 
