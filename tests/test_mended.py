@@ -96,3 +96,13 @@ def test_forest_flags_are_the_rarest(spark):
     out = outliers.iforest_flags(df).toPandas()
     assert out[out.v_outlier].v.abs().min() > 2 and 5 <= out.v_outlier.sum() <= 10
     assert not out[out.w.isna()].w_outlier.any()
+
+
+def test_report_rows_hold_the_values(spark):
+    from tests.conftest import SF_SMALL
+    from tidemill.plans.report import market_report, report_rows
+    from tidemill.sources import fixtures as fx
+    rep = market_report(fx.assets(spark, SF_SMALL), None, "adj_close", ["a_price", "n_price"])
+    parts = report_rows(rep).groupBy("part").count().collect()
+    assert {r["part"] for r in parts} >= {"trend", "volatility", "pair:a_price", "rebased", "top_matrix"}
+    assert rep["top_matrix"].count() == 9

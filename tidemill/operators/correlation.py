@@ -111,6 +111,11 @@ def top_correlates(df: DataFrame, target: str, cols: Sequence[str] | None = None
             .orderBy(F.col("abs_r").desc(), F.col("column")).limit(top_n))
 
 
+def top_matrix(df: DataFrame, target: str, cols: Sequence[str] | None = None, top_n: int = 15) -> DataFrame:
+    """``corr_long`` among the ``top_n`` correlates of the target, strongest first."""
+    return corr_long(df, [r["column"] for r in top_correlates(df, target, cols, top_n).collect()])
+
+
 def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     """Safe correlation: a missing column or no complete pair gives 0.0."""
     if a not in df.columns or b not in df.columns:

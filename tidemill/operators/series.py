@@ -168,7 +168,7 @@ def plan_series(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | No
 def _split(df: DataFrame, keys: list[str], plan: SeriesPlan) -> tuple[DataFrame, DataFrame, SeriesPlan]:
     normal = _join_on(df, plan.hot_keys, keys, "left_anti", plan.n_hot)
     hot = _join_on(df, plan.hot_keys, keys, "left_semi", plan.n_hot)
-    return normal, hot, SeriesPlan("chunked", plan.stats, plan.chunk_rows)
+    return normal, hot, SeriesPlan("chunked", plan.stats, plan.chunk_rows, n_hot=plan.n_hot)
 
 
 def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None,
@@ -210,7 +210,7 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
         # per-series bucket width, so many short series do not each span many buckets
         kst = df.groupBy(*keys).agg(F.min(t).alias("__klo"), F.max(t).alias("__khi"),
                                     F.count(F.lit(1)).alias("__kn"))
-        based = _join_on(df, kst, keys, "inner")
+        based = _join_on(df, kst, keys, "inner", plan.n_hot or None)  # one row per hot key
         width = F.greatest(F.lit(min_w), (F.col("__khi") - F.col("__klo") + pad) * target / F.col("__kn"))
         bucketed = based.withColumn("__bk", F.floor((t - F.col("__klo")) / width).cast("long")) \
             .drop("__klo", "__khi", "__kn")
@@ -315,7 +315,8 @@ def _bounded_by_bucket(df: DataFrame, order_by, keys: list[str], build: Builder,
         edge = edge.withColumn("__ri", pos).drop("__rk")
         frame = wo.rowsBetween(1, k) if desc else wo.rowsBetween(-k, -1)
         near = offsets.select(*full, F.collect_list(tgt).over(frame).alias("__t"))
-        cand = _join_on(edge, near.where(F.size("__t") > 0), full, "inner", n_side)
+        # each bucket's list holds up to k neighbours, so k counts in the size of this side
+        cand = _join_on(edge, near.where(F.size("__t") > 0), full, "inner", n_side * (k + 1))
         cand = cand.withColumn("__t", F.explode("__t"))
         cand = cand.where(g >= F.col("__t.off") - k) if desc else cand.where(g < F.col("__t.end") + k)
         halos.append(cand)

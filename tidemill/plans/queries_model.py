@@ -12,7 +12,7 @@ from tidemill.operators.features import rolling_mean_expr
 from tidemill.operators.series import ordered_columns, row_index
 from tidemill.plans.feature_pipeline import DAILY, build_features, feature_columns
 from tidemill.plans.queries_series import feature_matrix_sql
-from tidemill.plans.report import market_report, report_sizes, table_report  # noqa: F401
+from tidemill.plans.report import market_report, report_rows, table_report
 from tidemill.session import scratch_path
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import rounded, with_fixtures
@@ -277,7 +277,7 @@ def q_tune(spark, sf):
 
 @register("eda_report")
 def q_eda_report(spark, sf):
-    """Market report and per-column table report, as (part, n_rows)."""
+    """Market report and per-column table report, as (part, row) in long form."""
     rep = market_report(fx.assets(spark, sf), fx.ohlc(spark, sf), "adj_close", ["a_price", "n_price", "r_price"])
     rep.update({f"table:{k}": v for k, v in table_report(fx.table(spark, sf, "labels")).items()})
-    return report_sizes(rep)
+    return report_rows(rep)

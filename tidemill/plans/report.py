@@ -35,6 +35,10 @@ def market_report(prices: DataFrame, ohlc: DataFrame | None = None, target: str
     assets = [a for a in assets if a in prices.columns]
     if assets:
         out["pair_corr"] = eda.rebased_correlations(prices, target, assets)
+        for a in assets:
+            out[f"pair:{a}"] = prices.select(date, target, a).na.drop()
+        out["rebased"] = eda.rebased_series(prices, target, assets, date)
+        out["top_matrix"] = co.top_matrix(prices, target, [target, *assets])
         out["top_correlates"] = co.top_correlates(prices, target, [target, *assets])
         out["cross_lag"] = co.cross_lag_corr(prices, target, assets, [date], mode="single")
         if len(assets) >= 2:
@@ -63,6 +67,16 @@ def table_report(df: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def report_rows(report: dict[str, DataFrame]) -> DataFrame:
+    """``(part, row)``: every part's rows in long form, a row as JSON."""
+    parts = [df.select(F.lit(name).alias("part"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
+             for name, df in report.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def report_sizes(report: dict[str, DataFrame]) -> DataFrame:
     """``(part, n_rows)`` -- one small count job per part, unioned."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
