@@ -60,7 +60,7 @@ def test_empty_and_null_order_input_in_chunks(spark):
     assert dict(out.dtypes)["row_idx"] == "bigint" == dict(row_index(nulls, ["t", "v"], mode="plain").dtypes)["row_idx"]
 
 
-@pytest.mark.parametrize("bins,rows", [(1024, 4096), (4, 3)])
+@pytest.mark.parametrize("bins,rows", [(1024, 4096), (1024, 50), (4, 3)])
 def test_quantiles_are_exact_in_any_number_of_passes(spark, monkeypatch, bins, rows):
     monkeypatch.setattr(stats, "BINS", bins)
     monkeypatch.setattr(stats, "COLLECT_ROWS", rows)

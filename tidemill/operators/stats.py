@@ -21,14 +21,23 @@ def _ranked(df: DataFrame, cols: Sequence[str], ranks: dict[int, set[int]], span
     values of bins that are small already, so no task ever holds a column.
     """
     done: dict[tuple[int, int], float] = {}
-    todo = {}
+    todo, short = {}, []
     for k, rs in ranks.items():
-        lo, hi, _ = spans[k]
-        for r in rs:
-            if lo == hi:
-                done[k, r] = lo
-            else:
-                todo.setdefault((k, lo, hi), []).append((r, r))
+        lo, hi, n = spans[k]
+        if lo == hi:
+            done |= {(k, r): lo for r in rs}
+        elif n <= COLLECT_ROWS:
+            short.append(k)
+        else:
+            todo[k, lo, hi] = [(r, r) for r in rs]
+    if short:
+        pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(cols[k]).cast("double").alias("x")) for k in short])
+        held: dict[int, list] = {k: [] for k in short}
+        for v in df.select(F.explode(pairs).alias("p")).select("p.*").where("x is not null and not isnan(x)").collect():
+            held[v["k"]].append(v["x"])
+        for k in short:
+            held[k].sort()
+            done |= {(k, r): held[k][r] for r in ranks[k]}
     while todo:
         jobs = list(todo.items())
         parts = []
