@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import make_importable
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -49,6 +51,7 @@ def register(name: str, sql: str | None = None, rounding: bool = True):
         # re-registration (a module reload) replaces the entry
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            make_importable(spark)
             df = fn(spark, sf_dir)
             return round_doubles(df) if rounding else df
         run.__name__ = fn.__name__
