@@ -49,3 +49,30 @@ def test_hybrid_mode_routes_hot_keys(spark, monkeypatch):
     cols = ["k", "tie", "v"]
     assert sorted((tuple(r) for r in ia.select(cols).collect()), key=key) == \
         sorted((tuple(r) for r in ib.select(cols).collect()), key=key)
+
+
+def test_hot_instant_inside_a_mixed_bucket_is_cut_by_its_tie_breaker(spark):
+    # a third of the rows share one instant whose neighbours are microseconds away
+    n, target = 12000, 200
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5_000_000)).when(F.col("id") % 3 == 1, F.col("id") % 40 + 4_999_980)
+        .otherwise(F.col("id") * 1_000_000).alias("ts"),
+        F.col("id").alias("tie"), (F.col("id") % 17).cast("double").alias("v"))
+    b = row_index(df, ["ts", "tie"], mode="chunked", target_bucket_rows=target, keep_buckets=True)
+    assert b.groupBy("__bk", "__sb").count().agg(F.max("count")).first()[0] <= 4 * target
+    a = row_index(df, ["ts", "tie"], mode="plain")
+    assert a.select("tie", "row_idx").exceptAll(b.select("tie", "row_idx")).isEmpty()
+    x = fe.lag_features(df, ["v"], [1, 300], ["ts", "tie"], mode="chunked", chunk_rows=target)
+    y = fe.lag_features(df, ["v"], [1, 300], ["ts", "tie"], mode="plain")
+    assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+
+
+def test_hot_buckets_with_null_ties_and_text_ties_keep_their_order(spark):
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 5 != 0, F.lit(7)).alias("ts"),
+        F.when(F.col("id") % 4 != 0, F.lit(3)).alias("tie"),
+        F.format_string("%05d", F.col("id")).alias("name"), F.col("id"))
+    for order in (["ts", "tie", "id"], ["ts", "tie", "name"], ["ts", "name", "id"]):
+        a = row_index(df, order, mode="plain")
+        b = row_index(df, order, mode="chunked", target_bucket_rows=50)
+        assert a.exceptAll(b.select(a.columns)).isEmpty()

@@ -96,14 +96,24 @@ def _bucketable(df: DataFrame, c: str) -> bool:
     return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType))
 
 
+def _fixed_width(f: T.StructField) -> bool:
+    """Whether a value's size is bounded by its type; ``__`` columns are this module's own numbers."""
+    dt = f.dataType
+    if f.name.startswith("__"):
+        return not isinstance(dt, T.StructType) or all(
+            not isinstance(g.dataType, (T.StringType, T.BinaryType)) for g in dt.fields)
+    return not isinstance(dt, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
+
+
 def _join_on(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
              small_rows: int | None = None) -> DataFrame:
     """Null-safe equi-join (series keys and buckets may be NULL and still form a group,
     as they do in ``groupBy`` / ``partitionBy``).  ``small`` is broadcast only when its
-    row count is known to be within the limit; otherwise AQE decides at run time."""
+    row count is known to be within the limit and its rows have a fixed width; otherwise
+    AQE decides at run time by measured bytes."""
     on = list(on)
     ren = small.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in small.columns if c not in on])
-    if small_rows is not None and small_rows <= BROADCAST_MAX_ROWS:
+    if small_rows is not None and small_rows <= BROADCAST_MAX_ROWS and all(map(_fixed_width, small.schema)):
         ren = F.broadcast(ren)
     cond = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on]
     out = big.join(ren, on=cond, how=how)
@@ -171,6 +181,72 @@ def _split(df: DataFrame, keys: list[str], plan: SeriesPlan) -> tuple[DataFrame,
     return normal, hot, SeriesPlan("chunked", plan.stats, plan.chunk_rows, n_hot=plan.n_hot)
 
 
+def _bucket_counts(bucketed: DataFrame, order_by: Sequence[str], part: list[str], target: int) -> DataFrame:
+    """Rows per bucket and, for a bucket above four times its share, the order column that splits
+    it: the first that varies inside it (``__c``), with its lowest value and the step per part.
+
+    A column that varies only below double precision, or has no numeric image, splits nothing,
+    and no later column may stand in for it: ``__c`` is null and the bucket stays whole."""
+    pos = [c for c in order_by if _bucketable(bucketed, c)]
+    named = list(order_by[:next((k for k, c in enumerate(order_by) if c not in pos), len(order_by))])
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for k, c in enumerate(named):
+        t = _order_number(bucketed, c)
+        aggs += [F.count(c).alias(f"__v{k}"), F.min(t).alias(f"__l{k}"), F.max(t).alias(f"__h{k}"),
+                 F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(f"__e{k}")]
+    out = bucketed.groupBy(*part).agg(*aggs)
+    n = F.col("__n")
+    split = F.lit(None)
+    for k in reversed(range(len(named))):
+        lo, hi, valid = F.col(f"__l{k}"), F.col(f"__h{k}"), F.col(f"__v{k}")
+        one_value = (valid == 0) | ((valid == n) & F.col(f"__e{k}"))
+        pad = F.lit(1.0 if _is_integral(bucketed, named[k]) else 0.0)
+        step = (hi - lo + pad) / F.ceil(n / F.lit(target))
+        apart = (step > 0) & (F.floor((hi - lo) / step) > 0)
+        usable = apart | ((valid < n) & (valid > 0))  # setting nulls apart is progress as well
+        here = F.when(usable, F.struct(F.lit(k).alias("c"), lo.alias("lo"),
+                                       F.when(step > 0, step).otherwise(1.0).alias("step")))
+        split = F.when(one_value, split).otherwise(here)
+    hot = F.when(n > 4 * target, split)
+    if not named:
+        hot = F.lit(None).cast("struct<c:int,lo:double,step:double>")
+    return out.select(*part, "__n", hot.alias("__split"))
+
+
+def _split_hot_buckets(bucketed: DataFrame, order_by: Sequence[str], keys: list[str],
+                       target: int) -> tuple[DataFrame, DataFrame, int, list[str]]:
+    """Split buckets that hold more than four times their share until none can be split.
+
+    Every round appends one number to ``__sb``, an array that orders the parts of a bucket as
+    ``order_by`` orders their rows.  A bucket is cut along the first order column that varies in
+    it, so one instant among others is first cut free by time, then by its tie-breakers.  A round
+    costs one counting pass and runs only while a hot bucket is left.  Returns the rows, the
+    bucket counts, their number and the partitioning columns."""
+    full = [*keys, "__bk", "__sb"]
+    subbed = bucketed.withColumn("__sb", F.array().cast("array<bigint>"))
+    counts = _bucket_counts(subbed, order_by, full, target).persist()  # rows / target rows
+    part = [*keys, "__bk"]  # until the first split __sb is constant, so it partitions nothing
+    while True:
+        summ = counts.agg(F.count(F.lit(1)).alias("nb"), F.count("__split").alias("nh")).first()
+        if not summ["nh"]:
+            return subbed, counts.drop("__split"), int(summ["nb"]), part
+        part = full
+        hot = counts.where(F.col("__split").isNotNull()).select(*full, "__split")
+        marked = _join_on(subbed, hot, full, "left", int(summ["nh"]))
+        number = F.lit(None).cast("double")
+        for k in reversed(range(len(order_by))):
+            if _bucketable(bucketed, order_by[k]):
+                number = F.when(F.col("__split.c") == k, _order_number(bucketed, order_by[k])).otherwise(number)
+        step = F.floor((number - F.col("__split.lo")) / F.col("__split.step")).cast("long")
+        # nulls sort first, so they come before part 0
+        sub = F.when(F.col("__split").isNull(), F.lit(0)).otherwise(F.coalesce(step, F.lit(-1)))
+        subbed = marked.withColumn("__sb", F.concat("__sb", F.array(sub.cast("long")))).drop("__split")
+        finer = _bucket_counts(subbed, order_by, full, target).persist()
+        finer.count()
+        counts.unpersist()
+        counts = finer
+
+
 def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None,
               idx_col: str = "row_idx", mode="auto", target_bucket_rows: int | None = None,
               stats=None, keep_buckets: bool = False) -> DataFrame:
@@ -197,7 +273,8 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
         if not keep_buckets:
             return out
         part = [*keys, "__bk", "__sb"]
-        out = out.withColumns({c: F.lit(0).cast("long") for c in ("__bk", "__sb", "__off")})
+        out = out.withColumns({"__bk": F.lit(0).cast("long"), "__sb": F.array().cast("array<bigint>"),
+                               "__off": F.lit(0).cast("long")})
         sizes = out.groupBy(*part, "__off").agg(F.count(F.lit(1)).alias("__n"))
         out = _join_on(out, sizes.drop("__off"), part, "inner")
         return (out, sizes, 1, out.drop(idx_col, "__off", "__n"), part) if keep_buckets == "offsets" else out.drop("__off", "__n")
@@ -219,42 +296,10 @@ def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None
         span = hi - lo + pad
         width = max(min_w, span * target / n) if span > 0 else 1.0
         bucketed = df.withColumn("__bk", F.floor((t - F.lit(lo)) / F.lit(width)).cast("long"))
-    t2 = _order_number(df, order_by[1]) if len(order_by) > 1 and _bucketable(df, order_by[1]) else None
-    aggs = [F.count(F.lit(1)).alias("__n"), F.min(t).alias("__tlo"), F.max(t).alias("__thi")]
-    if t2 is not None:
-        aggs += [F.min(t2).alias("__ulo"), F.max(t2).alias("__uhi")]
-    # the bucket table has about rows / target rows (plus one per short series); read three times
-    counts = bucketed.groupBy(*keys, "__bk").agg(*aggs).persist()
-    hot_limit = 4 * target
-    summ = counts.agg(F.count(F.lit(1)).alias("nb"), F.count(F.when(F.col("__n") > hot_limit, 1)).alias("nh")).first()
-    if summ["nh"] == 0:
-        subbed = bucketed.withColumn("__sb", F.lit(0).cast("long"))
-        counts2 = counts.select(*keys, "__bk", F.lit(0).cast("long").alias("__sb"), "__n")
-        n_side = int(summ["nb"])
-        part = [*keys, "__bk"]  # __sb is constant here, so it is not a partitioning column
-    else:
-        # A hot bucket (one instant or a narrow time range holding a large share of the
-        # rows) is split again: by time range when it spans several instants, else by
-        # the first tie-breaker (its rows share the instant, so the tie-breaker orders them).
-        k = F.ceil(F.col("__n") / F.lit(target))
-        by_time = F.col("__thi") > F.col("__tlo")
-        w_time = (F.col("__thi") - F.col("__tlo") + pad) / k
-        hot_cols = [*keys, "__bk", F.col("__tlo"), F.when(by_time, w_time).alias("__wt")]
-        if t2 is not None:
-            w_tie = (F.col("__uhi") - F.col("__ulo") + 1.0) / k
-            hot_cols += [F.col("__ulo"), F.when(~by_time & (F.col("__uhi") > F.col("__ulo")), w_tie).alias("__wu")]
-        hot = counts.where(F.col("__n") > hot_limit).select(*hot_cols)
-        j = _join_on(bucketed, hot, [*keys, "__bk"], "left", int(summ["nh"]))
-        sub = F.when(F.col("__wt").isNotNull(), F.floor((t - F.col("__tlo")) / F.col("__wt")))
-        if t2 is not None:
-            sub = sub.when(F.col("__wu").isNotNull(), F.floor((t2 - F.col("__ulo")) / F.col("__wu")))
-        subbed = j.withColumn("__sb", F.coalesce(sub, F.lit(0)).cast("long")).drop("__tlo", "__wt", "__ulo", "__wu")
-        counts2 = subbed.groupBy(*keys, "__bk", "__sb").agg(F.count(F.lit(1)).alias("__n")).persist()
-        n_side = counts2.count()
-        part = [*keys, "__bk", "__sb"]
+    subbed, counts, n_side, part = _split_hot_buckets(bucketed, order_by, keys, target)
     wb = window_spec(["__bk", "__sb"], keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts2.select(*keys, "__bk", "__sb", "__n",
-                             F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
+    offsets = counts.select(*keys, "__bk", "__sb", "__n",
+                            F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
     joined = _join_on(subbed, offsets, keys + ["__bk", "__sb"], "inner", n_side)
     inner = window_spec(order_by, part)
     out = joined.withColumn(idx_col, F.col("__off") + F.row_number().over(inner) - 1)
@@ -314,7 +359,10 @@ def _bounded_by_bucket(df: DataFrame, order_by, keys: list[str], build: Builder,
         pos = (F.col("__off") + F.col("__n") - F.col("__rk")) if desc else (F.col("__off") + F.col("__rk") - 1)
         edge = edge.withColumn("__ri", pos).drop("__rk")
         frame = wo.rowsBetween(1, k) if desc else wo.rowsBetween(-k, -1)
-        near = offsets.select(*full, F.collect_list(tgt).over(frame).alias("__t"))
+        # only targets within k rows of this bucket are kept
+        end = F.col("__off") + F.col("__n")
+        reach = (lambda x: x["off"] < end + k) if desc else (lambda x: x["end"] + k > F.col("__off"))  # noqa: B023
+        near = offsets.select(*full, F.filter(F.collect_list(tgt).over(frame), reach).alias("__t"))
         # each bucket's list holds up to k neighbours, so k counts in the size of this side
         cand = _join_on(edge, near.where(F.size("__t") > 0), full, "inner", n_side * (k + 1))
         cand = cand.withColumn("__t", F.explode("__t"))
