@@ -29,10 +29,11 @@ ORDINAL_OFFSET = 719163
 
 
 def clean_date(df: DataFrame, column: str, file_order: Sequence[str], fmt: str = STRICT_FORMAT,
-               mode: str = "auto") -> DataFrame:
+               mode: str = "auto", sort: bool = True) -> DataFrame:
     """Parse ``column`` (bad -> null), fill missing dates by linear interpolation of day
     numbers in file order (half-even rounding; leading gaps stay null), keep the first
-    row per date in file order (null dates count as one date), sort by date (nulls last).
+    row per date in file order (null dates count as one date), sort by date (nulls last)
+    unless ``sort`` is off, which saves the global sort where a later step orders anyway.
 
     Keep-first is an aggregation (``min_by`` of the row on its file position), so a
     date holding a large share of the rows is combined map-side, not in one task.
@@ -47,7 +48,7 @@ def clean_date(df: DataFrame, column: str, file_order: Sequence[str], fmt: str =
     rank = F.struct(*[F.col(c) for c in file_order])
     first = dated.groupBy(column).agg(F.min_by(F.struct(*[F.col(c) for c in others]), rank).alias("__row"))
     out = first.select(column, "__row.*").select(*df.columns)
-    return out.orderBy(F.col(column).asc_nulls_last())
+    return out.orderBy(F.col(column).asc_nulls_last()) if sort else out
 
 
 def sparse_column_report(df: DataFrame, ratio: float = 2 / 3) -> DataFrame:
@@ -120,7 +121,7 @@ def fix_decimal_comma(df: DataFrame, date_col: str | None = "date", min_parsed:
     return df.withColumns({c: to_numeric(F.regexp_replace(F.col(c), ",", ".")) for c in convert})
 
 
-# The type names of the inference rules.
+# The boolean words and date separators of the inference rules.
 BOOL_WORDS = ["true", "false", "0", "1"]
 DATE_CHARS = r"[-/:.]"
 

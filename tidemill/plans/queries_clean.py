@@ -13,7 +13,9 @@ from tidemill.operators import impute as im
 from tidemill.operators import outliers as ol
 from tidemill.operators import profile as pr
 from tidemill.operators import scale as sc
+from tidemill.plans.cleaning import clean_table
 from tidemill.plans.feature_pipeline import sanitize_names
+from tidemill.plans.queries_series import interp_sql
 from tidemill.session import scratch_path
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import rounded, with_fixtures
@@ -51,7 +53,7 @@ def q_scan_json(spark, sf):
 
 @register("csv_roundtrip", rounded(with_fixtures("SELECT * FROM daily", "daily"), ["adj_close", "volume"]))
 def q_csv_roundtrip(spark, sf):
-    """S5 + S1 + SC8: export the daily table, read it back as text, restore types by inference."""
+    """S5 + S1 + SC6: export the daily table, read it back as text, convert to the named types."""
     path = write_csv(fx.daily(spark, sf), scratch_path(spark, "daily.csv"))
     raw = read_table(spark, path, fmt="csv")
     return cl.convert_types(raw, {"date": "datetime", "adj_close": "float", "volume": "float"}, errors="coerce")
@@ -103,7 +105,7 @@ def q_normalize_date(spark, sf):
     return _date_texts(spark, sf).select("o_orderkey", "text", normalize_date(F.col("text")).alias("date"))
 
 
-def _clean_date_sql() -> str:
+def _clean_date_body() -> str:
     base = """SELECT *, row_number() OVER (ORDER BY pos) - 1 AS rn,
   CAST(date_diff('day', DATE '1970-01-01', CASE WHEN regexp_full_match(trim(date_s), '\\d{1,2}/\\d{1,2}/\\d{4}')
        THEN CAST(try_strptime(trim(date_s), '%m/%d/%Y') AS DATE) END) + 719163 AS DOUBLE) AS o FROM dirty"""
@@ -117,9 +119,12 @@ FROM ({base})"""
     filled = (f"SELECT pos, price_s, qty, flag_s, note, COALESCE(o, round_even(CASE WHEN p0 IS NOT NULL AND p1 IS NOT NULL "
               f"THEN {inner} WHEN p0 IS NOT NULL THEN v0 END, 0)) AS o FROM ({nb})")
     dated = f"SELECT pos, price_s, qty, flag_s, note, DATE '1970-01-01' + CAST(o - 719163 AS INTEGER) AS date_s FROM ({filled})"
-    return rounded(with_fixtures(
-        f"SELECT date_s, pos, price_s, qty, flag_s, note FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY date_s ORDER BY pos) AS k FROM ({dated})) WHERE k = 1", "dirty"), ["qty"])
+    return (f"SELECT date_s, pos, price_s, qty, flag_s, note FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY date_s ORDER BY pos) AS k FROM ({dated})) WHERE k = 1")
+
+
+def _clean_date_sql() -> str:
+    return rounded(with_fixtures(_clean_date_body(), "dirty"), ["qty"])
 
 
 @register("clean_date", _clean_date_sql())
@@ -232,6 +237,33 @@ def q_text_code_sum(spark, sf):
     return d.select("doc_id", text_code_sum(F.col("text")).alias("code_sum"))
 
 
+@register("auto_convert", rounded(with_fixtures(
+    f"SELECT pos, {normalize_date_sql('date_s')} AS date_s, price_s, CAST(qty AS BIGINT) AS qty, "
+    "CAST(flag_s AS BOOLEAN) AS flag_s, note FROM dirty", "dirty"), []))
+def q_auto_convert(spark, sf):
+    """SC7 + SC8: every column converted to its inferred type (dates, whole numbers, booleans)."""
+    return cl.auto_convert(fx.dirty(spark, sf))[0]
+
+
+_COMMA = "replace(price_s, ',', '.')"
+
+
+def _clean_table_sql() -> str:
+    numbers = (f"SELECT date_s, pos, {_to_numeric_sql(_COMMA)} AS price_s, qty, flag_s "
+               f"FROM ({_clean_date_body()})")
+    filled = interp_sql(10, src=f"({numbers})", order="date_s NULLS FIRST", keep="date_s, pos, price_s, flag_s")
+    return rounded(with_fixtures(
+        f"SELECT date_s, pos, price_s, qty, CAST(flag_s AS BOOLEAN) AS flag_s FROM ({filled})", "dirty"),
+        ["price_s", "qty"])
+
+
+@register("clean_table", _clean_table_sql())
+def q_clean_table(spark, sf):
+    """The cleaning script end to end; columns need half their cells here, so that the gappy
+    quantity stays and is interpolated while the sparse note goes."""
+    return clean_table(fx.dirty(spark, sf), "date_s", ["pos"], ratio=0.5)
+
+
 # ---------------------------------------------------------------- imputation
 
 def _impute_sql(strategy: str) -> str:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
 from tidemill.catalog import register
 from tidemill.operators import correlation as co
 from tidemill.operators import eda
 from tidemill.operators import features as fe
 from tidemill.operators import profile as pr
 from tidemill.operators import select as se
-from tidemill.plans.feature_pipeline import DAILY, build_features, feature_columns
+from tidemill.plans.feature_pipeline import DAILY, build_features, feature_columns, run_pipeline
 from tidemill.plans.queries_series import feature_matrix_sql
 from tidemill.sources import fixtures as fx
 from tidemill.sources.fixture_sql import rounded, with_fixtures
@@ -246,16 +250,19 @@ def _fm_cte():
         "\nSELECT * FROM fm_body", f",\nfm AS (\n{body}\n)\nSELECT * FROM fm_body"), feats
 
 
-def _corr_filter_sql(threshold: float = 0.98) -> str:
-    base, feats = _fm_cte()
+def _corr_filter_body(feats: list[str], threshold: float = 0.98) -> str:
     pairs = " UNION ALL ".join(
         f"SELECT '{feats[j]}' AS feature, abs({_corr_sql(feats[i], feats[j])}) > {threshold} AS hit FROM fm"
         for j in range(len(feats)) for i in range(j))
     names = ", ".join(f"('{f}', {k})" for k, f in enumerate(feats))
-    body = (f"SELECT n.feature, n.position, COALESCE(bool_or(p.hit), false) AS dropped FROM "
+    return (f"SELECT n.feature, n.position, COALESCE(bool_or(p.hit), false) AS dropped FROM "
             f"(SELECT * FROM (VALUES {names}) AS t(feature, position)) n LEFT JOIN ({pairs}) p ON n.feature = p.feature "
             f"GROUP BY n.feature, n.position")
-    return base.replace("SELECT * FROM fm_body", body)
+
+
+def _corr_filter_sql() -> str:
+    base, feats = _fm_cte()
+    return base.replace("SELECT * FROM fm_body", _corr_filter_body(feats))
 
 
 def _feature_table(spark, sf):
@@ -270,8 +277,7 @@ def q_corr_filter(spark, sf):
     return se.correlation_filter(m, feats, 0.98)
 
 
-def _mi_sql(bins: int = 10, top: int | None = None) -> str:
-    base, feats = _fm_cte()
+def _mi_bodies(feats: list[str], bins: int = 10) -> tuple[str, str]:
     d = lambda c: f"CAST({c} AS DOUBLE)"
 
     def b(c, lo, hi):
@@ -286,6 +292,12 @@ def _mi_sql(bins: int = 10, top: int | None = None) -> str:
          CAST(SUM(nxy) OVER (PARTITION BY feature, bx) AS DOUBLE) AS nx,
          CAST(SUM(nxy) OVER (PARTITION BY feature, "by") AS DOUBLE) AS ny
   FROM (SELECT feature, bx, "by", COUNT(*) AS nxy FROM ({trip}) GROUP BY 1, 2, 3)) GROUP BY feature"""
+    return mm, body
+
+
+def _mi_sql(top: int | None = None) -> str:
+    base, feats = _fm_cte()
+    mm, body = _mi_bodies(feats)
     if top:
         body = f"SELECT * FROM ({body}) ORDER BY mi DESC, feature LIMIT {top}"
     sql = base.replace("\nSELECT * FROM fm_body", f",\nmm AS (SELECT {mm} FROM fm)\n{body}")
@@ -305,3 +317,28 @@ def q_select_top_mi(spark, sf):
     m, feats = _feature_table(spark, sf)
     return se.top_mutual_information(m, feats, "y", k=10, bins=10)
 
+
+
+SELECTED = 10  # features kept by mutual information
+
+
+def _selected_sql() -> str:
+    base, feats = _fm_cte()
+    mm, mi = _mi_bodies(feats)
+    long = " UNION ALL ".join(f"SELECT date, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, y FROM fm" for f in feats)
+    body = f"""SELECT date, replace(feature, 'adj_close', 'AdjClose') AS feature, value, y FROM ({long})
+WHERE feature IN (SELECT feature FROM mi WHERE feature NOT IN (SELECT feature FROM cf WHERE dropped)
+                  ORDER BY mi DESC, feature LIMIT {SELECTED})"""
+    sql = base.replace("\nSELECT * FROM fm_body", f",\nmm AS (SELECT {mm} FROM fm),\ncf AS ({_corr_filter_body(feats)}),"
+                       f"\nmi AS ({mi})\n{body}")
+    return rounded(sql, ["value", "y"])
+
+
+@register("feature_matrix_selected", _selected_sql())
+def q_feature_matrix_selected(spark, sf):
+    """M3 with M1, M2 and P9: features, correlation filter, top features by mutual information and
+    plain names, from a price column whose name has a space; long form, as the data choose the columns."""
+    cfg = replace(DAILY, target_col="Adj Close", max_features=SELECTED)
+    m, names = run_pipeline(fx.daily(spark, sf).withColumnRenamed("adj_close", "Adj Close"), cfg)
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in names])
+    return m.select("date", F.inline(pairs), "y")
