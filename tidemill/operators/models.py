@@ -13,6 +13,7 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.evaluate import direction_accuracy, price_reconstruct, regression_metrics
 from tidemill.operators.folds import FoldSpec, holdout_split
-from tidemill.operators.series import row_index
+from tidemill.operators.series import _join_on, row_index
 
 SEED = 42
 MODELS = ["xgboost", "lightgbm", "catboost", "random_forest"]
@@ -34,16 +35,16 @@ BASE_PARAMS = {
     "random_forest": {"n_estimators": 100, "max_depth": 10},
 }
 
-# Search space per preset -- (kind, low, high); kind int | float | log.
+# Search space per preset -- (kind, low, high); kind int | float | log.  Knobs
+# without a counterpart in Spark's ensembles (leaf regularisation, leaf count) are not drawn.
 SEARCH_SPACE = {
     "xgboost": {"n_estimators": ("int", 100, 500), "learning_rate": ("log", 0.01, 0.2),
                 "max_depth": ("int", 3, 7), "subsample": ("float", 0.6, 0.9),
                 "colsample_bytree": ("float", 0.6, 0.9)},
     "catboost": {"iterations": ("int", 200, 800), "learning_rate": ("log", 0.01, 0.2),
-                 "depth": ("int", 4, 8), "l2_leaf_reg": ("log", 1, 10)},
+                 "depth": ("int", 4, 8)},
     "lightgbm": {"n_estimators": ("int", 100, 500), "learning_rate": ("log", 0.01, 0.2),
-                 "num_leaves": ("int", 20, 100), "max_depth": ("int", 3, 10),
-                 "min_child_samples": ("int", 10, 50)},
+                 "max_depth": ("int", 3, 10), "min_child_samples": ("int", 10, 50)},
     "random_forest": {"n_estimators": ("int", 100, 134), "max_depth": ("int", 5, 20),
                       "min_samples_split": ("int", 2, 10)},
 }
@@ -51,8 +52,7 @@ SEARCH_SPACE = {
 
 def estimator(name: str, params: dict | None = None, label: str = "y", features: str = "features",
               seed: int = SEED):
-    """Spark estimator for a preset.  Unmapped knobs (``l2_leaf_reg``, ``num_leaves``) have no
-    Spark counterpart and are ignored; ``num_leaves`` is bounded through ``max_depth``."""
+    """Spark estimator for a preset; parameters without a Spark counterpart are ignored."""
     p = {**BASE_PARAMS[name], **(params or {})}
     if name == "random_forest":
         return RandomForestRegressor(
@@ -87,8 +87,15 @@ def build_pipeline(name: str, feature_cols: Sequence[str], params: dict | None =
         VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error"), fitter])
 
 
-def mark_validation(train: DataFrame, idx_col: str = "row_idx", share: float = VALIDATION_SHARE) -> DataFrame:
-    """``__validation``: true in the latest ``share`` of the rows' index range."""
+def mark_validation(train: DataFrame, idx_col: str = "row_idx", share: float = VALIDATION_SHARE,
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """``__validation``: true in the latest ``share`` of the rows' index range (of each series)."""
+    if keys:
+        ends = train.groupBy(*keys).agg(F.min(idx_col).alias("__lo"), F.max(idx_col).alias("__hi"))
+        both = _join_on(train, ends, keys)
+        span = F.col("__hi") - F.col("__lo") + 1
+        late = F.col(idx_col) > F.col("__hi") - F.lit(share) * span
+        return both.withColumn("__validation", (span > 10) & late).drop("__lo", "__hi")
     b = train.agg(F.min(idx_col).alias("lo"), F.max(idx_col).alias("hi")).first()
     if b["lo"] is None or b["hi"] - b["lo"] < 10:
         return train.withColumn("__validation", F.lit(False))
@@ -133,7 +140,8 @@ def _fold_frames(indexed: DataFrame, spec: FoldSpec, folds: Sequence[int]):
 
 def cv_rmse(indexed: DataFrame, feature_cols: Sequence[str], model: str, params: dict, spec: FoldSpec,
             folds: Sequence[int]) -> float:
-    """Mean of per-fold RMSE (log-return space); a failed fit scores +inf."""
+    """Mean of per-fold RMSE (log-return space); parameters that the estimator refuses score +inf,
+    any other failure is raised."""
     scores = []
     try:
         for _, tr, te in _fold_frames(indexed, spec, folds):
@@ -141,7 +149,7 @@ def cv_rmse(indexed: DataFrame, feature_cols: Sequence[str], model: str, params:
             r = regression_metrics(fitted.transform(te), "y", "prediction").first()
             scores.append(r["rmse"])
         return float(sum(scores) / len(scores)) if scores else float("inf")
-    except Exception:  # noqa: BLE001 - a bad trial is scored, not fatal
+    except (IllegalArgumentException, ValueError):
         return float("inf")
 
 
@@ -181,15 +189,20 @@ def best_params(tuned: DataFrame) -> dict:
 
 def train_models(matrix: DataFrame, feature_cols: Sequence[str], prices: DataFrame,
                  models: Sequence[str] = MODELS, params: dict | None = None, spec: FoldSpec = FoldSpec(),
-                 base_lag: int = 0, order_by: str = "date", parallelism: int = 4):
+                 base_lag: int = 0, order_by: str = "date", parallelism: int = 4, keys: Sequence[str] = (),
+                 tie_breakers: Sequence[str] = ()):
     """Fit every preset on the hold-out train rows and evaluate on its test rows.
 
     Returns ``(scores, fitted, split)``: ``scores`` has ``model, rmse, r2, dir_accuracy``
     (price space) and ``error``, ``fitted`` maps model -> ``PipelineModel``.  A failing model
     is a row of scores with its error.  Boosting stops early on the latest training rows.  Presets are fitted ``parallelism`` at a time (each fit is its own Spark jobs).
+
+    With ``keys`` one panel model per preset is fitted on the hold-out train rows of every series
+    together, and scored on all their test rows; ``tie_breakers`` complete ``order_by``.
     """
-    split = holdout_split(matrix, [order_by], spec).persist()
-    train, test = mark_validation(split.where("role = 'train'")).persist(), split.where("role = 'test'")
+    rows_by = [*keys, *tie_breakers]
+    split = holdout_split(matrix, [order_by, *tie_breakers], spec, keys).persist()
+    train, test = mark_validation(split.where("role = 'train'"), keys=keys).persist(), split.where("role = 'test'")
     spark = matrix.sparkSession
 
     def fit_one(m):
@@ -197,9 +210,9 @@ def train_models(matrix: DataFrame, feature_cols: Sequence[str], prices: DataFra
             pm = build_pipeline(m, feature_cols, (params or {}).get(m), validation="__validation").fit(train)
         except Exception as e:  # noqa: BLE001 - reported as the model's row
             return m, None, (m, None, None, None, f"{type(e).__name__}: {str(e)[:300]}")
-        pred = score(pm, test, keep=[order_by, "y"])
+        pred = score(pm, test, keep=[*rows_by, order_by, "y"])
         px = price_reconstruct(pred.withColumnRenamed("prediction", "p"), prices, order_by, "y", "p",
-                               base_lag=base_lag)
+                               base_lag=base_lag, keys=rows_by)
         met = regression_metrics(px, "actual_price", "predicted_price").first()
         da = direction_accuracy(pred, "y", "prediction").first()
         return m, pm, (m, met["rmse"], met["r2"], da["dir_accuracy"], None)
@@ -233,20 +246,23 @@ def permutation_importance(model: PipelineModel, df: DataFrame, feature_cols: Se
     """RMSE increase when one feature's values are permuted across rows.
 
     The permutation is a join: rows are numbered in date order and in a seeded hash
-    order, and each row takes the feature value of its partner -- all distributed.
+    order, and each row gets a donor row.  All features are scored in one ``transform``.
     """
-    base_rmse = regression_metrics(model.transform(df), "y", "prediction").first()["rmse"]
+    features = list(feature_cols)
     idx = row_index(df, [order_by], idx_col="__i")
     hashed = idx.withColumn("__h", F.xxhash64(F.col("__i"), F.lit(seed)))
-    perm = row_index(hashed.select("__i", "__h", *feature_cols), ["__h", "__i"], idx_col="__j")
-    rows = []
-    for c in feature_cols:
-        donor = perm.select(F.col("__j").alias("__i"), F.col(c).alias("__v"))
-        shuffled = idx.join(donor, "__i").withColumn(c, F.col("__v")).drop("__v")
-        r = regression_metrics(model.transform(shuffled), "y", "prediction").first()["rmse"]
-        rows.append((c, float(r - base_rmse)))
-    return df.sparkSession.createDataFrame(rows, "feature string, rmse_increase double") \
-        .orderBy(F.col("rmse_increase").desc(), "feature")
+    donors = row_index(hashed.select("__h", "__i", F.struct(*features).alias("__d")), ["__h", "__i"], idx_col="__j")
+    both = idx.join(donors.select(F.col("__j").alias("__i"), "__d"), "__i")
+    # every row once as it is (-1) and once per feature with that feature's donor value
+    wide = both.withColumn("__k", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))
+    swapped = wide.withColumns({c: F.when(F.col("__k") == k, F.col(f"__d.{c}")).otherwise(F.col(c))
+                                for k, c in enumerate(features)})
+    rmse = regression_metrics(model.transform(swapped), "y", "prediction", by=["__k"]).select("__k", "rmse")
+    base = rmse.where("__k = -1").select(F.col("rmse").alias("__base"))
+    names = F.element_at(F.array(*map(F.lit, features)), F.col("__k") + 1)
+    return (rmse.where("__k >= 0").join(F.broadcast(base))  # one row
+            .select(names.alias("feature"), (F.col("rmse") - F.col("__base")).alias("rmse_increase"))
+            .orderBy(F.col("rmse_increase").desc(), "feature"))
 
 
 def save_params(params: dict, spark, path: str) -> str:
@@ -257,12 +273,15 @@ def save_params(params: dict, spark, path: str) -> str:
 
 
 def load_params(spark, path: str) -> dict:
-    """Read tuned parameters back; a missing or unreadable file gives ``{}`` (base presets)."""
+    """Read tuned parameters back; a missing file gives ``{}`` (base presets), a broken one
+    raises."""
     try:
-        return {r["model"]: json.loads(r["params"]) for r in spark.read.schema("model string, params string")
-                .json(path).collect()}
-    except Exception:  # noqa: BLE001 - absent file means "use the base parameters"
+        saved = spark.read.schema("model string, params string").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return {}
+    return {r["model"]: json.loads(r["params"]) for r in saved.collect()}
 
 
 def save_scores(scores: DataFrame, path: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.correlation import corr_long
+from tidemill.operators.stats import part_edges
 
 
 def correlation_filter(df: DataFrame, cols: Sequence[str], threshold: float = 0.98) -> DataFrame:
@@ -22,35 +23,27 @@ def correlation_filter(df: DataFrame, cols: Sequence[str], threshold: float = 0.
             .select("feature", "position", F.coalesce("dropped", F.lit(False)).alias("dropped")))
 
 
-def _bin(x, lo, hi, bins: int):
-    width = (hi - lo) / bins
-    return F.when(F.lit(hi) == F.lit(lo), F.lit(0)).otherwise(
-        F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))).cast("int")
+def _bin(x, edges: Sequence[float]):
+    """Number of edges at or below the value."""
+    return sum(((x >= F.lit(e)).cast("int") for e in edges), F.lit(0))
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins: int = 10) -> DataFrame:
     """Binned mutual information ``sum p(x,y) ln(p(x,y) / (p(x) p(y)))`` per feature (nats).
 
-    Equal-width bins on each column's [min, max]; rows with a null in the pair
-    are ignored for that feature.  Map-side partial aggregation reduces the
-    exploded ``(feature, bx, by)`` triples to ``features x bins^2`` rows before
-    the shuffle.
+    Quantile bins: each column is cut at exact order statistics, so heavy tails do not empty
+    the bins; equal values share one.  Rows with a null in the pair are ignored for that
+    feature.  Map-side partial aggregation reduces the exploded ``(feature, bx, by)`` triples
+    to ``features x bins^2`` rows before the shuffle.
     """
     features = list(features)
-    mm = df.agg(*[F.min(c).alias(f"lo{k}") for k, c in enumerate(features)],
-                *[F.max(c).alias(f"hi{k}") for k, c in enumerate(features)],
-                F.min(target).alias("ylo"), F.max(target).alias("yhi")).first()
-    if mm["ylo"] is None:
+    edges = part_edges(df, [*features, target], bins)
+    by = _bin(F.col(target), edges[target])
+    cells = [F.when(F.col(c).isNotNull() & F.col(target).isNotNull(),
+                    F.struct(F.lit(c).alias("feature"), _bin(F.col(c), edges[c]).alias("bx"), by.alias("by")))
+             for c in features]
+    if not cells:
         return df.sparkSession.createDataFrame([], "feature string, mi double")
-    by = _bin(F.col(target), float(mm["ylo"]), float(mm["yhi"]), bins)
-    cells = []
-    for k, c in enumerate(features):
-        lo, hi = mm[f"lo{k}"], mm[f"hi{k}"]
-        if lo is None:
-            continue
-        bx = _bin(F.col(c), float(lo), float(hi), bins)
-        cells.append(F.when(F.col(c).isNotNull() & F.col(target).isNotNull(),
-                            F.struct(F.lit(c).alias("feature"), bx.alias("bx"), by.alias("by"))))
     trip = df.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("t")).select("t.*")
     joint = trip.groupBy("feature", "bx", "by").agg(F.count(F.lit(1)).alias("nxy"))
     wf = Window.partitionBy("feature")

@@ -100,6 +100,23 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> dict[t
     return out
 
 
+def part_edges(df: DataFrame, cols: Sequence[str], parts: int) -> dict[str, list[float]]:
+    """Lower edges of all but the first of ``parts`` equally filled parts of every column: the
+    distinct values at ranks ``floor(k n / parts)``, exact at any size."""
+    cols = list(cols)
+    aggs = []
+    for k, c in enumerate(cols):
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.min(x).alias(f"lo{k}"), F.max(x).alias(f"hi{k}"), F.count(x).alias(f"n{k}")]
+    if not cols:
+        return {}
+    row = df.agg(*aggs).first()
+    spans = {k: (row[f"lo{k}"], row[f"hi{k}"], row[f"n{k}"]) for k in range(len(cols)) if row[f"n{k}"]}
+    ranks = {k: {j * n // parts for j in range(1, parts)} for k, (_, _, n) in spans.items()}
+    found = _ranked(df, cols, ranks, spans)
+    return {c: sorted({found[k, r] for r in ranks.get(k, ())}) for k, c in enumerate(cols)}
+
+
 def mode_value(df: DataFrame, c: str):
     """Most frequent non-null value, smallest on ties.  Two-phase: ``groupBy(value)``
     with map-side counting, then a top-1 -- never a per-task map of all values."""

@@ -280,12 +280,15 @@ def q_corr_filter(spark, sf):
 def _mi_bodies(feats: list[str], bins: int = 10) -> tuple[str, str]:
     d = lambda c: f"CAST({c} AS DOUBLE)"
 
-    def b(c, lo, hi):
-        w = f"(({d(hi)} - {d(lo)}) / {bins})"
-        return f"CASE WHEN {d(hi)} = {d(lo)} THEN 0 ELSE CAST(least(floor(({d(c)} - {d(lo)}) / {w}), {bins - 1}) AS INTEGER) END"
-    mm = ", ".join([f"min({f}) AS lo_{k}, max({f}) AS hi_{k}" for k, f in enumerate(feats)] + ["min(y) AS ylo, max(y) AS yhi"])
+    def b(c, e):
+        return f"len(list_filter({e}, lambda v: v <= {d(c)}))"
+    columns = [*feats, "y"]
+    lists = ", ".join(f"list_sort(list({d(c)}) FILTER (WHERE {c} IS NOT NULL)) AS s_{k}" for k, c in enumerate(columns))
+    cuts = ", ".join("[" + ", ".join(f"s_{k}[{j} * len(s_{k}) // {bins} + 1]" for j in range(1, bins)) + f"] AS e_{k}"
+                     for k in range(len(columns)))
+    mm = f"SELECT {cuts} FROM (SELECT {lists} FROM fm)"
     trip = " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, {b(f, f'lo_{k}', f'hi_{k}')} AS bx, {b('y', 'ylo', 'yhi')} AS \"by\" "
+        f"SELECT '{f}' AS feature, {b(f, f'e_{k}')} AS bx, {b('y', f'e_{len(feats)}')} AS \"by\" "
         f"FROM fm, mm WHERE {f} IS NOT NULL AND y IS NOT NULL" for k, f in enumerate(feats))
     body = f"""SELECT feature, SUM((nxy / n) * ln(nxy * n / (nx * ny))) AS mi FROM (
   SELECT feature, CAST(nxy AS DOUBLE) AS nxy, CAST(SUM(nxy) OVER (PARTITION BY feature) AS DOUBLE) AS n,
@@ -300,7 +303,7 @@ def _mi_sql(top: int | None = None) -> str:
     mm, body = _mi_bodies(feats)
     if top:
         body = f"SELECT * FROM ({body}) ORDER BY mi DESC, feature LIMIT {top}"
-    sql = base.replace("\nSELECT * FROM fm_body", f",\nmm AS (SELECT {mm} FROM fm)\n{body}")
+    sql = base.replace("\nSELECT * FROM fm_body", f",\nmm AS ({mm})\n{body}")
     return rounded(sql, ["mi"])
 
 
@@ -329,7 +332,7 @@ def _selected_sql() -> str:
     body = f"""SELECT date, replace(feature, 'adj_close', 'AdjClose') AS feature, value, y FROM ({long})
 WHERE feature IN (SELECT feature FROM mi WHERE feature NOT IN (SELECT feature FROM cf WHERE dropped)
                   ORDER BY mi DESC, feature LIMIT {SELECTED})"""
-    sql = base.replace("\nSELECT * FROM fm_body", f",\nmm AS (SELECT {mm} FROM fm),\ncf AS ({_corr_filter_body(feats)}),"
+    sql = base.replace("\nSELECT * FROM fm_body", f",\nmm AS ({mm}),\ncf AS ({_corr_filter_body(feats)}),"
                        f"\nmi AS ({mi})\n{body}")
     return rounded(sql, ["value", "y"])
 

@@ -10,7 +10,7 @@ from tidemill.operators import folds as fo
 from tidemill.operators import models as mo
 from tidemill.operators.features import rolling_mean_expr
 from tidemill.operators.series import ordered_columns, row_index
-from tidemill.plans.feature_pipeline import DAILY, build_features, feature_columns
+from tidemill.plans.feature_pipeline import DAILY, FeatureConfig, build_features, feature_columns
 from tidemill.plans.queries_series import feature_matrix_sql
 from tidemill.plans.report import market_report, report_rows, table_report
 from tidemill.session import scratch_path
@@ -222,6 +222,22 @@ def q_train_models(spark, sf):
     return mo.leaderboard(scores)
 
 
+PANEL_SPEC = fo.FoldSpec(train=20, test=5, purge=0)
+
+
+@register("panel_scores")
+def q_panel_scores(spark, sf):
+    """M10/M11 over many series: one forest for every user's events, fitted on the train rows of each
+    user's last fold and scored in price space; the training rows grow with the events."""
+    cfg = FeatureConfig(target_col="value", date_col="ts", keys=("user_id",), tie_breakers=("event_id",))
+    ticks = fx.ticks(spark, sf)
+    m = build_features(ticks, cfg)
+    scores, _, _ = mo.train_models(m, feature_columns(m, cfg), ticks.withColumnRenamed("value", "price"),
+                                   models=["random_forest"], spec=PANEL_SPEC, order_by="ts", keys=["user_id"],
+                                   tie_breakers=["event_id"])
+    return scores
+
+
 def _fitted(spark, sf, model="random_forest"):
     m, feats = _matrix(spark, sf)
     split = fo.holdout_split(m, ["date"], SPEC)

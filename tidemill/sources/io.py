@@ -82,7 +82,7 @@ def with_file_order(df: DataFrame) -> DataFrame:
     split inside the file, and ``monotonically_increasing_id()`` (increasing within a
     split).  Together they order rows as they appear in the files, whatever the scan's
     partition layout; pass ``FILE_ORDER`` as ``order_by`` / ``file_order``.  The file list
-    comes from the scan's metadata (one entry per file) and is broadcast.  Call it
+    comes from the scan's own metadata (one entry per file); Spark picks the join by its size.  Call it
     directly on a file scan.
     """
     strip = r"^[a-zA-Z][\w+.-]*:(//[^/]*)?"  # scheme and authority are spelled differently by the two APIs
@@ -91,4 +91,4 @@ def with_file_order(df: DataFrame) -> DataFrame:
     scanned = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), strip, "").alias("__path"),
                         F.col("_metadata.file_block_start").alias("__block"),
                         F.monotonically_increasing_id().alias("__row"))
-    return scanned.join(F.broadcast(index), "__path").drop("__path")
+    return scanned.join(index, "__path").drop("__path")
