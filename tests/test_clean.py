@@ -146,3 +146,16 @@ def test_describe_categorical_tie_takes_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
     r = pr.describe_categorical(df, ["c"]).first()
     assert (r["count"], r["unique"], r["top"], r["freq"]) == (4, 2, "a", 2)
+
+
+def test_clean_table_chains_the_script(spark):
+    from tidemill.plans.cleaning import clean_table
+    rows = [(0, "01/02/2020", "1,5", 1.0, "true", None), (1, "01/03/2020", "2,5", None, "false", None),
+            (2, "01/03/2020", "9,9", 9.0, "true", "x"), (3, "bad", "3,5", 2.0, "true", None),
+            (4, "01/07/2020", "4,5", 4.0, "false", None)]
+    df = spark.createDataFrame(rows, "pos long, d string, price string, qty double, flag string, note string")
+    out = clean_table(df, "d", ["pos"])
+    assert dict(out.dtypes) == {"pos": "bigint", "d": "date", "price": "double", "qty": "double", "flag": "boolean"}
+    got = [(str(r["d"]), r["price"], r["qty"], r["flag"]) for r in out.orderBy("d").collect()]
+    assert got == [("2020-01-02", 1.5, 1.0, True), ("2020-01-03", 2.5, 1.5, False),
+                   ("2020-01-05", 3.5, 2.0, True), ("2020-01-07", 4.5, 4.0, False)]

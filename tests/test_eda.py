@@ -44,3 +44,15 @@ def test_market_report_picks_assets_by_prefix(spark):
     rep = market_report(prices, None, "adj_close", asset_prefixes={"first": ["AX_"], "second": ["NX_"]})
     assets = {r["asset"] for r in rep["cross_lag"].select("asset").distinct().collect()}
     assert assets == {"AX_Close", "NX_open"}
+
+
+def test_quantile_bins_survive_heavy_tails(spark):
+    import math
+    from tidemill.operators.select import mutual_information
+    from tidemill.operators.stats import part_edges
+    rows = [(float(i), float(10 ** (i % 50)), float(i % 2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, heavy double, y double")
+    assert part_edges(df, ["x"], 4) == {"x": [50.0, 100.0, 150.0]}
+    got = {r["feature"]: r["mi"] for r in mutual_information(df, ["x", "heavy"], "y", bins=50).collect()}
+    assert math.isclose(got["heavy"], math.log(2), rel_tol=1e-9)  # every power of ten has its own bin
+    assert mutual_information(df.where("x < 0"), ["x"], "y").count() == 0

@@ -54,3 +54,19 @@ def test_best_params_fall_back_when_all_trials_fail(spark):
     best = mo.best_params(tuned)
     assert best["xgboost"] == mo.BASE_PARAMS["xgboost"]
     assert best["random_forest"] == {"max_depth": 7, "n_estimators": 110}
+
+
+def test_broken_saved_parameters_raise_and_absent_ones_do_not(spark):
+    import pytest
+    path = scratch_path(spark, "broken")
+    spark.createDataFrame([("xgboost", "{not json")], "model string, params string").write.json(path)
+    with pytest.raises(ValueError):
+        mo.load_params(spark, path)
+    assert mo.load_params(spark, scratch_path(spark, "nowhere")) == {}
+
+
+def test_validation_rows_are_the_latest_of_each_series(spark):
+    df = spark.createDataFrame([(k, i) for k, lo in ((None, 0), ("a", 100)) for i in range(lo, lo + 20)],
+                               "k string, row_idx long")
+    late = mo.mark_validation(df, keys=["k"]).where("__validation").groupBy("k").agg({"row_idx": "min", "*": "count"})
+    assert {tuple(r) for r in late.collect()} in ({(None, 16, 4), ("a", 116, 4)}, {(None, 4, 16), ("a", 4, 116)})

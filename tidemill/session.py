@@ -8,6 +8,7 @@ we create a private directory and record it in the session.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_scratch: list[str] = []  # paths handed out and not yet deleted
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -74,6 +76,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
+    """A fresh path under the shared checkpoint folder for written tables.
+
+    Queries read such a table lazily, so it stays until ``drop_scratch`` or the program's end."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(drop_scratch, spark)
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables written to ``scratch_path``s; a stopped session leaves them."""
+    while _scratch:
+        path = _scratch.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session is gone, nothing can be deleted through it
+            return
