@@ -106,3 +106,20 @@ def test_report_rows_hold_the_values(spark):
     parts = report_rows(rep).groupBy("part").count().collect()
     assert {r["part"] for r in parts} >= {"trend", "volatility", "pair:a_price", "rebased", "top_matrix"}
     assert rep["top_matrix"].count() == 9
+
+
+def test_forest_draws_copies_by_row(spark):
+    # 11 values over 60,000 rows, of which a tree set of 50 x 80 draws a fifteenth
+    few = spark.range(60_000).selectExpr("CASE WHEN id % 200 = 7 THEN 1000D ELSE id % 10 END AS v")
+    out = outliers.iforest_flags(few, n_trees=50, sample_size=80).groupBy("v", "v_outlier").count().collect()
+    assert {(r.v, r["count"]) for r in out if r.v_outlier} == {(1000.0, 300)}
+    # copies of one row hold a third of the rows, and so of the draw
+    third = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 5D ELSE id END AS v", "CAST(NULL AS INT) AS w")
+    for seed in range(4):
+        x = outliers._draw(third, ["v", "w"], 6000, seed)
+        assert set(x) == {0} and len(x[0]) == 6000
+        assert abs((x[0] == 5).mean() - 1 / 3) < 0.03
+        assert abs(np.median(x[0][x[0] != 5]) - 30_000) < 2000
+    # all rows are drawn where there are few, and one value may hold them all
+    assert sorted(outliers._draw(few.limit(500), ["v"], 500, 0)[0]) == sorted(r.v for r in few.limit(500).collect())
+    assert outliers._draw(spark.range(10**6).selectExpr("7 AS v"), ["v"], 900, 0)[0].tolist() == [7.0] * 900

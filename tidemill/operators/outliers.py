@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,32 +76,51 @@ def _path(tree, v: np.ndarray, depth: int = 0) -> np.ndarray:
     return out
 
 
+def _draw(df: DataFrame, cols: list[str], want: int, seed: int) -> dict[int, np.ndarray]:
+    """``want`` values of each column drawn by row, without replacement; all if there are fewer.
+
+    Every row has a number in [0, 1) and the smallest are drawn.  Of a value's ``m`` copies only
+    the smallest number is made from the value's hash, as the least of ``m`` uniform ones; given
+    it, the others are uniform above it and are made for drawn values only.
+    """
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    n = df.agg(*[F.count(v).alias(f"n{k}") for k, v in enumerate(x)]).first()
+    # about twice the rows wanted fall below a column's share
+    share = [min(1.0, 2.0 * want / max(1, n[f"n{k}"])) for k in range(len(cols))]
+    v01 = F.shiftrightunsigned(F.xxhash64(F.lit(seed) + F.col("k"), "v"), 11) * F.lit(2.0 ** -53)
+    first = (df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in enumerate(x)])).alias("d"))
+             .select("d.*").where("v is not null").groupBy("k", "v").agg(F.count(F.lit(1)).alias("m"))
+             .withColumn("u", -F.expm1(F.log1p(-v01) / F.col("m")))
+             .where(F.col("u") <= F.array(*map(F.lit, share))[F.col("k")]))
+    # a value beyond the ``want`` smallest has no drawn copy
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("u", "v"))).where(F.col("r") <= want)
+    rows = first.select("k", "v", "m", "u").toPandas().sort_values(["k", "u", "v"])
+    out = {}
+    for k, p in rows.groupby("k"):
+        u, m, v = p["u"].to_numpy(), p["m"].to_numpy(), p["v"].to_numpy()
+        rng = np.random.default_rng([seed, k])
+        more = rng.binomial(m - 1, (share[k] - u) / (1.0 - u))
+        low = np.repeat(u, more)
+        at = np.concatenate([u, low + (share[k] - low) * rng.random(len(low))])
+        out[int(k)] = np.concatenate([v, np.repeat(v, more)])[np.argsort(at, kind="stable")[:want]]
+    return out
+
+
 def iforest_flags(df: DataFrame, cols: Sequence[str] | None = None, contamination: float = 0.01,
                   n_trees: int = 100, sample_size: int = 256, seed: int = 42) -> DataFrame:
     """``{c}_outlier`` per column from a one-dimensional isolation forest.
 
     Trees are grown from the algorithm's own sub-samples: one pass counts the columns, one
-    draws each column's ``n_trees * sample_size`` values with the smallest row hashes (a
-    bounded sample of the whole column, never a prefix), one scores all columns in Arrow
-    batches; a column is cut at the exact ``1 - contamination`` quantile of its scores.
+    counts each column's distinct values and draws ``n_trees * sample_size`` rows of it, each
+    copy of a value for itself (a bounded sample of the whole column, never a prefix), one
+    scores all columns in Arrow batches; a column is cut at the exact ``1 - contamination``
+    quantile of its scores.
     """
     cols = _numeric(df, cols)
     if not cols:
         return df
-    want = n_trees * sample_size
-    n = df.agg(*[F.count(c).alias(f"n{k}") for k, c in enumerate(cols)]).first()
-    # a row is drawn for a column when its hash falls below the column's share; about twice
-    # the values wanted, of which the driver keeps those with the smallest hashes
-    u = [F.xxhash64(F.lit(seed + k), *df.columns) / F.lit(2.0 ** 64) + 0.5 for k in range(len(cols))]
-    drawn = F.array(*[F.when(F.col(c).isNotNull() & (u[k] < min(1.0, 2.0 * want / max(1, n[f"n{k}"]))),
-                             F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v"), u[k].alias("u")))
-                      for k, c in enumerate(cols)])
-    pools: dict[int, list] = {}
-    for r in df.select(F.explode(drawn).alias("d")).where("d is not null").select("d.*").collect():
-        pools.setdefault(r["k"], []).append((r["u"], r["v"]))
     forests = {}
-    for k, pool in pools.items():
-        x = np.array([v for _, v in sorted(pool)[:want]])
+    for k, x in _draw(df, cols, n_trees * sample_size, seed).items():
         rng = np.random.default_rng(seed)
         psi = min(sample_size, len(x))
         depth = int(np.ceil(np.log2(max(psi, 2))))
