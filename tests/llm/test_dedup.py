@@ -130,6 +130,33 @@ def test_substring_edges(spark):
     assert substring.dedup_substrings(df.limit(0)).count() == 0
 
 
+def test_substring_passages_without_white_space(spark):
+    rng = np.random.default_rng(6)
+    alphabets = {"han": [chr(c) for c in range(0x4E00, 0x5200)], "thai": [chr(c) for c in range(0x0E01, 0x0E2F)],
+                 "base64": list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")}
+    rows, passages = [], {}
+    for k, (name, chars) in enumerate(alphabets.items()):
+        draw = lambda n: "".join(rng.choice(chars, n))
+        passages[name] = draw(500)
+        for i, front in enumerate((0, 40, 41, 333)):   # the same passage at four offsets
+            rows.append((10 * k + i, draw(front) + passages[name] + draw(90), name))
+        rows += [(10 * k + 5, whole := draw(150), name), (10 * k + 6, whole, name), (10 * k + 7, draw(800), name)]
+    joined = ["\u3000".join(_words(rng, 60).split()) for _ in range(2)]
+    rows += [(100, joined[0], "joined"), (101, "x\u3000" + joined[0] + joined[1], "joined")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, kind string")
+    out = {r.doc_id: r for r in substring.dedup_substrings(df).collect()}
+    for d, text, kind in rows:
+        cut = "".join(text.encode()[s.s:s.e].decode() for s in out[d].substring_spans or [])
+        if kind == "joined":
+            assert len(cut) > 200 and cut in joined[0] if d == 101 else not cut
+        elif d % 10 in (0, 5, 7):
+            assert out[d].text == text
+        elif d % 10 == 6:
+            assert out[d].text == ""
+        else:
+            assert any(cut in t for e, t, _ in rows if e < d) and len(cut.encode()) > len(passages[kind].encode()) - 200
+
+
 def test_chunks_shift_with_insertions():
     rng = np.random.default_rng(2)
     text = _words(rng, 2000).encode()

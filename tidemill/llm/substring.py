@@ -2,7 +2,9 @@
 
 A gear rolling hash runs over a text's bytes.  A chunk ends after white space where the hash of
 the last 32 bytes falls on a cut, so the cuts depend on the content alone and an insertion
-moves only the cuts around it.  Chunks are counted corpus-wide by digest; a chunk whose digest
+moves only the cuts around it.  Where the last 32 bytes hold no white space (Chinese, Japanese,
+Thai, minified code, base64) any character may end a chunk, on a rarer cut, and words count by
+their length.  Chunks are counted corpus-wide by digest; a chunk whose digest
 stands in a document before is a repeat, and a run of neighbouring repeats of at least
 ``min_words`` words is removed from the later document.  The first document keeps the passage.
 """
@@ -21,7 +23,9 @@ from ._common import staged
 
 MIN_BYTES, MAX_BYTES = 16, 192
 CUT_BITS = 2          # one white space in 4 is a cut, then shorter chunks are joined up to MIN_BYTES
+DENSE_BITS = 5        # one byte in 32 without white space before it is a cut
 MIN_WORDS = 16
+LONG_WORD, WORD_BYTES = 20, 8  # more bytes than that without white space are a word each 8
 _WINDOW = 32
 _BLOCK = 4 << 20      # bytes hashed at a time
 _NO_ID = 1 << 62      # documents without an id come after all others, by the hash of their text
@@ -58,7 +62,14 @@ def _cuts(texts: list[bytes]) -> list[list[int]]:
     data = np.frombuffer(joined, dtype=np.uint8)
     if not len(data):
         return [[] for _ in texts]
-    at = np.flatnonzero(_IS_SPACE[data] & (gear_hash(data) >> np.uint32(32 - CUT_BITS) == 0)) + 1
+    h = gear_hash(data)
+    spaces = np.flatnonzero(_IS_SPACE[data])
+    at = spaces[h[spaces] >> np.uint32(32 - CUT_BITS) == 0] + 1
+    dense = np.flatnonzero(h < np.uint32(1 << 32 - DENSE_BITS))
+    dense = dense[dense - np.r_[-_WINDOW, spaces][np.searchsorted(spaces, dense, "right")] >= _WINDOW] + 1
+    for _ in range(3):  # on to the character's end
+        dense += (dense < len(data)) & (data[np.minimum(dense, len(data) - 1)] & 0xC0 == 0x80)
+    at = np.union1d(at, dense)
     starts = np.cumsum([0] + [len(t) + _WINDOW for t in texts[:-1]])
     ends = starts + [len(t) for t in texts]
     lo, hi = np.searchsorted(at, starts, "right"), np.searchsorted(at, ends, "left")
@@ -87,6 +98,13 @@ def _soft_cut(t: bytes, start: int) -> int:
     return end
 
 
+def _words(piece: bytes) -> int:
+    words = piece.split()
+    if len(piece) <= LONG_WORD or len(max(words, key=len, default=b"")) <= LONG_WORD:
+        return len(words)
+    return sum(1 if len(w) <= LONG_WORD else -(-len(w) // WORD_BYTES) for w in words)
+
+
 def chunk_texts(texts: list[bytes]) -> list[list[int]]:
     """Chunk ends of every text, hashed block by block."""
     out: list[list[int]] = []
@@ -120,7 +138,7 @@ def document_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 last = 0
                 for e in ends:
                     piece = t[last:e]
-                    place.append(last << 2 * _LEN_BITS | (e - last) << _LEN_BITS | len(piece.split()))
+                    place.append(last << 2 * _LEN_BITS | (e - last) << _LEN_BITS | _words(piece))
                     raw.append(digest(piece, digest_size=8).digest())
                     last = e
             yield pa.RecordBatch.from_arrays(
