@@ -157,6 +157,39 @@ def test_substring_passages_without_white_space(spark):
             assert any(cut in t for e, t, _ in rows if e < d) and len(cut.encode()) > len(passages[kind].encode()) - 200
 
 
+def test_substring_runs_stand_in_one_earlier_document(spark):
+    rng = np.random.default_rng(8)
+    lines = [_words(rng, 8) + "\n" for _ in range(40)]
+    rows = [(d, "".join(rng.permutation(lines)[:12])) for d in range(300)]      # forms of stock lines
+    rows += [(1000 + d, _words(rng, 30) + "\n" + "".join(rows[d][1]) + _words(rng, 30)) for d in range(0, 300, 10)]
+    out = {r.doc_id: r for r in substring.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for d, text in rows:
+        raw, spans = text.encode(), out[d].substring_spans or []
+        earlier = [t for e, t in rows if e < d]
+        for s in spans:  # every word removed stands among 16 that one earlier document holds
+            words = raw[s.s:s.e].decode().split()
+            assert len(words) >= 16
+            held = np.zeros(len(words), bool)
+            for i in range(len(words) - 15):
+                if any(" ".join(words[i:i + 16]) in " ".join(t.split()) for t in earlier):
+                    held[i:i + 16] = True
+            assert held.all()
+        if d >= 1000:
+            assert sum(s.e - s.s for s in spans) > 0.6 * len(rows[d - 1000][1])
+
+
+def test_windows_against_brute_force():
+    rng = np.random.default_rng(9)
+    text = "\n ".join(_words(rng, int(n)) for n in rng.integers(1, 30, 20)).encode() + b" " * 700 + _words(rng, 40).encode()
+    ends = substring.chunk_texts([text])[0]
+    got = set(zip(*(x.tolist() for x in substring._windows(text, ends, 16))))
+    blank = [e for s, e in zip([0, *ends], ends) if not text[s:e].strip()]
+    at = [0, *(e for e, f in zip(ends, [*ends[1:], 0]) if f not in blank)]
+    enough = [(s, e) for s in at for e in at if s < e and len(text[s:e].split()) >= 16]
+    assert blank and got == {min(w for w in enough if w[0] == s) for s, _ in enough} | {max(w for w in enough if w[1] == e) for _, e in enough}
+    assert [len(x) for x in substring._windows(b"", [], 16)] == [0, 0]
+
+
 def test_chunks_shift_with_insertions():
     rng = np.random.default_rng(2)
     text = _words(rng, 2000).encode()

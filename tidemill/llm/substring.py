@@ -4,9 +4,13 @@ A gear rolling hash runs over a text's bytes.  A chunk ends after white space wh
 the last 32 bytes falls on a cut, so the cuts depend on the content alone and an insertion
 moves only the cuts around it.  Where the last 32 bytes hold no white space (Chinese, Japanese,
 Thai, minified code, base64) any character may end a chunk, on a rarer cut, and words count by
-their length.  Chunks are counted corpus-wide by digest; a chunk whose digest
-stands in a document before is a repeat, and a run of neighbouring repeats of at least
-``min_words`` words is removed from the later document.  The first document keeps the passage.
+their length.
+
+What is counted corpus-wide by digest is windows: the fewest neighbouring chunks of at least
+``min_words`` words from each chunk on, and up to each chunk.  A window whose digest stands in a
+document before is a repeat and is removed from the later document, so all that is removed
+belongs to a run of enough words that one earlier document holds as a whole; and a repeated run
+goes to its last chunk at either end.  The first document keeps the passage.
 """
 
 from __future__ import annotations
@@ -119,68 +123,81 @@ def chunk_texts(texts: list[bytes]) -> list[list[int]]:
     return out + (_cuts(some) if some else [])
 
 
-_CHUNK = "doc bigint, text_hash bigint, digest bigint, place bigint"
-_LEN_BITS = 12  # place: start << 24 | length << 12 | words, so a chunk row stays short and sorts by start
-
-
-def document_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every chunk: doc (the id; without one a number from the text's hash), text_hash, digest
-    (64 bits of BLAKE2b; a removed run needs several equal chunks in a row), and place (start,
-    length in bytes, words)."""
+_WINDOWS = "doc bigint, text_hash bigint, digest bigint, place bigint"
+_LEN_BITS = 32  # place: start << 32 | length in bytes, so a row stays short and sorts by start
+
+
+def _windows(t: bytes, cuts: list[int], min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every window of a text, in bytes."""
+    ends, words, last = [0], [0], 0
+    for e in cuts:
+        n = _words(t[last:e])
+        if n or len(ends) == 1:
+            ends.append(e)
+            words.append(n)
+        else:  # white space alone goes with the chunk before it
+            ends[-1] = e
+        last = e
+    at, total = np.array(ends, dtype=np.int64), np.cumsum(words)
+    n = len(at) - 1
+    to = np.searchsorted(total, total[:-1] + min_words, "left")              # from each chunk on
+    since = np.searchsorted(total, total[1:] - min_words, "right") - 1       # up to each chunk
+    from_here, up_to = np.flatnonzero(to <= n), np.flatnonzero(since >= 0)
+    both = np.unique(np.r_[from_here * (n + 1) + to[from_here], since[up_to] * (n + 1) + up_to + 1])
+    return at[both // (n + 1)], at[both % (n + 1)]
+
+
+def document_windows(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every window: doc (the id; without one a number from the text's hash), text_hash, digest
+    (64 bits of BLAKE2b), and place (start, length in bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = hashlib.blake2b
         for b in batches:
             texts = [t.as_py() or b"" for t in b.column(2)]
-            cuts = chunk_texts(texts)
-            n = np.array([len(c) for c in cuts], dtype=np.int64)
-            place, raw = [], []
-            for t, ends in zip(texts, cuts):
-                last = 0
-                for e in ends:
-                    piece = t[last:e]
-                    place.append(last << 2 * _LEN_BITS | (e - last) << _LEN_BITS | _words(piece))
-                    raw.append(digest(piece, digest_size=8).digest())
-                    last = e
+            n, place, raw = [], [np.empty(0, np.int64)], []
+            for t, cuts in zip(texts, chunk_texts(texts)):
+                s, e = _windows(t, cuts, min_words)
+                n.append(len(s))
+                place.append(s << _LEN_BITS | e - s)
+                raw.append(b"".join(digest(t[i:j], digest_size=8).digest() for i, j in zip(s.tolist(), e.tolist())))
+            n = np.array(n, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(b.column(0).to_numpy(), n)), pa.array(np.repeat(b.column(1).to_numpy(), n)),
-                 pa.array(np.frombuffer(b"".join(raw), dtype="<i8")), pa.array(place, pa.int64())],
+                 pa.array(np.frombuffer(b"".join(raw), dtype="<i8")), pa.array(np.concatenate(place))],
                 names=["doc", "text_hash", "digest", "place"])
 
     return df.select(_doc(df[id_col], df[text_col]).alias("doc"), F.xxhash64(df[text_col]).alias("text_hash"),
-                     df[text_col].cast("binary").alias("text")).mapInArrow(run, _CHUNK)
+                     df[text_col].cast("binary").alias("text")).mapInArrow(run, _WINDOWS)
 
 
 def _doc(id_col, text_col):
     return F.coalesce(id_col.cast("bigint"), F.xxhash64(text_col).bitwiseAND(F.lit(_NO_ID - 1)) + F.lit(_NO_ID))
 
 
-def repeated_spans(chunks: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(windows: DataFrame) -> DataFrame:
     """(doc, text_hash, spans): the byte spans to remove, merged and in order, for texts with any."""
-    firsts = staged(chunks.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-                    .where("first_doc < last_doc").select("digest", "first_doc"), "chunk-firsts")
-    dups = (chunks.join(firsts, "digest").where("doc > first_doc")
+    firsts = staged(windows.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+                    .where("first_doc < last_doc").select("digest", "first_doc"), "window-firsts")
+    dups = (windows.join(firsts, "digest").where("doc > first_doc")
             .groupBy("doc", "text_hash")
             .agg(F.array_sort(F.collect_set("place")).alias("places")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [_runs(c.values.to_numpy(), min_words) for c in b.column(2)]
-            keep = pa.array([bool(o) for o in out])
+            out = [_merged(c.values.to_numpy()) for c in b.column(2)]
             spans = pa.array(out, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), spans], names=["doc", "text_hash", "spans"]).filter(keep)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), spans], names=["doc", "text_hash", "spans"])
 
     return dups.mapInArrow(run, "doc bigint, text_hash bigint, spans array<struct<s:int,e:int>>")
 
 
-def _runs(places: np.ndarray, min_words: int) -> list[dict]:
-    """Neighbouring chunks joined; those of enough words."""
-    mask = (1 << _LEN_BITS) - 1
-    start, words = places >> 2 * _LEN_BITS, places & mask
-    end = start + (places >> _LEN_BITS & mask)
-    head = np.flatnonzero(np.r_[True, start[1:] != end[:-1]])
-    total = np.add.reduceat(words, head)
+def _merged(places: np.ndarray) -> list[dict]:
+    """The spans of windows in order of start, joined where they touch or overlap."""
+    start = places >> _LEN_BITS
+    end = np.maximum.accumulate(start + (places & (1 << _LEN_BITS) - 1))
+    head = np.flatnonzero(np.r_[True, start[1:] > end[:-1]])
     tail = np.r_[head[1:], len(start)] - 1
-    return [{"s": int(start[a]), "e": int(end[b])} for a, b, w in zip(head, tail, total) if w >= min_words]
+    return [{"s": int(start[a]), "e": int(end[b])} for a, b in zip(head, tail)]
 
 
 def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,8 +210,8 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     one empty; a text that repeats as a whole becomes empty, its row stays.  An empty table
     gives an empty result; other columns pass through.
     """
-    chunks = staged(document_chunks(df, id_col, text_col), "chunks")
-    spans = staged(repeated_spans(chunks, min_words), "chunk-spans")
+    windows = staged(document_windows(df, min_words, id_col, text_col), "windows")
+    spans = staged(repeated_spans(windows), "window-spans")
     spans = spans.select(F.col("doc").alias("substring_doc"), F.col("text_hash").alias("substring_hash"),
                          F.col("spans").alias("substring_spans"))
     rows = df.withColumns({"substring_doc": _doc(df[id_col], df[text_col]), "substring_hash": F.xxhash64(df[text_col])})
