@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str | None = None, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it again.
 
     Cuts the lineage at a table that outlives any executor, and gives joins plain scans on
@@ -31,7 +31,7 @@ def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFra
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
     writer = df.write.option("compression", compression) if compression else df.write
-    writer.parquet(path)
+    writer.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, embed_dedup, license_scan, mixing, packing, quality, simhash, substring, url_filter, warc
+from . import (ann, embed_dedup, license_scan, mixing, packing, prefix_trie, quality, simhash, substring,
+               url_filter, warc)
 from ._common import table
 from .url_filter import UrlRule
 
@@ -194,3 +195,37 @@ FROM norm LEFT JOIN agg USING (rid)
 @query("op10_license_scans", OP10_SQL)
 def op10(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+# ---------------------------------------------------------------- op11
+
+# CRC-32 in SQL: the table of its 256 steps, and a fold over a text's bytes
+_CRC_TABLE = """crc AS (SELECT list(t ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS t FROM range(256) r(n)))"""
+_BYTES = "list_transform(range(length(hex(encode({0}))) // 2), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT)"
+_CRC = "xor(list_reduce(" + _BYTES + ", lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+
+OP11_SQL = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':'
+             || coalesce(role, '') || coalesce(text, ''))) AS pos, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(turn ORDER BY pos) AS own FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, own, {_CRC.format("conv_id::VARCHAR")} % 9 AS h FROM c, crc),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h], h.own[h + 1:]) AS turns FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM r),
+g AS (SELECT turns[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256 FROM p GROUP BY 1, 2),
+k AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY 1),
+v AS (SELECT g.*, coalesce(n_children, 0) AS n_children,
+             CASE WHEN depth > 0 THEN (n_convs - 1) * octet_length(encode(prefix[depth].text)) ELSE 0 END AS saved FROM g LEFT JOIN k USING (prefix)),
+u AS (SELECT prefix[1:unnest(range(depth + 1))] AS prefix, n_children, saved FROM v),
+s AS (SELECT prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM u GROUP BY 1)
+SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.prefix = v.prefix LEFT JOIN v up ON v.depth > 0 AND up.depth = v.depth - 1 AND up.prefix = v.prefix[1:v.depth - 1]
+"""
+
+
+@query("op11_conversation_trie", OP11_SQL)
+def op11(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
