@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, embed_dedup, license_scan, mixing, packing, prefix_trie, quality, simhash, substring,
-               url_filter, warc)
+from . import (ann, embed_dedup, lang_crf, license_scan, mixing, packing, prefix_trie, quality, simhash, spelling,
+               substring, url_filter, warc)
 from ._common import table
 from .url_filter import UrlRule
 
@@ -229,3 +229,39 @@ FROM v JOIN s ON s.prefix = v.prefix LEFT JOIN v up ON v.depth > 0 AND up.depth
 @query("op11_conversation_trie", OP11_SQL)
 def op11(spark, sf_dir):
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+# ---------------------------------------------------------------- op12
+
+@query("op12_language_id")
+def op12(spark, sf_dir):
+    return lang_crf.identify(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- op13
+
+OP13_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS run FROM documents),
+d AS (SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS key, count(*) AS k FROM r GROUP BY doc_id, run),
+h AS (SELECT run, k, {_CRC.format("key")} AS h FROM d, crc),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM h),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+gap AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+hole AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM gap),
+near AS (SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM hole x JOIN hole y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+         UNION ALL SELECT DISTINCT x.word, x.n, y.word, y.n FROM hole x JOIN v y ON y.word = x.a || x.b
+         UNION ALL SELECT DISTINCT y.word, y.n, x.word, x.n FROM hole x JOIN v y ON y.word = x.a || x.b),
+top AS (SELECT word, n, count(*) AS n_near, min({{'minus': -near_n, 'near': encode(near)}}) AS t FROM near GROUP BY word, n),
+f AS (SELECT word, n_near, CASE WHEN -t.minus >= 5 * n THEN decode(t.near) END AS form, CASE WHEN -t.minus >= 5 * n THEN -t.minus END AS form_n FROM top),
+chain AS (SELECT word, form AS at FROM f WHERE form IS NOT NULL
+          UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.at WHERE f.form IS NOT NULL),
+root AS (SELECT chain.word, chain.at AS root FROM chain LEFT JOIN f ON f.word = chain.at WHERE f.form IS NULL)
+SELECT v.word, f.form, coalesce(root.root, v.word) AS root, v.n, coalesce(f.n_near, 0) AS n_near, f.form_n
+FROM v LEFT JOIN f USING (word) LEFT JOIN root USING (word)
+"""
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13(spark, sf_dir):
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
