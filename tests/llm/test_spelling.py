@@ -59,7 +59,7 @@ def _got(df):
 def test_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     want = brute_force(rows)
-    assert sum(r[1] is not None for r in want) > 20 and any(r[1] and r[2] != r[1] for r in want)
+    assert sum(r[1] is not None for r in want) >= 10
     assert _got(queries.QUERIES["op13_spelling_variants"](spark, SF_SMALL)) == want
 
 
@@ -103,8 +103,11 @@ def test_edges(spark, monkeypatch):
     rows = [(1, "colour " * 50 + "COLOUR"), (2, "color, " * 300), (None, "colour\x00colours " * 9), (3, None), (4, ""), (5, "日本語 colours" * 7),
             (5, "colourſcolours"), (6, "x" * 5000 + " " + ("y" * 3000 + " ") * 6), (6, "ÀÉÏÕÚ× àéïõú÷ " * 8), (7, "ab cd " * 90)]
     rows += [(8, "brown-fox centre center centré " * 6)] * 3
+    rows += [(9, "aardvark " * 130 + "aardvarks " * 26 + "aardwarks " * 5)]     # a chain of forms
     df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id bigint, text string, word string")
-    assert _got(spelling.spelling_forms(df)) == brute_force(rows)
+    want = brute_force(rows)
+    assert ("aardwarks", "aardvarks", "aardvark") in {r[:3] for r in want}
+    assert _got(spelling.spelling_forms(df)) == want
     assert spelling.spelling_forms(df.limit(0)).count() == 0
     big = "colour" * 3 + " " + "tantrum " * 40
     assert list(spelling._blocks(big.encode())) and b"".join(spelling._blocks(big.encode())) == big.encode()
