@@ -1,27 +1,27 @@
-"""Walk-forward modelling on Spark ML tree ensembles.
+"""Walk-forward modelling with tree ensembles.
 
-The four presets map onto ``GBTRegressor`` / ``RandomForestRegressor``.  Every fit
-is a distributed Spark ML job; the search runs several fits concurrently from a
-driver thread pool (each one is its own set of Spark jobs).
+Training and search grow histogram ensembles (``boosting``): all presets, trials and folds of a
+step share one binned table and one job.  ``build_pipeline`` maps a preset onto Spark ML's
+``GBTRegressor`` / ``RandomForestRegressor`` instead, for use in other pipelines.
 """
 
 from __future__ import annotations
 
 import json
-import math
-import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException, IllegalArgumentException
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.boosting import Ensemble, Fit, TreeSpec, bin_table, conditions, fit_all, fit_binned
 from tidemill.operators.evaluate import direction_accuracy, price_reconstruct, regression_metrics
 from tidemill.operators.folds import FoldSpec, holdout_split
+from tidemill.operators.search import ParzenSearch
 from tidemill.operators.series import _join_on, row_index
 
 SEED = 42
@@ -35,21 +35,39 @@ BASE_PARAMS = {
     "random_forest": {"n_estimators": 100, "max_depth": 10},
 }
 
-# Search space per preset -- (kind, low, high); kind int | float | log.  Knobs
-# without a counterpart in Spark's ensembles (leaf regularisation, leaf count) are not drawn.
+# Search space per preset -- (kind, low, high); kind int | float | log.
 SEARCH_SPACE = {
     "xgboost": {"n_estimators": ("int", 100, 500), "learning_rate": ("log", 0.01, 0.2),
                 "max_depth": ("int", 3, 7), "subsample": ("float", 0.6, 0.9),
                 "colsample_bytree": ("float", 0.6, 0.9)},
     "catboost": {"iterations": ("int", 200, 800), "learning_rate": ("log", 0.01, 0.2),
-                 "depth": ("int", 4, 8)},
+                 "depth": ("int", 4, 8), "l2_leaf_reg": ("log", 1, 10)},
     "lightgbm": {"n_estimators": ("int", 100, 500), "learning_rate": ("log", 0.01, 0.2),
-                 "max_depth": ("int", 3, 10), "min_child_samples": ("int", 10, 50)},
+                 "num_leaves": ("int", 20, 100), "max_depth": ("int", 3, 10), "min_child_samples": ("int", 10, 50)},
     "random_forest": {"n_estimators": ("int", 100, 134), "max_depth": ("int", 5, 20),
                       "min_samples_split": ("int", 2, 10)},
 }
 
 
+# What the presets leave to their libraries' defaults.
+DEFAULTS = {"xgboost": {"l2_leaf_reg": 1.0}, "catboost": {"l2_leaf_reg": 3.0},
+            "lightgbm": {"num_leaves": 31, "min_child_samples": 20, "max_depth": 12}, "random_forest": {}}
+
+
+def tree_spec(name: str, params: dict | None = None, seed: int = SEED) -> TreeSpec:
+    """A preset's parameters as a histogram ensemble; an unknown parameter raises."""
+    p = {**DEFAULTS[name], **BASE_PARAMS[name], **(params or {})}
+    names = {"n_estimators": "rounds", "iterations": "rounds", "learning_rate": "rate", "max_depth": "depth", "depth": "depth",
+             "min_child_samples": "min_leaf", "min_samples_split": "min_split", "l2_leaf_reg": "l2", "num_leaves": "leaves",
+             "subsample": "rows", "colsample_bytree": "columns"}
+    whole = ("rounds", "depth", "leaves")
+    unknown = sorted(set(p) - set(names))
+    if unknown:
+        raise ValueError(f"unknown parameter of {name}: {', '.join(unknown)}")
+    kw = {names[k]: int(v) if names[k] in whole else float(v) for k, v in p.items()}
+    return TreeSpec(**kw, bagged=name == "random_forest", seed=seed)
+
+
 def estimator(name: str, params: dict | None = None, label: str = "y", features: str = "features",
               seed: int = SEED):
     """Spark estimator for a preset; parameters without a Spark counterpart are ignored."""
@@ -102,80 +120,70 @@ def mark_validation(train: DataFrame, idx_col: str = "row_idx", share: float = V
     return train.withColumn("__validation", F.col(idx_col) > b["hi"] - share * (b["hi"] - b["lo"] + 1))
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("date", "y")) -> DataFrame:
+def score(model: PipelineModel | Ensemble, df: DataFrame, keep: Sequence[str] = ("date", "y")) -> DataFrame:
     """Batch scoring: ``keep`` columns plus ``prediction`` (distributed ``transform``)."""
     return model.transform(df).select(*[c for c in keep if c in df.columns], "prediction")
 
 
 def draw_trials(model: str, n_trials: int, seed: int = SEED) -> list[dict]:
     """Seeded random draws from the preset's search space (parameter dictionaries)."""
-    rng = random.Random(f"{model}:{seed}")
-    out = []
-    for _ in range(n_trials):
-        t = {}
-        for k, (kind, lo, hi) in SEARCH_SPACE[model].items():
-            if kind == "int":
-                t[k] = rng.randint(lo, hi)
-            elif kind == "log":
-                t[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            else:
-                t[k] = rng.uniform(lo, hi)
-        out.append(t)
-    return out
-
-
-def trial_table(spark, models: Sequence[str] = MODELS, n_trials: int = 50, seed: int = SEED) -> DataFrame:
-    rows = [(m, i, json.dumps(t, sort_keys=True)) for m in models for i, t in enumerate(draw_trials(m, n_trials, seed))]
-    return spark.createDataFrame(rows, "model string, trial int, params string")
+    search = ParzenSearch(SEARCH_SPACE[model], f"{model}:{seed}", startup=n_trials + 1)
+    return [search.ask()[1] for _ in range(n_trials)]
 
 
-def _fold_frames(indexed: DataFrame, spec: FoldSpec, folds: Sequence[int]):
-    for f in folds:
-        lo = f * spec.test
-        tr = indexed.where((F.col("row_idx") >= lo) & (F.col("row_idx") < lo + spec.train))
-        ts0 = lo + spec.train + spec.purge
-        te = indexed.where((F.col("row_idx") >= ts0) & (F.col("row_idx") < ts0 + spec.test))
-        yield f, tr, te
-
-
-def cv_rmse(indexed: DataFrame, feature_cols: Sequence[str], model: str, params: dict, spec: FoldSpec,
-            folds: Sequence[int]) -> float:
-    """Mean of per-fold RMSE (log-return space); parameters that the estimator refuses score +inf,
-    any other failure is raised."""
-    scores = []
-    try:
-        for _, tr, te in _fold_frames(indexed, spec, folds):
-            fitted = build_pipeline(model, feature_cols, params).fit(tr)
-            r = regression_metrics(fitted.transform(te), "y", "prediction").first()
-            scores.append(r["rmse"])
-        return float(sum(scores) / len(scores)) if scores else float("inf")
-    except (IllegalArgumentException, ValueError):
-        return float("inf")
+def _fold_fits(name: str, spec: TreeSpec, folds: FoldSpec, which: Sequence[int]) -> list[Fit]:
+    """A fit for each fold; boosting stops by the latest part of the fold's training rows."""
+    out = []
+    for f in which:
+        lo = f * folds.test
+        hi, test = lo + folds.train, lo + folds.train + folds.purge
+        late = hi if spec.bagged else hi - int(VALIDATION_SHARE * folds.train)
+        out.append(Fit(f"{name}/{f}", spec, f"row_idx >= {lo} and row_idx < {late}",
+                       None if late == hi else f"row_idx >= {late} and row_idx < {hi}",
+                       f"row_idx >= {test} and row_idx < {test + folds.test}"))
+    return out
 
 
 def tune(matrix: DataFrame, feature_cols: Sequence[str], models: Sequence[str] = MODELS, n_trials: int = 50,
-         spec: FoldSpec = FoldSpec(), n_cv_folds: int = 3, parallelism: int = 2, order_by: str = "date",
+         spec: FoldSpec = FoldSpec(), n_cv_folds: int = 3, batch: int = 10, order_by: str = "date",
          seed: int = SEED) -> DataFrame:
-    """Random search, scored on the last ``n_cv_folds`` folds *before* the hold-out fold.
+    """Parzen search of every preset, scored on the last ``n_cv_folds`` folds *before* the hold-out fold.
 
-    Returns ``(model, trial, params, cv_rmse, is_best)``; the best params are merged
-    over the preset's base parameters.  Trials run ``parallelism`` at a time.
+    Returns ``(model, trial, params, cv_rmse, is_best)``; the best params are merged over the
+    preset's base parameters.  ``batch`` trials of every preset are asked for at a time, and all
+    their folds are one job on a table that is binned once; what the last batches showed decides
+    the next.  Parameters that no ensemble accepts score +inf; a failure of the job is raised.
     """
     spark = matrix.sparkSession
     indexed = row_index(matrix, [order_by]).persist()
-    n = indexed.count()
-    nf = spec.n_folds(n)
-    if nf < 2:
-        raise ValueError("need at least one fold before the hold-out fold to tune")
-    folds = list(range(max(0, nf - 1 - n_cv_folds), nf - 1))
-    jobs = [(m, i, t) for m in models for i, t in enumerate(draw_trials(m, n_trials, seed))]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(lambda j: cv_rmse(indexed, feature_cols, j[0], j[2], spec, folds), jobs))
-    indexed.unpersist()
-    rows = [(m, i, json.dumps({**BASE_PARAMS[m], **t}, sort_keys=True), s) for (m, i, t), s in zip(jobs, scores)]
+    try:
+        nf = spec.n_folds(indexed.count())
+        if nf < 2:
+            raise ValueError("need at least one fold before the hold-out fold to tune")
+        folds = list(range(max(0, nf - 1 - n_cv_folds), nf - 1))
+        every = [f for m in models for f in _fold_fits(m, tree_spec(m), spec, folds)]
+        table = bin_table(indexed, feature_cols, "y", conditions(every))
+    finally:
+        indexed.unpersist()
+    searches = {m: ParzenSearch(SEARCH_SPACE[m], f"{m}:{seed}") for m in models}
+    for done in range(0, n_trials, batch):
+        asked = {}
+        for m, search in searches.items():
+            for _ in range(min(batch, n_trials - done)):
+                i, params = search.ask()
+                try:
+                    asked[m, i] = _fold_fits(f"{m}/{i}", tree_spec(m, params), spec, folds)
+                except (TypeError, ValueError):
+                    search.tell(i, float("inf"))
+        fitted = fit_binned(table, [f for fs in asked.values() for f in fs], keep=False)
+        for (m, i), fs in asked.items():
+            searches[m].tell(i, sum(fitted[f.name].error for f in fs) / len(fs))
+    rows = [(m, i, json.dumps({**BASE_PARAMS[m], **p}, sort_keys=True), s)
+            for m, search in searches.items() for i, (p, s) in enumerate(search.trials)]
     res = spark.createDataFrame(rows, "model string, trial int, params string, cv_rmse double")
-    best = res.groupBy("model").agg(F.min("cv_rmse").alias("__best"))
-    return res.join(F.broadcast(best), "model").withColumn("is_best", F.col("cv_rmse") == F.col("__best")).drop("__best")
+    best = res.groupBy("model").agg(F.min(F.struct("cv_rmse", "trial")).alias("__best"))
+    return (res.join(F.broadcast(best), "model")   # one row a preset
+            .withColumn("is_best", F.col("trial") == F.col("__best.trial")).drop("__best"))
 
 
 def best_params(tuned: DataFrame) -> dict:
@@ -194,34 +202,43 @@ def train_models(matrix: DataFrame, feature_cols: Sequence[str], prices: DataFra
     """Fit every preset on the hold-out train rows and evaluate on its test rows.
 
     Returns ``(scores, fitted, split)``: ``scores`` has ``model, rmse, r2, dir_accuracy``
-    (price space) and ``error``, ``fitted`` maps model -> ``PipelineModel``.  A failing model
-    is a row of scores with its error.  Boosting stops early on the latest training rows.  Presets are fitted ``parallelism`` at a time (each fit is its own Spark jobs).
+    (price space) and ``error``, ``fitted`` maps model -> ``Ensemble``.  Parameters that no ensemble
+    accepts are a row of scores with their error; any other failure is raised.  Boosting stops
+    early on the latest training rows.  All presets are fitted in one job on one binned table.
 
     With ``keys`` one panel model per preset is fitted on the hold-out train rows of every series
     together, and scored on all their test rows; ``tie_breakers`` complete ``order_by``.
     """
     rows_by = [*keys, *tie_breakers]
     split = holdout_split(matrix, [order_by, *tie_breakers], spec, keys).persist()
-    train, test = mark_validation(split.where("role = 'train'"), keys=keys).persist(), split.where("role = 'test'")
     spark = matrix.sparkSession
-
-    def fit_one(m):
+    train = mark_validation(split.where("role = 'train'"), keys=keys)
+    early, late = "not __validation", "__validation"
+    fits, errors = [], {}
+    for m in models:
         try:
-            pm = build_pipeline(m, feature_cols, (params or {}).get(m), validation="__validation").fit(train)
-        except Exception as e:  # noqa: BLE001 - reported as the model's row
-            return m, None, (m, None, None, None, f"{type(e).__name__}: {str(e)[:300]}")
-        pred = score(pm, test, keep=[*rows_by, order_by, "y"])
-        px = price_reconstruct(pred.withColumnRenamed("prediction", "p"), prices, order_by, "y", "p",
-                               base_lag=base_lag, keys=rows_by)
-        met = regression_metrics(px, "actual_price", "predicted_price").first()
+            shape = tree_spec(m, (params or {}).get(m))
+        except (TypeError, ValueError) as e:
+            errors[m] = f"{type(e).__name__}: {str(e)[:300]}"
+            continue
+        stops = not shape.bagged
+        fits.append(Fit(m, shape, early if stops else "true", late if stops else None))
+    fitted = fit_all(train, feature_cols, "y", fits) if fits else {}
+    test = split.where("role = 'test'").select(*dict.fromkeys([*rows_by, order_by, "y", *feature_cols])).persist()
+    base = price_reconstruct(test.withColumn("p", F.lit(0.0)), prices, order_by, "y", "p", base_lag=base_lag, keys=rows_by)
+    base = base.select(*rows_by, order_by, "actual_price", F.col("predicted_price").alias("__base")).persist()
+
+    def score_one(m):
+        pred = score(fitted[m], test, keep=[*rows_by, order_by, "y"])
+        both = _join_on(pred, base, [*rows_by, order_by]).withColumn("predicted_price", F.col("__base") * F.exp("prediction"))
+        met = regression_metrics(both, "actual_price", "predicted_price").first()
         da = direction_accuracy(pred, "y", "prediction").first()
-        return m, pm, (m, met["rmse"], met["r2"], da["dir_accuracy"], None)
+        return m, met["rmse"], met["r2"], da["dir_accuracy"], None
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(fit_one, models))
-    train.unpersist()
-    fitted = {m: pm for m, pm, _ in results if pm is not None}
-    rows = [r for _, _, r in results if r is not None]
+        rows = list(pool.map(score_one, fitted)) + [(m, None, None, None, e) for m, e in errors.items()]
+    base.unpersist()
+    test.unpersist()
     scores = spark.createDataFrame(rows, "model string, rmse double, r2 double, dir_accuracy double, error string")
     return scores, fitted, split
 
@@ -233,15 +250,15 @@ def leaderboard(scores: DataFrame) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w))
 
 
-def feature_importance(model: PipelineModel, feature_cols: Sequence[str]) -> DataFrame:
+def feature_importance(model: PipelineModel | Ensemble, feature_cols: Sequence[str]) -> DataFrame:
     """``(feature, importance)`` from the fitted ensemble (split-gain based), descending."""
     from pyspark.sql import SparkSession
-    imp = model.stages[-1].featureImportances.toArray()
+    imp = model.importance() if isinstance(model, Ensemble) else model.stages[-1].featureImportances.toArray()
     return SparkSession.getActiveSession().createDataFrame([(c, float(v)) for c, v in zip(feature_cols, imp)], "feature string, importance double") \
         .orderBy(F.col("importance").desc(), "feature")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, feature_cols: Sequence[str], seed: int = SEED,
+def permutation_importance(model: PipelineModel | Ensemble, df: DataFrame, feature_cols: Sequence[str], seed: int = SEED,
                            order_by: str = "date") -> DataFrame:
     """RMSE increase when one feature's values are permuted across rows.
 

@@ -288,7 +288,7 @@ def q_tune(spark, sf):
     """M7/M8/M9: seeded random search scored on the folds before the hold-out: a small search of the
     forest preset, three trials on two folds (the full one is ``models.tune``'s default)."""
     m, feats = _matrix(spark, sf)
-    return mo.tune(m, feats, models=["random_forest"], n_trials=3, spec=SPEC, n_cv_folds=2, parallelism=3)
+    return mo.tune(m, feats, models=["random_forest"], n_trials=3, spec=SPEC, n_cv_folds=2)
 
 
 @register("eda_report")
