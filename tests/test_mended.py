@@ -60,9 +60,8 @@ def test_empty_and_null_order_input_in_chunks(spark):
     assert dict(out.dtypes)["row_idx"] == "bigint" == dict(row_index(nulls, ["t", "v"], mode="plain").dtypes)["row_idx"]
 
 
-@pytest.mark.parametrize("bins,rows", [(1024, 4096), (1024, 50), (4, 3)])
-def test_quantiles_are_exact_in_any_number_of_passes(spark, monkeypatch, bins, rows):
-    monkeypatch.setattr(stats, "BINS", bins)
+@pytest.mark.parametrize("rows", [4096, 3])
+def test_quantiles_are_exact_in_any_number_of_passes(spark, monkeypatch, rows):
     monkeypatch.setattr(stats, "COLLECT_ROWS", rows)
     rng = np.random.default_rng(1)
     x, y = np.round(rng.lognormal(size=400) * 100, 3), rng.integers(0, 4, 400).astype(float)

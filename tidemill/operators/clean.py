@@ -7,13 +7,14 @@ small aggregate on the driver -- a row of per-column counters, never row data.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions.dates import STRICT_FORMAT, normalize_date, time_of_day, parse_date
+from tidemill.functions.dates import STRICT_FORMAT, normalize_date, normalize_timestamp, parse_date, time_of_day
 from tidemill.functions.scalar import to_numeric
 from tidemill.operators.features import interpolate
 
@@ -187,10 +188,11 @@ def _text_kind(f, category_ratio: float) -> str:
 
 
 def convert_column(c: Column, dtype: str | Callable, errors: str = "raise",
-                   return_type: str = "string") -> Column:
+                   return_type: str = "string", fmt: str | None = None, timed: bool = False) -> Column:
     """One column to ``int``/``float``/``str``/``bool``/``datetime``/``category`` (kept as
     string), or through a vectorised user function.  ``errors='coerce'`` turns bad
-    values into NULL; ``'raise'`` fails the job on the first bad value."""
+    values into NULL; ``'raise'`` fails the job on the first bad value.  ``fmt``: the Spark
+    pattern of a date column; ``timed``: timestamps instead of dates."""
     if callable(dtype):
         from pyspark.sql.functions import pandas_udf
 
@@ -212,34 +214,41 @@ def convert_column(c: Column, dtype: str | Callable, errors: str = "raise",
     if dtype == "bool":
         return F.lower(F.trim(s)).try_cast("boolean") if coerce else F.lower(F.trim(s)).cast("boolean")
     if dtype in ("datetime", "date", "time"):
-        d = normalize_date(c)
+        d = (normalize_timestamp if timed else normalize_date)(c, fmt)
         return d if coerce else F.when(c.isNull() | d.isNotNull(), d).otherwise(
             F.raise_error(F.lit("unparseable date")))
     raise ValueError(f"unknown dtype {dtype!r}")
 
 
-def convert_types(df: DataFrame, mapping: Mapping[str, str | Callable] | tuple, errors: str = "raise") -> DataFrame:
+def convert_types(df: DataFrame, mapping: Mapping[str, str | Callable] | tuple, errors: str = "raise",
+                  formats: Mapping[str, str] | None = None) -> DataFrame:
     """Bulk conversion in one ``select``: ``{col: dtype}`` or ``([cols], dtype)``; a dtype may be
     ``(callable, return_type)`` for a vectorised user function.
 
     For ``datetime``, typed dates and timestamps stay as they are, and a text column becomes
-    timestamps where any value has a time of day, else dates."""
+    timestamps (in UTC, as written without an offset) where any value has a time of day, else
+    dates; one pass looks at all such columns.  ``formats`` gives a column's Spark pattern instead.
+    A column that does not exist raises."""
     if isinstance(mapping, tuple):
         cols, dtype = mapping
         mapping = {c: dtype for c in cols}
+    unknown = [c for c in [*mapping, *(formats or {})] if c not in df.columns]
+    if unknown:
+        raise ValueError(f"no such column: {', '.join(unknown)}")
+    formats, types = formats or {}, (T.DateType, T.TimestampType, T.TimestampNTZType)
+    dated = {c for c, t in mapping.items() if t in ("datetime", "date", "time") and not isinstance(df.schema[c].dataType, types)}
+    free = sorted(dated - set(formats))
+    timed = {c for c, f in formats.items() if any(x in re.sub("'[^']*'", "", f) for x in "HhKkmsSaXxVzOZ")}
+    if free:
+        seen = df.agg(*[F.bool_or(time_of_day(F.col(c)) > 0).alias(f"t{k}") for k, c in enumerate(free)]).first()
+        timed |= {c for k, c in enumerate(free) if seen[f"t{k}"]}
     exprs = {}
-    dated = ("datetime", "date", "time")
     for c, t in mapping.items():
-        if c not in df.columns:
+        if c in dated:
+            exprs[c] = convert_column(F.col(c), t, errors, fmt=formats.get(c), timed=c in timed)
+        elif isinstance(df.schema[c].dataType, types) and t in ("datetime", "date", "time"):
             continue
-        if t in dated and isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            continue
-        if t in dated and not df.where(F.coalesce(time_of_day(F.col(c)) > 0, F.lit(False))).isEmpty():
-            day = convert_column(F.col(c), t, errors)
-            exprs[c] = F.timestamp_micros(F.unix_date(day).cast("bigint") * 86_400_000_000
-                                          + F.coalesce(time_of_day(F.col(c)), F.lit(0)))
-            continue
-        if isinstance(t, tuple):  # (callable, declared return type)
+        elif isinstance(t, tuple):  # (callable, declared return type)
             exprs[c] = convert_column(F.col(c), t[0], errors, return_type=t[1])
         else:
             exprs[c] = convert_column(F.col(c), t, errors)

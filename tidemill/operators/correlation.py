@@ -1,9 +1,10 @@
 """Correlation family: pairwise-complete Pearson matrix (long form), top correlates,
 safe pair correlation, cross-lag correlation.
 
-A whole matrix is one pass: every partition multiplies its null-filled columns, their squares
-and their presence masks (Gramians), which gives the moments of every pair over the rows where
-*both* values are present; the moments are added up per pair.  Zero variance yields NULL.
+A whole matrix is one pass.  Rows that lack the same columns are taken together: their centred
+Gramian gives the moments of every pair they hold, and the moments (count, means, co-moments
+over the rows where *both* values are present) are merged per pair by the parallel update, so
+neither a far-off mean nor rows a pair does not use cost it digits.  Zero variance yields NULL.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,70 +36,87 @@ def _entries(cols, upper_only, include_diagonal):
     return out
 
 
-def _null_free(df: DataFrame, cols: Sequence[str]) -> bool:
-    row = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"m{k}") for k, c in enumerate(cols)]).first()
-    return all(row[f"m{k}"] == 0 for k in range(len(cols)))
-
-
 def corr_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = True,
               upper_only: bool = False) -> DataFrame:
     """``(col_a, col_b, i, j, r)`` for every ordered pair (or ``i < j`` with ``upper_only``).
 
-    Null-free columns use Spark ML's ``Correlation`` (one distributed Gramian pass,
-    cost linear in rows, c x c result); columns with nulls the pairwise-complete Gramians.
-    Zero variance gives NULL.
+    Pairwise complete, in one pass for any number of columns; NaN counts as missing.  Zero
+    variance gives NULL.
     """
     cols = list(cols)
     spark = df.sparkSession
     entries = _entries(cols, upper_only, include_diagonal)
-    schema = "col_a string, col_b string, i int, j int, r double"
-    if cols and _null_free(df, cols):
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=cols, outputCol="__v").transform(
-            df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-        mat = Correlation.corr(vec, "__v").first()[0].toArray()
-        rows = []
-        for i, j in entries:
-            v = float(mat[i][j])
-            rows.append((cols[i], cols[j], i, j, None if v != v else v))
-        return spark.createDataFrame(rows, schema)
     pairs = spark.createDataFrame([(cols[i], cols[j], i, j, min(i, j), max(i, j)) for i, j in entries],
                                   "col_a string, col_b string, i int, j int, a int, b int")
+    if not cols:
+        return pairs.select("col_a", "col_b", "i", "j", F.lit(None).cast("double").alias("r"))
     return (pairs.join(_pair_moments(df, cols), ["a", "b"], "left")
             .select("col_a", "col_b", "i", "j", "r"))
 
 
+class _Moments:
+    """Of every pair of columns over the rows that hold both: count, mean and second moment of the
+    first one, co-moment.  Entry [i, j] speaks of column i within the pair (i, j)."""
+
+    def __init__(self, c: int):
+        self.n, self.mean, self.square, self.co = (np.zeros((c, c)) for _ in range(4))
+
+    def add(self, v: np.ndarray) -> None:
+        """Rows in which missing values are NaN."""
+        held = ~np.isnan(v)
+        patterns, which = np.unique(np.packbits(held, axis=1), axis=0, return_inverse=True)
+        which = which.ravel()
+        by = np.argsort(which, kind="stable")
+        for rows in np.split(by, np.cumsum(np.bincount(which, minlength=len(patterns)))[:-1]):
+            at = np.flatnonzero(held[rows[0]])
+            if not len(at):
+                continue
+            block = v[np.ix_(rows, at)]
+            off = block - block[0]           # a constant column is exactly zero
+            mean = off.mean(axis=0)
+            off -= mean
+            self.merge(np.ix_(at, at), len(rows), block[0] + mean, off.T @ off)
+
+    def merge(self, at, m: int, mean: np.ndarray, co: np.ndarray) -> None:
+        n, total = self.n[at], self.n[at] + m
+        d = np.where(n > 0, mean[:, None] - self.mean[at], 0.0)
+        f = n * m / total
+        self.co[at] += co + d * d.T * f
+        self.square[at] += np.diag(co)[:, None] + d * d * f
+        self.mean[at] = np.where(n > 0, self.mean[at] + d * (m / total), mean[:, None])
+        self.n[at] = total
+
+
 def _pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(a, b, r)`` for ``a <= b`` over the rows that hold both; one row per pair and partition
     is all that moves."""
     c = len(cols)
-    # shifted by the column's minimum: sums stay small, and a constant column is exactly zero
-    low = df.agg(*[F.min(F.col(x).cast("double")).alias(f"m{k}") for k, x in enumerate(cols)]).first()
-    x = df.select(*[(F.col(n).cast("double") - F.lit(low[f"m{k}"] or 0.0)).alias(f"x{k}") for k, n in enumerate(cols)])
+    x = df.select(*[F.col(n).cast("double").alias(f"x{k}") for k, n in enumerate(cols)])
     up = np.triu_indices(c)
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((6, c, c))
+        total = _Moments(c)
         for batch in batches:
-            v = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(c)]).astype(float)
-            m = ~np.isnan(v)
-            v, m = np.where(m, v, 0.0), m.astype(float)
-            q = v * v
-            total += np.stack([m.T @ m, v.T @ m, m.T @ v, v.T @ v, q.T @ m, m.T @ q])
+            if batch.num_rows:
+                total.add(np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(c)]).astype(float))
+        some = total.n[up] > 0
+        a, b = up[0][some], up[1][some]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(up[0].astype(np.int32)), pa.array(up[1].astype(np.int32)), *(pa.array(t[up]) for t in total)],
-            names=["a", "b", "n", "sa", "sb", "sab", "saa", "sbb"])
-
-    s = (x.mapInArrow(moments, "a int, b int, n double, sa double, sb double, sab double, saa double, sbb double")
-         .groupBy("a", "b").agg(*[F.sum(k).alias(k) for k in ("n", "sa", "sb", "sab", "saa", "sbb")]))
-
-    def spread(square, total):
-        v = F.col(square) - F.col(total) * F.col(total) / F.col("n")
-        return F.when(v > 1e-13 * F.col(square), v)  # below: rounding of a constant
-    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
-    r = cov / F.sqrt(spread("saa", "sa") * spread("sbb", "sb"))
-    return s.where("n > 0").select("a", "b", F.when(F.col("a") == F.col("b"), F.when(r.isNotNull(), 1.0)).otherwise(r).alias("r"))
+            [pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
+             *(pa.array(v) for v in (total.n[a, b], total.mean[a, b], total.mean[b, a], total.square[a, b], total.square[b, a], total.co[a, b]))],
+            names=["a", "b", "n", "ma", "mb", "saa", "sbb", "sab"])
+
+    parts = x.mapInArrow(moments, "a int, b int, n double, ma double, mb double, saa double, sbb double, sab double")
+    # the parts' means about the first of them, then their moments about the common mean
+    pair = Window.partitionBy("a", "b")
+    parts = parts.withColumns({m: F.col(m) - F.min(m).over(pair) for m in ("ma", "mb")})
+    parts = parts.withColumns({f"d{m}": F.col(m) - F.sum(F.col("n") * F.col(m)).over(pair) / F.sum("n").over(pair) for m in ("ma", "mb")})
+    s = parts.groupBy("a", "b").agg(F.sum(F.col("saa") + F.col("n") * F.col("dma") * F.col("dma")).alias("saa"),
+                                    F.sum(F.col("sbb") + F.col("n") * F.col("dmb") * F.col("dmb")).alias("sbb"),
+                                    F.sum(F.col("sab") + F.col("n") * F.col("dma") * F.col("dmb")).alias("sab"))
+    den = F.sqrt(F.col("saa")) * F.sqrt(F.col("sbb"))
+    r = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.least(F.greatest(F.col("sab") / den, F.lit(-1.0)), F.lit(1.0)))
+    return s.select("a", "b", F.when((den > 0) & ~F.isnan(den) & ~F.isnan("sab"), r).alias("r"))
 
 
 def top_correlates(df: DataFrame, target: str, cols: Sequence[str] | None = None, top_n: int = 15) -> DataFrame:

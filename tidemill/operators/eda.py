@@ -17,12 +17,10 @@ PRICE_KEYWORDS = ["Adj Close", "Ajclose", "Close", "Price"]
 def resolve_column(columns: Sequence[str], prefixes: Sequence[str]) -> str | None:
     """Pick a column among those starting with one of ``prefixes``: the first whose name
     contains a price keyword (in keyword priority), else the first candidate."""
-    cands = [c for p in prefixes for c in columns if c.startswith(p) or c == p]
-    for k in PRICE_KEYWORDS:
-        for c in cands:
-            if k.lower() in c.lower():
-                return c
-    return cands[0] if cands else None
+    words = [k.lower() for k in PRICE_KEYWORDS]
+    found = (c for p in prefixes for c in columns if c.startswith(p))
+    ranked = [(min((i for i, w in enumerate(words) if w in c.lower()), default=len(words)), place, c) for place, c in enumerate(found)]
+    return min(ranked)[2] if ranked else None
 
 
 def monthly_returns(df: DataFrame, price: str, date: str = "date", keys: Sequence[str] | None = None) -> DataFrame:

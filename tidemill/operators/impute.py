@@ -73,19 +73,30 @@ def fill_missing(df: DataFrame, strategy: str = "median", value=None, cols: Sequ
     return df.withColumns(fills)
 
 
+_DAY = 86_400_000_000
+
+
 def _number_of(t: T.DataType):
     """How a date or time column becomes a number, or None for other types."""
     if isinstance(t, T.DateType):
         return F.unix_date
     if isinstance(t, T.TimestampType):
         return F.unix_micros
+    if isinstance(t, T.TimestampNTZType):  # by its own clock, whatever the session's time zone
+        return lambda c: (F.unix_date(F.col(c).cast("date")).cast("bigint") * _DAY + F.hour(c) * 3_600_000_000
+                          + F.minute(c) * 60_000_000 + (F.extract(F.lit("SECOND"), F.col(c)) * 1_000_000).cast("bigint"))
     return None
 
 
 def _from_number(t: T.DataType, c):
     if isinstance(t, T.DateType):
         return F.date_from_unix_date(F.floor(c).cast("int"))
-    return F.timestamp_micros(F.floor(c).cast("bigint"))
+    whole = F.floor(c).cast("bigint")
+    if isinstance(t, T.TimestampNTZType):
+        day = F.floor(whole / _DAY).cast("bigint")
+        rest = ((whole - day * _DAY) / 1_000_000).cast("decimal(18,6)")
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(day.cast("int"), F.lit(0), F.lit(0), rest)
+    return F.timestamp_micros(whole)
 
 
 def _mode_fills(df: DataFrame, cols: Sequence[str], types: dict) -> dict:
