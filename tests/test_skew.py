@@ -76,3 +76,18 @@ def test_hot_buckets_with_null_ties_and_text_ties_keep_their_order(spark):
         a = row_index(df, order, mode="plain")
         b = row_index(df, order, mode="chunked", target_bucket_rows=50)
         assert a.exceptAll(b.select(a.columns)).isEmpty()
+
+
+def test_hot_instant_with_text_ties_is_cut(spark):
+    n, target = 40_000, 500
+    code = F.md5(F.col("id").cast("string"))
+    ts = F.when(F.col("id") % 3 == 0, F.lit(5_000_000)).otherwise(F.col("id") * 1_000)
+    texts = {"digest": code, "shared": F.concat(F.lit("order-é-"), F.format_string("%06d", F.col("id"))),
+             "odd": F.when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 5 == 0, F.concat(F.lit("\x7f日本"), code))
+             .when(F.col("id") % 2 == 0, F.concat(F.lit("ab"), F.repeat(F.lit("x"), 30), code)).otherwise(F.lit("ab"))}
+    for name, text in texts.items():
+        df = spark.range(n).select(ts.alias("ts"), text.alias("name"), F.col("id"))
+        b = row_index(df, ["ts", "name", "id"], mode="chunked", target_bucket_rows=target, keep_buckets=True)
+        assert b.groupBy("__bk", "__sb").count().agg(F.max("count")).first()[0] <= 4 * target, name
+        a = row_index(df, ["ts", "name", "id"], mode="plain")
+        assert a.select("id", "row_idx").exceptAll(b.select("id", "row_idx")).isEmpty(), name

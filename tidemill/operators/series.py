@@ -42,6 +42,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import scratch_path
+
 # Tunables (rows).  chunk_rows bounds the rows a window task buffers.
 DEFAULT_CHUNK_ROWS = 1_000_000
 SINGLE_MAX_ROWS = 250_000        # un-keyed series up to this size run in one partition
@@ -181,17 +183,41 @@ def _split(df: DataFrame, keys: list[str], plan: SeriesPlan) -> tuple[DataFrame,
     return normal, hot, SeriesPlan("chunked", plan.stats, plan.chunk_rows, n_hot=plan.n_hot)
 
 
-def _bucket_counts(bucketed: DataFrame, order_by: Sequence[str], part: list[str], target: int) -> DataFrame:
+_TEXT_BYTES = 6  # bytes of a text in its numeric image, exact in a double
+
+
+def _text_number(c: Column, skip: Column) -> Column:
+    """A monotone number of a text's bytes after the first ``skip``, which the texts share."""
+    part = F.hex(F.substring(c.cast("binary"), skip + 1, F.lit(_TEXT_BYTES)))
+    return F.conv(F.rpad(part, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+
+
+def _shared_bytes(a: Column, b: Column) -> Column:
+    """Length of two texts' common beginning, in bytes."""
+    x, y = a.cast("binary"), b.cast("binary")
+    n = F.least(F.octet_length(x), F.octet_length(y))
+    differ = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(x, i, F.lit(1)) != F.substring(y, i, F.lit(1)))
+    first = F.array_position(F.when(n > 0, differ), True)
+    return F.when(first > 0, (first - 1).cast("int")).otherwise(F.coalesce(n, F.lit(0)))
+
+
+def _is_text(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.StringType)
+
+
+def _bucket_counts(bucketed: DataFrame, order_by: Sequence[str], part: list[str], target: int, texts: bool = False) -> DataFrame:
     """Rows per bucket and, for a bucket above four times its share, the order column that splits
     it: the first that varies inside it (``__c``), with its lowest value and the step per part.
 
     A column that varies only below double precision, or has no numeric image, splits nothing,
-    and no later column may stand in for it: ``__c`` is null and the bucket stays whole."""
-    pos = [c for c in order_by if _bucketable(bucketed, c)]
-    named = list(order_by[:next((k for k, c in enumerate(order_by) if c not in pos), len(order_by))])
+    and no later column may stand in for it: ``__c`` is null and the bucket stays whole.  With
+    ``texts`` a text column's image is that of the bytes behind what all of a bucket's texts share;
+    without, a text column counts as one without an image."""
+    ok = [c for c in order_by if _bucketable(bucketed, c) or (texts and _is_text(bucketed, c))]
+    named = list(order_by[:next((k for k, c in enumerate(order_by) if c not in ok), len(order_by))])
     aggs = [F.count(F.lit(1)).alias("__n")]
     for k, c in enumerate(named):
-        t = _order_number(bucketed, c)
+        t = F.col(c) if _is_text(bucketed, c) else _order_number(bucketed, c)
         aggs += [F.count(c).alias(f"__v{k}"), F.min(t).alias(f"__l{k}"), F.max(t).alias(f"__h{k}"),
                  F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(f"__e{k}")]
     out = bucketed.groupBy(*part).agg(*aggs)
@@ -199,52 +225,75 @@ def _bucket_counts(bucketed: DataFrame, order_by: Sequence[str], part: list[str]
     split = F.lit(None)
     for k in reversed(range(len(named))):
         lo, hi, valid = F.col(f"__l{k}"), F.col(f"__h{k}"), F.col(f"__v{k}")
+        skip = F.lit(0)
+        if _is_text(bucketed, named[k]):
+            skip = _shared_bytes(lo, hi)
+            lo, hi = _text_number(lo, skip), _text_number(hi, skip)
         one_value = (valid == 0) | ((valid == n) & F.col(f"__e{k}"))
-        pad = F.lit(1.0 if _is_integral(bucketed, named[k]) else 0.0)
+        pad = F.lit(1.0 if _is_text(bucketed, named[k]) or _is_integral(bucketed, named[k]) else 0.0)
         step = (hi - lo + pad) / F.ceil(n / F.lit(target))
         apart = (step > 0) & (F.floor((hi - lo) / step) > 0)
         usable = apart | ((valid < n) & (valid > 0))  # setting nulls apart is progress as well
         here = F.when(usable, F.struct(F.lit(k).alias("c"), lo.alias("lo"),
-                                       F.when(step > 0, step).otherwise(1.0).alias("step")))
+                                       F.when(step > 0, step).otherwise(1.0).alias("step"), skip.alias("skip")))
         split = F.when(one_value, split).otherwise(here)
     hot = F.when(n > 4 * target, split)
     if not named:
-        hot = F.lit(None).cast("struct<c:int,lo:double,step:double>")
+        hot = F.lit(None).cast("struct<c:int,lo:double,step:double,skip:int>")
     return out.select(*part, "__n", hot.alias("__split"))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _split_hot_buckets(bucketed: DataFrame, order_by: Sequence[str], keys: list[str],
                        target: int) -> tuple[DataFrame, DataFrame, int, list[str]]:
     """Split buckets that hold more than four times their share until none can be split.
 
     Every round appends one number to ``__sb``, an array that orders the parts of a bucket as
     ``order_by`` orders their rows.  A bucket is cut along the first order column that varies in
-    it, so one instant among others is first cut free by time, then by its tie-breakers.  A round
-    costs one counting pass and runs only while a hot bucket is left.  Returns the rows, the
-    bucket counts, their number and the partitioning columns."""
+    it, so one instant among others is first cut free by time, then by its tie-breakers, text
+    ones where no number is left to cut by.  A round costs one counting pass (over the hot rows
+    alone for texts) and runs only while a hot bucket is left.  Returns the rows, the bucket
+    counts, their number and the partitioning columns."""
     full = [*keys, "__bk", "__sb"]
     subbed = bucketed.withColumn("__sb", F.array().cast("array<bigint>"))
     counts = _bucket_counts(subbed, order_by, full, target).persist()  # rows / target rows
     part = [*keys, "__bk"]  # until the first split __sb is constant, so it partitions nothing
     while True:
-        summ = counts.agg(F.count(F.lit(1)).alias("nb"), F.count("__split").alias("nh")).first()
-        if not summ["nh"]:
+        summ = counts.agg(F.count(F.lit(1)).alias("nb"), F.count("__split").alias("nh"),
+                          F.count(F.when((F.col("__n") > 4 * target) & F.col("__split").isNull(), 1)).alias("stuck")).first()
+        hot, n_hot = counts.where(F.col("__split").isNotNull()).select(*full, "__split"), summ["nh"]
+        if not n_hot and summ["stuck"] and any(_is_text(bucketed, c) for c in order_by):
+            stuck = counts.where(F.col("__n") > 4 * target).select(*full)
+            rows = _join_on(subbed, stuck, full, "left_semi", int(summ["stuck"]))
+            hot = (_bucket_counts(rows, order_by, full, target, texts=True)
+                   .where(F.col("__split").isNotNull()).select(*full, "__split"))
+            n_hot = 1
+        if not n_hot:
+            return subbed, counts.drop("__split"), int(summ["nb"]), part
+        # written, so that a round adds a scan to the plan and not the rounds before it once more
+        hot = _written(hot, "hot-buckets")
+        n_hot = hot.count()
+        if not n_hot:
             return subbed, counts.drop("__split"), int(summ["nb"]), part
         part = full
-        hot = counts.where(F.col("__split").isNotNull()).select(*full, "__split")
-        marked = _join_on(subbed, hot, full, "left", int(summ["nh"]))
+        marked = _join_on(subbed, hot, full, "left", int(n_hot))
         number = F.lit(None).cast("double")
         for k in reversed(range(len(order_by))):
             if _bucketable(bucketed, order_by[k]):
                 number = F.when(F.col("__split.c") == k, _order_number(bucketed, order_by[k])).otherwise(number)
+            elif _is_text(bucketed, order_by[k]):
+                number = F.when(F.col("__split.c") == k, _text_number(F.col(order_by[k]), F.col("__split.skip"))).otherwise(number)
         step = F.floor((number - F.col("__split.lo")) / F.col("__split.step")).cast("long")
         # nulls sort first, so they come before part 0
         sub = F.when(F.col("__split").isNull(), F.lit(0)).otherwise(F.coalesce(step, F.lit(-1)))
         subbed = marked.withColumn("__sb", F.concat("__sb", F.array(sub.cast("long")))).drop("__split")
-        finer = _bucket_counts(subbed, order_by, full, target).persist()
-        finer.count()
         counts.unpersist()
-        counts = finer
+        counts = _written(_bucket_counts(subbed, order_by, full, target), "bucket-counts")
 
 
 def row_index(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] | None = None,
