@@ -75,3 +75,39 @@ def test_price_columns_by_keyword_then_place():
     assert eda.resolve_column(cols[:3], ["gold"]) == "gold_close"
     assert eda.resolve_column(cols, ["oil"]) == "oil_Price" and eda.resolve_column(["oil_x", "oil_y"], ["oil"]) == "oil_x"
     assert eda.resolve_column(cols, ["tin"]) is None
+
+
+def test_kernel_density_equals_the_plain_sum(spark):
+    from tidemill.operators.profile import kde
+    rng = np.random.default_rng(4)
+    for x in (rng.normal(size=4000), np.r_[rng.normal(size=50), 400.0], np.r_[np.full(40, 3.25), 3.5, 9.0], rng.lognormal(sigma=2, size=500)):
+        got = sorted(kde(spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double"), "v", 120).collect())
+        h = len(x) ** -0.2 * x.std(ddof=1)
+        grid = np.linspace(x.min(), x.max(), 120)
+        want = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+        assert [r.point for r in got] == list(range(120))
+        assert np.allclose([r.density for r in got], want, rtol=1e-11, atol=1e-300)
+    many = spark.range(1_000_000).select((F.xxhash64("id") / 1e18).alias("v"))
+    assert kde(many, "v").agg(F.sum("density")).first()[0] > 0
+
+
+def test_code_tables_apply_to_new_rows_and_any_number_of_values(spark):
+    from tidemill.operators import encode
+    from tidemill.session import scratch_path
+    train = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("b", 4), ("", 5)], "c string, code int")
+    new = spark.createDataFrame([("a", 1), ("z", 2), (None, 3)], "c string, code int")
+    table = encode.fit_codes(train, "c")
+    again = encode.CodeTable.load(spark, "c", table.save(scratch_path(spark, "codes")))
+    for t in (table, again):
+        assert t.size == 3 and {r.code: r.c_code for r in t.encode(new).collect()} == {1: 1, 2: None, 3: None}
+    assert {r.code: r.c_code for r in table.encode(new, unseen="last").collect()} == {1: 1, 2: 3, 3: None}
+    with pytest.raises(Exception, match="not in the code table"):
+        table.encode(new, unseen="raise").collect()
+    assert [r.code for r in table.encode(train, "code").collect()].count(None) == 1     # replaces a column of that name
+    vec = {r.code: r.v for r in table.vectors(new, "v").collect()}
+    assert [list(vec[k].toArray()) for k in (1, 2, 3)] == [[0, 1, 0], [0, 0, 0], [0, 0, 0]]
+    wide = spark.range(100_000).select(F.concat(F.lit("v"), F.col("id")).alias("c"))
+    t = encode.fit_codes(wide, "c")
+    row = t.vectors(wide.where("c = 'v42'")).first()
+    assert t.size == 100_000 and row.c_vec.size == 100_000 and list(row.c_vec.indices) == [t.codes.where("value = 'v42'").first().code]
+    assert encode.fit_codes(wide.limit(0), "c").encode(new).where("c_code is null").count() == 3

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.profile import histogram
+from tidemill.operators.profile import histogram, kde
 from tidemill.operators.series import _join_on, ordered_columns
 
 
@@ -43,6 +43,11 @@ def residual_histogram(df: DataFrame, y: str = "y", p: str = "p", bins: int = 40
     return histogram(df.select((F.col(y) - F.col(p)).alias("residual")), "residual", bins, density=True)
 
 
+def residual_kde(df: DataFrame, y: str = "y", p: str = "p", points: int = 300) -> DataFrame:
+    """Kernel density of the forecast residuals: ``(point, x, density)``."""
+    return kde(df.select((F.col(y) - F.col(p)).alias("residual")), "residual", points)
+
+
 def price_reconstruct(preds: DataFrame, prices: DataFrame, date: str = "date", y: str = "y", p: str = "p",
                       price: str = "price", base_lag: int = 0, keys: Sequence[str] | None = None,
                       price_rows: int | None = None) -> DataFrame:

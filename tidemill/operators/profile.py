@@ -3,6 +3,7 @@ histogram, kernel density, box statistics, binary-domain test and chart choice."
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -85,15 +86,20 @@ def histogram(df: DataFrame, col: str, bins: int = 30, density: bool = True) ->
     return out.select("bin", "lo", "hi", "count", dens.alias("density"))
 
 
+_KDE_TERMS, _KDE_REACH = 26, 39
+
+
 def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = None) -> DataFrame:
     """Gaussian kernel density at ``points`` grid values over ``[min, max]`` with Scott's
     bandwidth ``n^(-1/5) * std`` (sample std).
 
-    Equal values are counted first, so the work is ``points x distinct values``.  With
-    ``prebin``, an approximation the caller asks for, the data is first reduced to at most so
-    many equal-width bins (kernel mass at bin centres).  Each value
-    row emits its kernel at the fixed grid (an array) and contributions are summed
-    per grid point with map-side partial aggregation.
+    A fast Gauss sum: values are grouped into cells an eighth of the bandwidth wide, one pass sums
+    each cell's moments, and a cell adds to every grid point within reach a series in its
+    moments.  ``exp(-(z-u)^2/2) = exp(-z^2/2) exp(-u^2/2) sum (zu)^k / k!`` with ``|u| <= 1/16``
+    and ``|z| <= 39`` (a kernel beyond is zero in double precision): cut after ``_KDE_TERMS``
+    terms the series is off by less than 1e-13 of the cell's own contribution.  With ``prebin``,
+    an approximation the caller asks for, the data is first reduced to at most so many
+    equal-width bins (kernel mass at bin centres).
     """
     x = F.col(col).cast("double")
     st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
@@ -104,20 +110,30 @@ def kde(df: DataFrame, col: str, points: int = 300, prebin: int | None = None) -
     lo, hi, n, sd = float(st["lo"]), float(st["hi"]), int(st["n"]), float(st["sd"])
     h = n ** (-0.2) * sd
     step = (hi - lo) / (points - 1)
-    vals = df.select(x.alias("v")).where(F.col("v").isNotNull())
+    vals = df.select(x.alias("v"), F.lit(1).alias("w")).where(F.col("v").isNotNull())
     if prebin:
         bw = (hi - lo) / prebin
         vals = (vals.select((F.lit(lo) + (_bin_expr(F.col("v"), lo, bw, prebin) + 0.5) * F.lit(bw)).alias("v"))
                 .groupBy("v").agg(F.count(F.lit(1)).alias("w")))
-    else:
-        vals = vals.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    grid = F.array(*[F.lit(i) for i in range(points)])
-    contrib = vals.select(F.explode(grid).alias("point"), "v", "w").withColumn(
-        "z", (F.lit(lo) + F.col("point") * F.lit(step) - F.col("v")) / F.lit(h))
-    dens = contrib.groupBy("point").agg(F.sum(F.col("w") * F.exp(-0.5 * F.col("z") * F.col("z"))).alias("k"))
-    norm = n * h * (2 * 3.141592653589793) ** 0.5
-    return dens.select(F.col("point").cast("int").alias("point"),
-                       (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"), (F.col("k") / F.lit(norm)).alias("density"))
+    width = h / 8
+    at = vals.withColumn("cell", F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("bigint"))
+    mid = F.lit(lo) + (F.col("cell") + 0.5) * F.lit(width)
+    at = at.withColumn("u", (F.col("v") - mid) / F.lit(h)).withColumn("m", F.col("w") * F.exp(-0.5 * F.col("u") * F.col("u")))
+    moments = at.groupBy("cell").agg(*[F.sum(F.col("m") * F.pow("u", F.lit(k))).alias(f"m{k}") for k in range(_KDE_TERMS)])
+    # highest term first, each over its factorial, for Horner's rule in z
+    series = F.array(*[F.col(f"m{k}") / F.lit(float(math.factorial(k))) for k in reversed(range(_KDE_TERMS))])
+    reach, place = _KDE_REACH * h / step, (mid - F.lit(lo)) / F.lit(step)
+    first = F.greatest(F.ceil(place - F.lit(reach)), F.lit(0)).cast("int")
+    last = F.least(F.floor(place + F.lit(reach)), F.lit(points - 1)).cast("int")
+    cells = moments.select(series.alias("s"), mid.alias("mid"), first.alias("a"), last.alias("b")).where("a <= b")
+    contrib = cells.select("s", "mid", F.explode(F.sequence("a", "b")).alias("point")).withColumn(
+        "z", (F.lit(lo) + F.col("point") * F.lit(step) - F.col("mid")) / F.lit(h))
+    value = F.aggregate("s", F.lit(0.0), lambda acc, m: acc * F.col("z") + m) * F.exp(-0.5 * F.col("z") * F.col("z"))
+    dens = spark.range(points).select(F.col("id").cast("int").alias("point")).join(
+        F.broadcast(contrib.groupBy("point").agg(F.sum(value).alias("k"))), "point", "left")    # at most a row a point
+    norm = n * h * (2 * math.pi) ** 0.5
+    return dens.select("point", (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"),
+                       (F.coalesce("k", F.lit(0.0)) / F.lit(norm)).alias("density"))
 
 
 def box_stats(df: DataFrame, col: str) -> DataFrame:
