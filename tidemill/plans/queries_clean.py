@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.catalog import register
-from tidemill.functions.dates import normalize_date, normalize_date_sql, parse_date
+from tidemill.functions.dates import normalize_date, normalize_date_sql, normalize_timestamp, parse_date
 from tidemill.functions.scalar import NUMBER_PATTERN, text_code_sum, to_numeric
 from tidemill.operators import clean as cl
 from tidemill.operators import encode as en
@@ -99,6 +99,24 @@ def _date_texts_sql() -> str:
     return f"SELECT o_orderkey, CASE {cases} END AS text FROM orders"
 
 
+# The text layouts of the timestamp query, each with what its text leaves out of the time.
+STAMP_LAYOUTS = ["MMM d, yyyy", "d MMMM yyyy h:mm a", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "M/d/yyyy h:mm a", "MMMM d yyyy, HH:mm"]
+
+
+@register("normalize_timestamp", """SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 6 IN (0, 2) THEN day
+       WHEN o_orderkey % 6 = 3 THEN stamp - INTERVAL 2 HOUR ELSE stamp END, '%Y-%m-%d %H:%M:%S') AS stamp
+FROM (SELECT o_orderkey, day, day + to_minutes(o_orderkey % 1440) AS stamp FROM
+      (SELECT o_orderkey, date_trunc('day', o_orderdate) AS day FROM orders))""")
+def q_normalize_timestamp(spark, sf):
+    """SC2/SC5: month names, compact dates, AM/PM and offsets parsed back to the stamp they were written from."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", F.date_trunc("day", F.col("o_orderdate").cast("timestamp")).alias("day"))
+    o = o.withColumn("t", F.expr("timestampadd(MINUTE, cast(o_orderkey % 1440 as int), day)"))
+    text = F.date_format("t", STAMP_LAYOUTS[0])
+    for k, fmt in enumerate(STAMP_LAYOUTS[1:], 1):
+        text = F.when(F.col("o_orderkey") % len(STAMP_LAYOUTS) == k, F.date_format("t", fmt)).otherwise(text)
+    return o.select("o_orderkey", F.date_format(normalize_timestamp(text), "yyyy-MM-dd HH:mm:ss").alias("stamp"))
+
+
 @register("normalize_date", f"SELECT o_orderkey, text, {normalize_date_sql('text')} AS date FROM ({_date_texts_sql()})")
 def q_normalize_date(spark, sf):
     """SC2: multi-format date normaliser (month-first, day-first, year-first, 2-digit years)."""
@@ -364,6 +382,17 @@ def q_label_encode(spark, sf):
     return en.label_encode(fx.categorical(spark, sf), "c_mktsegment")
 
 
+@register("code_table", """WITH t AS (SELECT o_clerk, row_number() OVER (ORDER BY o_clerk) - 1 AS code FROM
+  (SELECT DISTINCT 'clerk-' || (o_custkey % 5000) AS o_clerk FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'))
+SELECT o.o_orderkey, coalesce(t.code, (SELECT COUNT(*) FROM t)) AS code FROM orders o LEFT JOIN t ON t.o_clerk = 'clerk-' || (o.o_custkey % 5000)
+WHERE o.o_orderdate >= TIMESTAMP '1996-01-01'""")
+def q_code_table(spark, sf):
+    """A code table fitted on early orders applied to later ones; values it lacks get the code after the last."""
+    o = fx.table(spark, sf, "orders").withColumn("clerk", F.concat(F.lit("clerk-"), F.col("o_custkey") % 5000))
+    late = F.col("o_orderdate") >= F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    return en.fit_codes(o.where(~late), "clerk").encode(o.where(late), "code", unseen="last").select("o_orderkey", "code")
+
+
 # The market segments present in the customer table.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 

@@ -8,6 +8,7 @@ from tidemill.catalog import register
 from tidemill.operators import evaluate as ev
 from tidemill.operators import folds as fo
 from tidemill.operators import models as mo
+from tidemill.operators import shapley as sh
 from tidemill.operators.features import rolling_mean_expr
 from tidemill.operators.series import ordered_columns, row_index
 from tidemill.plans.feature_pipeline import DAILY, FeatureConfig, build_features, feature_columns
@@ -111,6 +112,18 @@ def q_residual_histogram(spark, sf):
     return ev.residual_histogram(fx.predictions(spark, sf), bins=40)
 
 
+def _resid_kde_sql() -> str:
+    from tidemill.plans.queries_eda import _kde_sql
+    return rounded(with_fixtures(f"SELECT * FROM ({_kde_sql('(SELECT y - p AS residual FROM predictions)', 'residual')})", "predictions"),
+                   ["x", "density"])
+
+
+@register("residual_kde", _resid_kde_sql())
+def q_residual_kde(spark, sf):
+    """Kernel density of forecast residuals at 300 grid points."""
+    return ev.residual_kde(fx.predictions(spark, sf))
+
+
 @register("price_reconstruct", rounded(with_fixtures(
     "SELECT p.date, d.adj_close * exp(p.y) AS actual_price, d.adj_close * exp(p.p) AS predicted_price "
     "FROM predictions p JOIN daily d ON p.date = d.date WHERE d.adj_close IS NOT NULL", "daily", "predictions"),
@@ -291,6 +304,45 @@ def q_tune(spark, sf):
     return mo.tune(m, feats, models=["random_forest"], n_trials=3, spec=SPEC, n_cv_folds=2)
 
 
+@register("tune")
+def q_tune_whole(spark, sf):
+    """M7/M8/M9: Parzen search of all four presets, 50 trials on the 3 folds before the hold-out fold."""
+    m, feats = _matrix(spark, sf)
+    return mo.tune(m, feats, spec=SPEC)
+
+
+_ROW = "adj_close / 1000 AS a, volume / 1000.0 AS b, day(date) + 0.0 AS c, month(date) + 0.0 AS d"
+
+
+@register("shapley_values", rounded(with_fixtures(f"""SELECT * FROM (WITH r AS (SELECT date, {_ROW} FROM daily WHERE adj_close IS NOT NULL AND volume IS NOT NULL),
+x AS (SELECT * FROM r ORDER BY date DESC LIMIT 50),
+o AS (SELECT a AS a0, b AS b0, c AS c0, d AS d0 FROM r ORDER BY date LIMIT 1),
+j AS (SELECT *, a0 * b0 / 100 + 3 * c0 - d0 * c0 / 10 AS base, a * b / 100 + 3 * c - d * c / 10 AS prediction FROM x, o)
+SELECT date, 'a' AS feature, a AS value, (a - a0) * (b + b0) / 200 AS contribution, base, prediction FROM j
+UNION ALL SELECT date, 'b', b, (b - b0) * (a + a0) / 200, base, prediction FROM j
+UNION ALL SELECT date, 'c', c, 3 * (c - c0) - (c - c0) * (d + d0) / 20, base, prediction FROM j
+UNION ALL SELECT date, 'd', d, (d0 - d) * (c + c0) / 20, base, prediction FROM j)""", "daily"),
+    ["value", "contribution", "base", "prediction"]))
+def q_shapley_values(spark, sf):
+    """Exact Shapley values (all orders) of a written formula over the last 50 days, against its closed form."""
+    r = fx.daily(spark, sf).where("adj_close is not null and volume is not null").select(
+        "date", (F.col("adj_close") / 1000).alias("a"), (F.col("volume") / 1000.0).alias("b"),
+        F.dayofmonth("date").cast("double").alias("c"), F.month("date").cast("double").alias("d"))
+    return sh.shapley_values(lambda df: df.withColumn("prediction", F.expr("a * b / 100 + 3 * c - d * c / 10")),
+                             r.orderBy(F.col("date").desc()).limit(50), r.orderBy("date").limit(1), ["a", "b", "c", "d"], ["date"], None)
+
+
+@register("shapley_summary")
+def q_shapley_summary(spark, sf):
+    """The 15 features that move a boosted forecast most over the last 50 hold-out rows, from sampled orders."""
+    m, feats = _matrix(spark, sf)
+    _, fitted, split = mo.train_models(m, feats, _prices(spark, sf), models=["catboost"], spec=SPEC)
+    last = split.where("role = 'test'").orderBy(F.col("date").desc()).limit(50)
+    back = split.where("role = 'train'").orderBy(F.xxhash64("date")).limit(20)
+    values = sh.shapley_values(fitted["catboost"].transform, last, back, feats, ["date"], 10)
+    return sh.shapley_summary(values, 15)
+
+
 @register("eda_report")
 def q_eda_report(spark, sf):
     """Market report and per-column table report, as (part, row) in long form."""
