@@ -1,4 +1,4 @@
-"""Feature selection: correlation filter and binned mutual information."""
+"""Feature selection: correlation filter and mutual information."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.correlation import corr_long
+from tidemill.operators.neighbour_mi import knn_mutual_information
 from tidemill.operators.stats import part_edges
 
 
@@ -56,7 +57,11 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
 
 
 def top_mutual_information(df: DataFrame, features: Sequence[str], target: str, k: int = 30,
-                           bins: int = 10) -> DataFrame:
-    """Top ``k`` features by binned MI (ties by name) -- a bounded top-k."""
-    mi = mutual_information(df, features, target, bins)
+                           bins: int = 10, method: str = "bins", neighbours: int = 3) -> DataFrame:
+    """Top ``k`` features by mutual information (ties by name) -- a bounded top-k.  ``method``: quantile
+    ``bins``, or the nearest-``neighbours`` estimator."""
+    if method not in ("bins", "neighbours"):
+        raise ValueError(f"method must be bins or neighbours, not {method!r}")
+    mi = (mutual_information(df, features, target, bins) if method == "bins"
+          else knn_mutual_information(df, features, target, neighbours))
     return mi.orderBy(F.col("mi").desc(), F.col("feature")).limit(k)

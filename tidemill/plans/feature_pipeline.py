@@ -31,6 +31,7 @@ class FeatureConfig:
     max_key_columns: int = 10
     corr_threshold: float = 0.98
     max_features: int = 30
+    mi_method: str = "bins"            # or "neighbours"
     selection: bool = True
     mode: str = "auto"
     chunk_rows: int | None = None
@@ -145,7 +146,7 @@ def run_pipeline(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), fit_rows:
                    .where("dropped").select("feature").collect()}
         feats = [c for c in feats if c not in dropped]
         if len(feats) > cfg.max_features:
-            top = top_mutual_information(fit, feats, "y", k=cfg.max_features)
+            top = top_mutual_information(fit, feats, "y", k=cfg.max_features, method=cfg.mi_method)
             keep = {r["feature"] for r in top.collect()}
             feats = [c for c in feats if c in keep]
     out = matrix.select(*cfg.keys, cfg.date_col, *cfg.tie_breakers, *feats, "y")

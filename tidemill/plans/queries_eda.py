@@ -314,6 +314,30 @@ def q_mutual_information(spark, sf):
     return se.mutual_information(m, feats, "y", bins=10)
 
 
+def _knn_mi_sql(k: int = 3) -> str:
+    psi_k = -0.5772156649015329 + sum(1 / i for i in range(1, k))
+    return f"""SELECT * FROM (WITH p AS MATERIALIZED (
+  SELECT 'p' AS feature, p AS x, y, row_number() OVER (ORDER BY date) AS i FROM predictions
+  UNION ALL SELECT 'energy', p * p, y, row_number() OVER (ORDER BY date) FROM predictions),
+s AS MATERIALIZED (SELECT feature, i, x / stddev_pop(x) OVER f AS x, y / stddev_pop(y) OVER f AS y, COUNT(*) OVER f AS n FROM p WINDOW f AS (PARTITION BY feature)),
+d AS MATERIALIZED (SELECT a.feature, a.i, list_sort(min(greatest(abs(a.x - b.x), abs(a.y - b.y)), {k}))[{k}] AS r
+      FROM s a JOIN s b ON a.feature = b.feature AND a.i <> b.i GROUP BY a.feature, a.i),
+c AS MATERIALIZED (SELECT a.feature, a.i, a.n, COUNT(*) FILTER (abs(a.x - b.x) < r OR (r = 0 AND a.x = b.x)) AS nx,
+             COUNT(*) FILTER (abs(a.y - b.y) < r OR (r = 0 AND a.y = b.y)) AS ny
+      FROM s a JOIN d ON a.feature = d.feature AND a.i = d.i JOIN s b ON a.feature = b.feature GROUP BY a.feature, a.i, a.n),
+psi AS MATERIALIZED (SELECT n, -0.5772156649015329 + SUM(CASE WHEN n > 1 THEN 1.0::DOUBLE / (n - 1) ELSE 0 END) OVER (ORDER BY n) AS v
+        FROM (SELECT unnest(range(1, (SELECT max(n) + 1 FROM s))) AS n))
+SELECT feature, greatest(0.0::DOUBLE, any_value(pn.v) + {psi_k!r}::DOUBLE - avg(px.v + py.v)) AS mi
+FROM c JOIN psi px ON px.n = nx JOIN psi py ON py.n = ny JOIN psi pn ON pn.n = c.n GROUP BY feature)"""
+
+
+@register("mutual_information_knn", rounded(with_fixtures(_knn_mi_sql(), "predictions"), ["mi"]))
+def q_mutual_information_knn(spark, sf):
+    """Nearest-neighbour mutual information of today's return, and of its square, with the next day's."""
+    d = fx.predictions(spark, sf).select("y", "p", (F.col("p") * F.col("p")).alias("energy"))
+    return se.knn_mutual_information(d, ["p", "energy"], "y")
+
+
 @register("select_top_mi", _mi_sql(top=10))
 def q_select_top_mi(spark, sf):
     """Top 10 features by mutual information."""
