@@ -44,6 +44,16 @@ def test_warc_export(spark, tmp_path):
     assert text.count(b"WARC/1.1\r\n") == 2 and b"one\r\ntwo\r\n\r\n" in text
 
 
+def test_exported_payloads_stay_whatever_the_url_says(spark, tmp_path):
+    big = "naïve " * 40
+    rows = [(1, "http://a/?q=WARC-Type: revisit", "twelve bytes"), (2, "http://b/", big), (3, "http://c/", big)]
+    archive = warc.write_archive(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    warc.export_warc(archive, str(tmp_path / "w"))
+    text = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part-*")))
+    assert b"Content-Length: 12\r\n\r\ntwelve bytes\r\n\r\n" in text
+    assert text.count(big.encode()) == 1 and text.count(b"WARC/1.1\r\n") == 3
+
+
 def _targets(sizes, weights=(5, 2, 1), cap=3):
     """Share, cap, share the excess again, until none is above."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])

@@ -108,7 +108,8 @@ def parse_records(records: DataFrame) -> DataFrame:
 
 def export_warc(archive: Archive, path: str) -> None:
     """Plain .warc text files: each record ends with a blank line pair, the writer's separator."""
-    whole = F.concat("header", F.when(F.col("header").contains("WARC-Type: revisit"), "")
+    # the header's own line, not the words inside a url
+    whole = F.concat("header", F.when(F.col("header").contains(f"{CRLF}WARC-Type: revisit{CRLF}"), "")
                      .otherwise(F.col("payload").cast("string")))
     (archive.records.join(archive.payloads.select("digest", "payload"), "digest").select(whole.alias("value"))
      .write.option("lineSep", CRLF + CRLF).text(path))
