@@ -35,16 +35,24 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
     Quantile bins: each column is cut at exact order statistics, so heavy tails do not empty
     the bins; equal values share one.  Rows with a null in the pair are ignored for that
     feature.  Map-side partial aggregation reduces the exploded ``(feature, bx, by)`` triples
-    to ``features x bins^2`` rows before the shuffle.
+    to ``features x bins^2`` rows before the shuffle.  The input is computed once and held for the
+    passes over it; the result, one row a feature, is computed at once.
     """
     features = list(features)
+    held = df.select(*dict.fromkeys([*features, target])).persist()
+    try:
+        rows = _binned_information(held, features, target, bins).collect() if features else []   # a row a feature
+    finally:
+        held.unpersist()
+    return df.sparkSession.createDataFrame(rows, "feature string, mi double")
+
+
+def _binned_information(df: DataFrame, features: list[str], target: str, bins: int) -> DataFrame:
     edges = part_edges(df, [*features, target], bins)
     by = _bin(F.col(target), edges[target])
     cells = [F.when(F.col(c).isNotNull() & F.col(target).isNotNull(),
                     F.struct(F.lit(c).alias("feature"), _bin(F.col(c), edges[c]).alias("bx"), by.alias("by")))
              for c in features]
-    if not cells:
-        return df.sparkSession.createDataFrame([], "feature string, mi double")
     trip = df.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("t")).select("t.*")
     joint = trip.groupBy("feature", "bx", "by").agg(F.count(F.lit(1)).alias("nxy"))
     wf = Window.partitionBy("feature")

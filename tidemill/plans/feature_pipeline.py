@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemill.operators.features import rolling_mean_expr, rolling_std_expr
 from tidemill.operators.series import ordered_columns, plan_series
+from tidemill.session import scratch_path
 
 INTERNAL_TARGET = "log_return"
 NEXT_TARGET = "target_next"
@@ -141,6 +142,10 @@ def run_pipeline(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), fit_rows:
     matrix = build_features(df, cfg)
     feats = feature_columns(matrix, cfg)
     if cfg.selection:
+        # selection reads the matrix several times and the result once more: written, it is built once
+        path = scratch_path(df.sparkSession, "features")
+        matrix.write.parquet(path)
+        matrix = df.sparkSession.read.schema(matrix.schema).parquet(path)
         fit = fit_rows if fit_rows is not None else matrix
         dropped = {r["feature"] for r in correlation_filter(fit, feats, cfg.corr_threshold)
                    .where("dropped").select("feature").collect()}
