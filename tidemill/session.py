@@ -16,7 +16,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
-_scratch: list[str] = []  # paths handed out and not yet deleted
+_scratch: list[str] = []  # paths handed out and not yet deleted, oldest first
+_hadoop_conf: list = []  # of the newest session: still serves when the session is stopped
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -81,18 +82,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Queries read such a table lazily, so it stays until ``drop_scratch`` or the program's end."""
     base = ensure_checkpoint_dir(spark)
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _hadoop_conf[:] = [spark._jsc.hadoopConfiguration()]
     if not _scratch:
+        atexit.unregister(drop_scratch)
         atexit.register(drop_scratch, spark)
     _scratch.append(path)
     return path
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete the tables written to ``scratch_path``s; a stopped session leaves them."""
-    while _scratch:
-        path = _scratch.pop()
+def scratch_mark() -> int:
+    """Where the list of scratch tables ends now; ``drop_scratch(since=...)`` starts there."""
+    return len(_scratch)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep_last: int = 0) -> None:
+    """Delete the tables written to ``scratch_path``s from ``since`` on but the ``keep_last`` newest.
+
+    The file system is reached through the JVM, which outlives a stopped session."""
+    gone = _scratch[since:len(_scratch) - keep_last]
+    del _scratch[since:len(_scratch) - keep_last]
+    for path in gone:
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # noqa: BLE001 - the session is gone, nothing can be deleted through it
+            target.getFileSystem(_hadoop_conf[0]).delete(target, True)
+        except Exception:  # noqa: BLE001 - the JVM is gone, nothing can be deleted through it
             return
