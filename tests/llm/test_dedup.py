@@ -228,6 +228,40 @@ def test_embedding_near_dups_against_brute_force(spark):
     assert {r.n_links for r in got} == {2} and {r.component_id for r in got} == {3}
 
 
+def test_embedding_links_with_and_without_a_decaying_spectrum(spark):
+    """Thousands of partners just above the threshold, of doubles, scattered evenly or along few directions."""
+    for spectrum in (np.ones(64), 1 / np.arange(1, 65)):
+        rng = np.random.default_rng(11)
+        base = rng.normal(size=(1500, 64)) * spectrum
+        q = base / np.linalg.norm(base, axis=1, keepdims=True)
+        parts = [q]
+        for k in range(3):
+            z = rng.normal(size=q.shape) * (spectrum if k else 1)
+            z -= (z * q).sum(1, keepdims=True) * q
+            z /= np.linalg.norm(z, axis=1, keepdims=True)
+            parts.append(0.951 * q + np.sqrt(1 - 0.951**2) * z)
+        x = np.vstack(parts) * rng.uniform(0.5, 2, size=(6000, 1))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+        out = embed_dedup.near_duplicates(df).toPandas().sort_values("vec_id")
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        near = u @ u.T >= 0.95
+        np.fill_diagonal(near, False)
+        want = near.sum(1)
+        assert want.sum() > 8000
+        assert (out.n_links.to_numpy() <= want).all() and out.n_links.sum() >= 0.9995 * want.sum()
+
+
+def test_signs_of_partners_differ_little():
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=(20_000, 64)) / np.arange(1, 65)
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = embed_dedup._partners(a, rng.normal(size=a.shape), 0.95)
+    assert np.allclose((a * b).sum(1), 0.95)
+    planes = rng.normal(size=(64, embed_dedup.SIGNS))
+    x, y = (embed_dedup.sign_words(m, planes).view("<u8") for m in (a, b))
+    assert np.bitwise_count(x ^ y).sum(1).max() <= embed_dedup.signs_that_differ(0.95) < 40
+
+
 def test_walk_bounds_never_exceed_the_distance():
     rng = np.random.default_rng(0)
     a, book = rng.normal(size=(300, 8)), rng.normal(size=(20, 8))
@@ -268,6 +302,28 @@ def test_nearest_recall_on_the_table(spark):
     assert hit / total >= 0.9
 
 
+def test_nearest_compares_no_more_than_an_exact_search(spark):
+    """Vectors without structure stay within the exact search's work, clustered ones far below it."""
+    n, share = 12_000, {}
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(300, 64))
+    for name, x in (("even", rng.normal(size=(n, 64))), ("clustered", centres[rng.integers(0, 300, n)] + 0.1 * rng.normal(size=(n, 64)))):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        rows = ann.staged(spark.createDataFrame([(i, i, v.tolist()) for i, v in enumerate(x)], "node bigint, vec_id bigint, vec array<double>"), "t")
+        curves = ann._curves(64, 3)
+        spans = ann._spans(rows, curves, 64)
+        plan = ann.measure(rows.where("vec_id % 20 = 0"), rows, curves, spans, n, 64, 20, 128, 0.97)
+        tiles = ann.ordered_tiles(rows, curves[:plan.orderings], spans, 64, plan.tile, "double").select("curve", "start", "n", "ids").toPandas()
+        assert tiles.n.sum() == n * plan.orderings and tiles.n.max() <= plan.tile
+        compared = 0
+        for _, t in tiles.groupby("curve"):
+            assert sorted(t.start) == np.r_[0, np.cumsum(t.sort_values("start").n)][:-1].tolist()
+            at = np.concatenate([s + np.flatnonzero(np.frombuffer(ids, "<i8") % 20 == 0) for s, ids in zip(t.start, t.ids)])
+            compared += sum(int(((at + plan.window >= s) & (at - plan.window < s + m)).sum()) * m for s, m in zip(t.start, t.n))
+        share[name] = compared / (n * n // 20)
+    assert share["even"] <= 1.0 and share["clustered"] <= 0.5, share
+
+
 def test_hilbert_curve_steps_to_neighbours():
     for d, bits in ((2, 4), (3, 3)):
         side = 1 << bits

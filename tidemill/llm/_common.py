@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import os
 import string
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.session import ensure_checkpoint_dir
+from tidemill.session import scratch_path
 
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -27,9 +26,10 @@ def staged(df: DataFrame, label: str, compression: str | None = None, partition_
     """Write ``df`` as Parquet in the shared checkpoint folder and read it again.
 
     Cuts the lineage at a table that outlives any executor, and gives joins plain scans on
-    both sides, so that adaptive execution can split a skewed key."""
+    both sides, so that adaptive execution can split a skewed key.  The table is one of the
+    session's scratch tables: deleted at the program's end, or by ``drop_scratch`` before."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, label)
     writer = df.write.option("compression", compression) if compression else df.write
     writer.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,11 @@ def valid_vector(v: Column, dims: int) -> Column:
     return F.coalesce(v.isNotNull() & (F.size(v) == dims) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def element_type(df: DataFrame, vec_col: str) -> str:
+    """``float`` for vectors of floats, else ``double``: components keep all their digits."""
+    return "float" if df.schema[vec_col].dataType.simpleString() == "array<float>" else "double"
+
+
 def as_matrix(column: pa.Array, dims: int) -> np.ndarray:
     """An Arrow list column without nulls as a float64 matrix."""
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, dims)

@@ -6,14 +6,19 @@ are its neighbours in rank within a window of each ordering; the windows' result
 ranked by the exact inner product of the original vectors.
 
 The window is measured, not guessed: for a bounded sample of queries the true neighbours are
-found by brute force over all rows, their distance in rank is taken over the orderings, and the
-window is the quantile of the nearest one at the target recall.  Data without structure needs
-wide windows; clustered data narrow ones.
+found by brute force over all rows, and their distance in rank is taken in every ordering.  For
+the first m orderings the window is the quantile, at the target recall, of the distance in the
+nearest of them; the m that compares the fewest rows is searched.  Clustered data take several
+orderings with narrow windows.  Data without structure take one with a wide window, which is
+never more than an exact search but for the rest of a tile at either end.
+
+Orderings are first made of ids alone; vectors are sorted only along those searched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import staged
-from ._vectors import as_matrix, batches_by_run, unpack, valid_vector
+from ._vectors import as_matrix, batches_by_run, element_type, unpack, valid_vector
 
 ORDERINGS = 8
 PROJECTED = 8        # dimensions of a curve
 BITS = 7             # per dimension: keys of 56 bits
 SAMPLE_QUERIES = 128
-TARGET_RECALL = 0.95
-TILE = 4096
+TARGET_RECALL = 0.97
+TILES = (512, 4096)  # rows of a tile: a quarter of the window, within these
+_BLOCK = 4096        # rows scored at a time
 _HEAD = 8192         # best lists a task holds before handing them on
 
 
@@ -160,8 +166,8 @@ def brute_force(rows: DataFrame, queries: np.ndarray, nodes: np.ndarray, dims: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Lists(k)
         for b in batches:
-            for lo in range(0, b.num_rows, TILE):
-                part = b.slice(lo, TILE)
+            for lo in range(0, b.num_rows, _BLOCK):
+                part = b.slice(lo, _BLOCK)
                 node = part.column(0).to_numpy()
                 _scan(best, *shared.value, as_matrix(part.column(1), dims), node, node)
         yield from best.flush()
@@ -182,62 +188,67 @@ def nearest(df: DataFrame, k: int = 20, query_every: int = 20, target_recall: fl
     """
     spark = df.sparkSession
     ok = F.col(id_col).isNotNull() & valid_vector(F.col(vec_col), dims)
+    kind = element_type(df, vec_col)
     rows = staged(df.where(ok).select(F.monotonically_increasing_id().alias("node"), F.col(id_col).cast("bigint").alias("vec_id"),
-                                      F.col(vec_col).cast("array<float>").alias("vec")), "ann-rows")
+                                      F.col(vec_col).cast(f"array<{kind}>").alias("vec")), "ann-rows")
     n = rows.count()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    is_query = F.col("vec_id") % query_every == 0
     curves = _curves(dims, seed)
-    tiles = _ordered_tiles(rows, curves, dims)
-    window = _measure(rows.where(is_query), rows, tiles, dims, k, sample_queries, target_recall)
-    found = staged(_merge(_search(tiles, window, dims, k, query_every), k), "ann-found")
+    spans = _spans(rows, curves, dims)
+    plan = measure(rows.where(F.col("vec_id") % query_every == 0), rows, curves, spans, n, dims, k, sample_queries, target_recall)
+    tiles = ordered_tiles(rows, curves[:plan.orderings], spans, dims, plan.tile, kind)
+    found = staged(_merge(_search(tiles, plan, dims, k, query_every, _PACKED[kind]), k), "ann-found")
     return (found.join(rows.select(F.col("node").alias("q"), F.col("vec_id").alias("query_id")), "q")
             .select("query_id", "rank", F.col("x_id").alias("vec_id"), "score"))
 
 
-def _ordered_tiles(rows: DataFrame, curves: list, dims: int) -> DataFrame:
+_PACKED = {"float": "<f4", "double": "<f8"}
+
+
+def ordered_tiles(rows: DataFrame, curves: list, spans: list[np.ndarray], dims: int, tile: int, kind: str | None) -> DataFrame:
     """The rows of every ordering in curve order, packed into tiles: curve, start (rank of the first
-    row), n, nodes, ids, vecs."""
-    sc = rows.sparkSession.sparkContext
-    spans = _spans(rows, curves, dims)
-    shared = sc.broadcast((curves, spans))
+    row), n, nodes, and with a ``kind`` of vector components ids and vecs."""
+    shared = rows.sparkSession.sparkContext.broadcast((curves, spans))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cs, sp = shared.value
         for b in batches:
-            m = as_matrix(b.column(2), dims)
+            m = as_matrix(b.column(1), dims)
             for c, curve in enumerate(cs):
+                carried = [b.column(0), *([b.column(2), b.column(1)] if kind else [])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(m), c, np.int32)), pa.array(curve_keys(m, curve, sp[c])), *b.columns],
-                    names=["curve", "key", "node", "vec_id", "vec"])
+                    [pa.array(np.full(len(m), c, np.int32)), pa.array(curve_keys(m, curve, sp[c])), *carried],
+                    names=["curve", "key", "node", "vec_id", "vec"][:2 + len(carried)])
 
-    keyed = rows.mapInArrow(key, "curve int, key bigint, node bigint, vec_id bigint, vec array<float>")
+    more = f", vec_id bigint, vec array<{kind}>" if kind else ""
+    keyed = rows.select("node", "vec", "vec_id").mapInArrow(key, "curve int, key bigint, node bigint" + more)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        for curve, t in batches_by_run(batches, TILE):
-            node = t.column("node").to_numpy().astype("<i8")
-            ids = t.column("vec_id").to_numpy().astype("<i8")
-            vec = t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f4")
+        for curve, t in batches_by_run(batches, tile):
+            packed = [t.column("node").to_numpy().astype("<i8")]
+            if kind:
+                packed += [t.column("vec_id").to_numpy().astype("<i8"),
+                           t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(_PACKED[kind])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([curve], pa.int32()), pa.array([part], pa.int32()), pa.array([at], pa.int64()),
-                 pa.array([len(node)], pa.int64()), pa.array([node.tobytes()], pa.binary()),
-                 pa.array([ids.tobytes()], pa.binary()), pa.array([vec.tobytes()], pa.binary())],
-                names=["curve", "part", "seq", "n", "nodes", "ids", "vecs"])
+                 pa.array([len(packed[0])], pa.int64()), *[pa.array([a.tobytes()], pa.binary()) for a in packed]],
+                names=["curve", "part", "seq", "n", "nodes", "ids", "vecs"][:4 + len(packed)])
             at += 1
 
-    tiles = staged(keyed.repartitionByRange("curve", "key", "node").sortWithinPartitions("curve", "key", "node")
-                   .select("curve", "node", "vec_id", "vec")
-                   .mapInArrow(pack, "curve int, part int, seq bigint, n bigint, nodes binary, ids binary, vecs binary"), "ann-tiles")
+    names = ["nodes", "ids", "vecs"] if kind else ["nodes"]
+    tiles = staged(keyed.repartitionByRange("curve", "key", "node").sortWithinPartitions("curve", "key", "node").drop("key")
+                   .mapInArrow(pack, "curve int, part int, seq bigint, n bigint, " + ", ".join(f"{c} binary" for c in names)), "ann-tiles")
     # ranks: rows before a partition (one row each), then those before a tile in its partition
     per_part = tiles.groupBy("curve", "part").agg(F.sum("n").alias("rows"))
     before = per_part.withColumn("before", F.coalesce(F.sum("rows").over(
         Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = tiles.select("curve", "part", "seq", F.coalesce(F.sum("n").over(
         Window.partitionBy("curve", "part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("inside"))
-    starts = inside.join(before, ["curve", "part"]).select("curve", "part", "seq", (F.col("before") + F.col("inside")).alias("start"))
-    return staged(tiles.join(starts, ["curve", "part", "seq"]).select("curve", "start", "n", "nodes", "ids", "vecs"), "ann-ranked")
+    starts = staged(inside.join(before, ["curve", "part"])
+                    .select("curve", "part", "seq", (F.col("before") + F.col("inside")).alias("start")), "ann-starts")
+    return tiles.join(starts, ["curve", "part", "seq"]).select("curve", "start", "n", *names)
 
 
 def _spans(rows: DataFrame, curves: list, dims: int) -> list[np.ndarray]:
@@ -262,11 +273,21 @@ def _spans(rows: DataFrame, curves: list, dims: int) -> list[np.ndarray]:
     return [flat[:, c * d:(c + 1) * d] for c in range(len(curves))]
 
 
-def _measure(queries: DataFrame, rows: DataFrame, tiles: DataFrame, dims: int, k: int, sample: int, target_recall: float) -> int:
-    """Window in ranks at which the target share of the sampled queries' true neighbours is met."""
+@dataclass
+class Plan:
+    orderings: int       # the first of the curves are searched
+    window: int          # in ranks, each way
+    tile: int
+    compared: float      # rows a query is compared with, expected
+
+
+def measure(queries: DataFrame, rows: DataFrame, curves: list, spans: list[np.ndarray], n: int, dims: int, k: int,
+            sample: int, target_recall: float) -> Plan:
+    """Orderings and window that meet the target share of the sampled queries' true neighbours
+    with the fewest rows compared."""
     picked = queries.orderBy(F.xxhash64("vec_id", "node"), "node").limit(sample).select("node", "vec").toPandas()
     if not len(picked):
-        return 0
+        return Plan(1, 0, TILES[0], 0.0)
     q = np.stack(picked["vec"].to_numpy()).astype(np.float64)
     nodes = picked["node"].to_numpy()
     true = staged(brute_force(rows, q, nodes, dims, k).select("q", "x"), "ann-true")
@@ -280,16 +301,30 @@ def _measure(queries: DataFrame, rows: DataFrame, tiles: DataFrame, dims: int, k
                     [pa.array(np.full(len(node), curve, np.int32)), pa.array(node), pa.array(start + np.arange(len(node)))],
                     names=["curve", "node", "at"])
 
-    placed = staged(tiles.select("curve", "start", "nodes").mapInArrow(ranks, "curve int, node bigint, at bigint").join(wanted, "node"), "ann-places")
+    order = ordered_tiles(rows, curves, spans, dims, TILES[1], None).select("curve", "start", "nodes")
+    placed = staged(order.mapInArrow(ranks, "curve int, node bigint, at bigint").join(wanted, "node"), "ann-places")
     pq = placed.select("curve", F.col("node").alias("q"), F.col("at").alias("at_q"))
     px = placed.select("curve", F.col("node").alias("x"), F.col("at").alias("at_x"))
-    gaps = (true.join(pq, "q").join(px, ["curve", "x"]).groupBy("q", "x")
-            .agg(F.min(F.abs(F.col("at_q") - F.col("at_x"))).alias("gap")).select("gap").toPandas()["gap"])  # sample x k
-    return int(np.ceil(np.quantile(gaps, target_recall))) if len(gaps) else 0
+    got = true.join(pq, "q").join(px, ["curve", "x"]).select("q", "x", "curve", "at_q", "at_x").toPandas()  # sample x k x curves
+    if not len(got):
+        return Plan(1, 0, TILES[0], 0.0)
+    got = got.sort_values(["q", "x", "curve"])
+    at_q = got["at_q"].to_numpy().reshape(-1, len(curves))
+    gaps = np.abs(at_q - got["at_x"].to_numpy().reshape(-1, len(curves)))
+    return min((_plan(gaps[:, :m], at_q[:, :m], n, target_recall) for m in range(1, len(curves) + 1)), key=lambda p: p.compared)
+
+
+def _plan(gaps: np.ndarray, at_q: np.ndarray, n: int, target_recall: float) -> Plan:
+    window = int(np.ceil(np.quantile(gaps.min(1), target_recall)))
+    tile = int(np.clip(window // 4, *TILES))
+    seen = np.minimum(at_q + window + tile / 2, n) - np.maximum(at_q - window - tile / 2, 0)  # half a tile more either way
+    return Plan(gaps.shape[1], window, tile, float(seen.sum(1).mean()))
+
 
+def _search(tiles: DataFrame, plan: Plan, dims: int, k: int, query_every: int, packed: str) -> DataFrame:
+    """Candidates (q, x, x_id, score) of every query from the tiles that its own windows touch."""
+    window, tile = plan.window, plan.tile
 
-def _search(tiles: DataFrame, window: int, dims: int, k: int, query_every: int) -> DataFrame:
-    """Candidates (q, x, x_id, score) of every query from all tiles that its windows touch."""
     def queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for curve, start, nodes, ids, vecs in zip(*(c.to_pylist() for c in b.columns)):
@@ -298,24 +333,28 @@ def _search(tiles: DataFrame, window: int, dims: int, k: int, query_every: int)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([curve], pa.int32()), pa.array([start + int(at[0]) - window], pa.int64()),
                          pa.array([start + int(at[-1]) + window], pa.int64()),
+                         pa.array([(start + at).astype("<i8").tobytes()], pa.binary()),
                          pa.array([unpack(nodes, "<i8")[at].tobytes()], pa.binary()),
-                         pa.array([unpack(vecs, "<f4", dims)[at].tobytes()], pa.binary())],
-                        names=["curve", "lo", "hi", "q_nodes", "q_vecs"])
+                         pa.array([unpack(vecs, packed, dims)[at].tobytes()], pa.binary())],
+                        names=["curve", "lo", "hi", "q_at", "q_nodes", "q_vecs"])
 
     asked = staged(tiles.select("curve", "start", "nodes", "ids", "vecs")
-                   .mapInArrow(queries, "curve int, lo bigint, hi bigint, q_nodes binary, q_vecs binary"), "ann-queries")
-    # a tile of at most TILE rows that reaches into [lo, hi] starts after lo - TILE
-    asked = asked.select("curve", F.explode(F.sequence(F.floor((F.col("lo") - TILE + 1) / TILE), F.floor(F.col("hi") / TILE)))
-                         .alias("bucket"), "q_nodes", "q_vecs")
-    met = (asked.join(tiles.withColumn("bucket", F.floor(F.col("start") / TILE)), ["curve", "bucket"])
-           .select("q_nodes", "q_vecs", "nodes", "ids", "vecs"))
+                   .mapInArrow(queries, "curve int, lo bigint, hi bigint, q_at binary, q_nodes binary, q_vecs binary"), "ann-queries")
+    # a tile that reaches into [lo, hi] starts after lo - tile, and no tile starts before rank 0
+    asked = asked.select("curve", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("lo") - tile + 1) / tile)), F.floor(F.col("hi") / tile)))
+                         .alias("bucket"), "q_at", "q_nodes", "q_vecs")
+    met = (asked.join(tiles.withColumn("bucket", F.floor(F.col("start") / tile)), ["curve", "bucket"])
+           .select("q_at", "q_nodes", "q_vecs", "start", "nodes", "ids", "vecs"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Lists(k)
         for b in batches:
-            for q_nodes, q_vecs, nodes, ids, vecs in zip(*(c.to_pylist() for c in b.columns)):
-                _scan(best, unpack(q_vecs, "<f4", dims).astype(np.float64), unpack(q_nodes, "<i8"),
-                      unpack(vecs, "<f4", dims).astype(np.float64), unpack(nodes, "<i8"), unpack(ids, "<i8"))
+            for q_at, q_nodes, q_vecs, start, nodes, ids, vecs in zip(*(c.to_pylist() for c in b.columns)):
+                at, nodes = unpack(q_at, "<i8"), unpack(nodes, "<i8")
+                here = (at + window >= start) & (at - window < start + len(nodes))
+                if here.any():
+                    _scan(best, unpack(q_vecs, packed, dims)[here].astype(np.float64), unpack(q_nodes, "<i8")[here],
+                          unpack(vecs, packed, dims).astype(np.float64), nodes, unpack(ids, "<i8"))
                 yield from best.flush(_HEAD)
         yield from best.flush()
 
