@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemill.llm import mixing, packing, quality, simhash, substring
 from tidemill.llm._common import staged, table
 from tidemill.llm.queries import default_tokenizer
+from tidemill.session import drop_scratch, scratch_mark
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``.  Once a stage is written, what it and the stages before it
+    wrote on the way is deleted, so the disk holds the work of one stage at a time."""
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        drop_scratch(spark, since=mark, keep_last=1)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
