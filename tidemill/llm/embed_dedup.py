@@ -36,7 +36,7 @@ from .components import connected_components, local_forest
 THRESHOLD = 0.95
 TARGET_RECALL = 0.99999
 SAMPLE = 4096            # bound on the vectors that codebooks and the walk's end are fitted on
-ROWS_PER_CELL = 256
+ROWS_PER_CELL = 1024
 MAX_CODEWORDS = 1024
 _PREFIX = (1, 2, 4, 8, 16)  # nearest codewords averaged for the lower bounds
 _PARTNERS = 4            # simulated partners per sampled vector
@@ -103,7 +103,7 @@ def fit_grid(sample: np.ndarray, n_rows: int, threshold: float, target_recall: f
     books = kmeans(sample[:, :half], k, seed), kmeans(sample[:, half:], k, seed + 1)
     rng = np.random.default_rng(seed)
     q = np.repeat(sample, _PARTNERS, axis=0)
-    own = (sample[rng.permutation(len(q)) % len(sample)] - q)      # where the sample's own vectors lie
+    own = sample[rng.permutation(len(q)) % len(sample)] - sample[rng.permutation(len(q)) % len(sample)]
     i, j = _sample_links(sample, threshold)
     partners = [(q, _partners(q, rng.normal(size=q.shape), threshold)), (q, _partners(q, own, threshold)), (sample[i], sample[j])]
     # a little beyond the quantile, as the sample's own extremes are uncertain; never beyond
