@@ -123,7 +123,8 @@ def chunk_texts(texts: list[bytes]) -> list[list[int]]:
     return out + (_cuts(some) if some else [])
 
 
-_WINDOWS = "doc bigint, text_hash bigint, digest bigint, place bigint"
+_WINDOWS = "doc bigint, text_hash bigint, digest bigint, digest_more bigint, place bigint"
+_DIGEST = ["digest", "digest_more"]
 _LEN_BITS = 32  # place: start << 32 | length in bytes, so a row stays short and sorts by start
 
 
@@ -148,8 +149,8 @@ def _windows(t: bytes, cuts: list[int], min_words: int) -> tuple[np.ndarray, np.
 
 
 def document_windows(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every window: doc (the id; without one a number from the text's hash), text_hash, digest
-    (64 bits of BLAKE2b), and place (start, length in bytes)."""
+    """Every window: doc (the id; without one a number from the text's hash), text_hash, digest and
+    digest_more (128 bits of BLAKE2b), and place (start, length in bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = hashlib.blake2b
         for b in batches:
@@ -159,12 +160,13 @@ def document_windows(df: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
                 s, e = _windows(t, cuts, min_words)
                 n.append(len(s))
                 place.append(s << _LEN_BITS | e - s)
-                raw.append(b"".join(digest(t[i:j], digest_size=8).digest() for i, j in zip(s.tolist(), e.tolist())))
+                raw.append(b"".join(digest(t[i:j], digest_size=16).digest() for i, j in zip(s.tolist(), e.tolist())))
             n = np.array(n, dtype=np.int64)
+            halves = np.frombuffer(b"".join(raw), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(b.column(0).to_numpy(), n)), pa.array(np.repeat(b.column(1).to_numpy(), n)),
-                 pa.array(np.frombuffer(b"".join(raw), dtype="<i8")), pa.array(np.concatenate(place))],
-                names=["doc", "text_hash", "digest", "place"])
+                 *[pa.array(np.ascontiguousarray(halves[:, i])) for i in (0, 1)], pa.array(np.concatenate(place))],
+                names=["doc", "text_hash", "digest", "digest_more", "place"])
 
     return df.select(_doc(df[id_col], df[text_col]).alias("doc"), F.xxhash64(df[text_col]).alias("text_hash"),
                      df[text_col].cast("binary").alias("text")).mapInArrow(run, _WINDOWS)
@@ -176,9 +178,9 @@ def _doc(id_col, text_col):
 
 def repeated_spans(windows: DataFrame) -> DataFrame:
     """(doc, text_hash, spans): the byte spans to remove, merged and in order, for texts with any."""
-    firsts = staged(windows.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-                    .where("first_doc < last_doc").select("digest", "first_doc"), "window-firsts")
-    dups = (windows.join(firsts, "digest").where("doc > first_doc")
+    firsts = staged(windows.groupBy(*_DIGEST).agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+                    .where("first_doc < last_doc").select(*_DIGEST, "first_doc"), "window-firsts")
+    dups = (windows.join(firsts, _DIGEST).where("doc > first_doc")
             .groupBy("doc", "text_hash")
             .agg(F.array_sort(F.collect_set("place")).alias("places")))
 
