@@ -200,6 +200,28 @@ def test_chunks_shift_with_insertions():
     assert ends == [substring.chunk_texts([text])[0], [], substring.chunk_texts([moved])[0]] and ends[0][-1] == len(text)
 
 
+def test_simhash_dedup_keeps_the_same_of_rows_that_differ_elsewhere(spark):
+    rows = [(1, "one two three four", s) for s in ("c", "a", None, "b", "a")] + [(2, "one two three four", "z"), (3, "other words are here now", "q")]
+    kept = set()
+    for seed in range(4):
+        shuffled = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
+        df = spark.createDataFrame(shuffled, "doc_id bigint, text string, source string").repartition(seed + 1)
+        kept.add(tuple(sorted(tuple(r) for r in simhash.simhash_dedup(df).collect())))
+    assert len(kept) == 1 and [r[0] for r in kept.pop()] == [1, 3]
+
+
+def test_written_tables_go_with_the_scratch_list(spark):
+    from tidemill.llm._common import staged
+    from tidemill.session import drop_scratch, scratch_mark
+    mark = scratch_mark()
+    first, second = (staged(spark.range(5), n) for n in ("first", "second"))
+    folders = [f.rsplit("/", 1)[0] for f in first.inputFiles()[:1] + second.inputFiles()[:1]]
+    drop_scratch(spark, since=mark, keep_last=1)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    there = [path(f).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(f)) for f in folders]
+    assert there == [False, True] and second.count() == 5 and scratch_mark() == mark + 1
+
+
 def _embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(150, 64))

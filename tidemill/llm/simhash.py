@@ -16,7 +16,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import staged
@@ -199,7 +199,8 @@ def simhash_components(df: DataFrame, radius: int = 3, shingle: int = 3, segment
 def simhash_dedup(df: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row of each component, in the columns of ``df``: the one with the smallest id (null
-    ids last; of rows that repeat it, one text by its hash)."""
+    ids last; of rows that repeat it the one with the smallest hash of the text, then of the
+    whole row but for map columns)."""
     marked = simhash_components(df, radius, shingle, id_col=id_col, text_col=text_col)
     first = marked.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("k"))
@@ -209,4 +210,7 @@ def simhash_dedup(df: DataFrame, radius: int = 3, shingle: int = 3, id_col: str
     rows = df.withColumns({"simhash_no_id": df[id_col].isNull(),
                            "simhash_id": F.coalesce(df[id_col].cast("bigint"), F.lit(0)),
                            "simhash_hash": F.xxhash64(df[text_col])})
-    return rows.join(keep, list(keys)).dropDuplicates(list(keys)).select(*[df[c] for c in df.columns])
+    whole = F.xxhash64(*[df[c] for c, t in df.dtypes if "map<" not in t])
+    first_row = F.row_number().over(Window.partitionBy(*keys).orderBy(whole))   # Spark keeps one row a key before the shuffle
+    return (rows.join(keep, list(keys)).withColumn("simhash_row", first_row).where("simhash_row = 1")
+            .select(*[df[c] for c in df.columns]))
