@@ -1,8 +1,10 @@
 """Histogram ensembles: one task and many, brute force, stopping, refusal of bad rows, persistence."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,62 @@ def test_copies_are_drawn_one_by_one():
     w = bo._weights(rid, 3, bo.TreeSpec(bagged=True))
     assert abs(w.mean() - 1) < 0.05 and abs((w == 0).mean() - np.exp(-1)) < 0.02
     assert abs(bo._weights(rid, 3, bo.TreeSpec(rows=0.7)).mean() - 0.7) < 0.02
+
+
+def _peak(run):
+    """MB that ``run`` takes at most, beside what there was."""
+    tracemalloc.start()
+    run()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most / 1e6
+
+
+def test_a_tree_takes_few_bytes_a_row():
+    rng = np.random.default_rng(1)
+    n, spec = 400_000, bo.TreeSpec(bagged=True, depth=7)
+    bins, grad, rid = rng.integers(0, 64, (n, 14)).astype(np.uint8), rng.normal(size=n), rng.integers(0, 1 << 60, n)
+    # a byte of weight, four of place and some rows' numbers; 400 bytes a row when a level was summed at once
+    assert _peak(lambda: bo.grow_tree(bins, grad, bo._weights(rid, 0, spec), spec, np.ones(14, bool), 64)) < 50
+
+
+def test_histograms_in_parts_are_the_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    n, nodes = 3000, 37
+    bins, node = rng.integers(0, 8, (n, 3)).astype(np.uint8), rng.integers(-1, nodes, n)
+    grad, weight = rng.normal(size=n), rng.integers(1, 4, n).astype(np.uint8)
+    want = np.zeros((2, nodes, 3, 8))
+    for b, at, g, w in zip(bins, node, grad, weight):
+        for f in range(3):
+            if at >= 0:
+                want[:, at, f, b[f]] += g * w, w
+    for cells in (1, 24 * 5, 1 << 20):
+        monkeypatch.setattr(bo, "CELLS", cells)
+        monkeypatch.setattr(bo, "STEP", 700)
+        parts = list(bo.histograms(bins, node, grad, weight, nodes, 8))
+        assert [first for first, _ in parts] == list(range(0, nodes, max(1, cells // 24)))
+        assert np.array_equal(np.concatenate([h for _, h in parts], axis=1), want)
+
+
+def test_a_level_of_many_trees_takes_one_trees_histogram(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, grown = 20_000, bo._Growing(bo.TreeSpec(depth=9))
+    for _ in range(9):
+        grown.grow([(int(rng.integers(14)), int(rng.integers(20, 44)), 1.0)] * len(grown.open), [(0.0, 1.0)] * len(grown.open))
+    bins = rng.integers(0, 64, (n, 14)).astype(np.uint8)
+    batches = [pa.RecordBatch.from_pydict({"bins": [r.tobytes() for r in part], "y": rng.normal(size=len(part)), "rid": rng.integers(0, 1 << 60, len(part)),
+                                           "m0": [True] * len(part)}) for part in np.array_split(bins, 7)]
+    trees, fits = [(0, t) for t in range(64)], [bo.Fit("m", bo.TreeSpec(bagged=True, depth=9), "true")]
+    state, got = [(grown.tree.packed(), grown.open, 14)] * 64, []
+
+    def run():
+        for b in bo._level_sums(iter(batches), trees, state, fits, [{"train": "m0"}], [0.0], [1 / 64], [[]], 64):
+            if set(b.column("job").to_pylist()) == {5}:
+                got.extend(b.select(["node", "feature", "bin", "w"]).to_pylist())
+
+    assert _peak(run) < 100      # 64 trees' together are 470
+    monkeypatch.setattr(bo, "CHUNK_BYTES", 1)
+    assert sum(len(r[0]) for r in bo._chunks(iter(batches))) == n and len(list(bo._chunks(iter(batches)))) == 7
+    rid = np.concatenate([b.column("rid").to_numpy() for b in batches])
+    assert len({(r["node"], r["feature"], r["bin"]) for r in got}) == len(got)      # each cell once
+    assert sum(r["w"] for r in got) == 14 * bo._weights(rid, 5, fits[0].spec).sum(dtype=float)

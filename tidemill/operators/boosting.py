@@ -10,7 +10,9 @@ feature, bin).  Many fits share the table and run together:
   rows down the trees so far, adds up its own histograms, Spark sums them and picks the best
   split of each node; only one row a node comes back to the driver.
 
-Both grow the same trees: draws of rows come from a hash of the row id, not from order.
+Both grow the same trees: draws of rows come from a hash of the row id, not from order.  In both a
+task holds its rows (all of a small table, or ``CHUNK_BYTES`` of a large one), a few bytes more a
+row, and one tree's histogram of ``CELLS`` cells; whatever else it makes is of ``STEP`` rows.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ from tidemill.session import scratch_path
 
 BINS = 64
 LOCAL_BYTES = 64 << 20     # binned rows a task may hold
+CHUNK_BYTES = 32 << 20     # binned rows a task of the distributed path holds at a time
+CELLS = 1 << 18            # histogram cells made at a time
+STEP = 1 << 16             # rows worked on at a time
 TREE_BLOCK = 8             # trees of a forest grown in one task
 MARGIN_ROUNDS = 16         # rounds between written predictions on the distributed path
 PATIENCE = 20              # rounds without a better validation error before boosting stops
@@ -83,13 +88,19 @@ class Tree:
     def walk(self, bins: np.ndarray) -> np.ndarray:
         """The node each row has come down to."""
         feature, cut, left, right = (np.asarray(x) for x in (self.feature, self.cut, self.left, self.right))
-        node = np.zeros(len(bins), dtype=np.int64)
-        rows = np.arange(len(bins))
-        while len(rows):
-            rows = rows[feature[node[rows]] >= 0]
-            at = node[rows]
-            node[rows] = np.where(bins[rows, feature[at]] <= cut[at], left[at], right[at])
-        return node
+        out = np.zeros(len(bins), dtype=np.int32)
+        for s in range(0, len(bins), STEP):
+            some, node = bins[s:s + STEP], out[s:s + STEP]
+            rows = np.arange(len(some))
+            while len(rows):
+                rows = rows[feature[node[rows]] >= 0]
+                at = node[rows]
+                node[rows] = np.where(some[rows, feature[at]] <= cut[at], left[at], right[at])
+        return out
+
+    def packed(self) -> Tree:
+        """The same tree in numpy arrays, an eighth of the size, for tasks."""
+        return Tree(*(np.array(x, np.int32) for x in (self.feature, self.cut, self.left, self.right)), np.array(self.value), np.array(self.gain))
 
 
 @dataclass
@@ -114,11 +125,13 @@ class Ensemble:
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """``df`` with a column of predictions; a row with a null or NaN feature is predicted null."""
+        sent = Ensemble(self.features, self.edges, self.base, self.scale, [t.packed() for t in self.trees])
+
         @F.pandas_udf("double")
         def predict(x):
             import pandas as pd
-            v = np.stack(x.to_numpy()).astype(float) if len(x) else np.empty((0, len(self.features)))   # nulls are NaN here
-            return pd.Series(np.where(np.isnan(v).any(axis=1), np.nan, self.predict(v)))
+            v = np.stack(x.to_numpy()).astype(float) if len(x) else np.empty((0, len(sent.features)))   # nulls are NaN here
+            return pd.Series(np.where(np.isnan(v).any(axis=1), np.nan, sent.predict(v)))
         return df.withColumn(out, predict(F.array(*[F.col(c).cast("double") for c in self.features])))
 
     def importance(self) -> np.ndarray:
@@ -169,11 +182,12 @@ _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1, 12)]))
 
 def _weights(rid: np.ndarray, tree: int, spec: TreeSpec) -> np.ndarray:
     """How often each row counts in a tree: a bootstrap draw (Poisson), or a share of the rows."""
-    if spec.bagged:
-        return np.searchsorted(_POISSON, _uniform(rid, tree, spec.seed)).astype(float)
-    if spec.rows < 1:
-        return (_uniform(rid, tree, spec.seed) < spec.rows).astype(float)
-    return np.ones(len(rid))
+    out = np.ones(len(rid), np.uint8)
+    if spec.bagged or spec.rows < 1:
+        for s in range(0, len(rid), STEP):
+            u = _uniform(rid[s:s + STEP], tree, spec.seed)
+            out[s:s + STEP] = np.searchsorted(_POISSON, u) if spec.bagged else u < spec.rows
+    return out
 
 
 def _columns(n: int, tree: int, spec: TreeSpec) -> np.ndarray:
@@ -187,13 +201,44 @@ def _columns(n: int, tree: int, spec: TreeSpec) -> np.ndarray:
 
 # ---------------------------------------------------------------- growing one level
 
-def histogram(bins: np.ndarray, node: np.ndarray, grad: np.ndarray, weight: np.ndarray, nodes: int, n_bins: int) -> np.ndarray:
-    """(2, nodes, features, bins): sums of weighted gradient and weight over rows in open nodes."""
+def _add(total: np.ndarray | None, at: np.ndarray, x: np.ndarray, size: int) -> np.ndarray:
+    """Sums by place, after ``total``: the same to the last bit as all rows summed at once."""
+    if total is None:
+        return np.bincount(at, x, size)
+    return np.bincount(np.concatenate([np.arange(size), at]), np.concatenate([total, x]), size)
+
+
+def histogram(bins: np.ndarray, node: np.ndarray, grad: np.ndarray, weight: np.ndarray, rows: np.ndarray, first: int, nodes: int,
+              n_bins: int) -> np.ndarray:
+    """(2, nodes, features, bins): sums of weighted gradient and weight over ``rows`` in the open nodes from ``first`` on."""
     f = bins.shape[1]
-    at = ((node[:, None] * f + np.arange(f)) * n_bins + bins).ravel()
-    size = nodes * f * n_bins
-    return np.stack([np.bincount(at, np.repeat(grad * weight, f), size), np.bincount(at, np.repeat(weight, f), size)]
-                    ).reshape(2, nodes, f, n_bins)
+    if len(rows) * f <= STEP:      # few rows: all features in one call
+        w = weight[rows].astype(float)
+        at = (((node[rows].astype(np.int64) - first)[:, None] * f + np.arange(f)) * n_bins + bins[rows]).ravel()
+        return np.stack([np.bincount(at, np.repeat(x, f), nodes * f * n_bins) for x in (grad[rows] * w, w)]).reshape(2, nodes, f, n_bins)
+    total: list = [[None] * f, [None] * f]
+    for s in range(0, len(rows), STEP):
+        r = rows[s:s + STEP]
+        b, w = bins[r], weight[r].astype(float)
+        g, base = grad[r] * w, (node[r].astype(np.int64) - first) * n_bins
+        for k in range(f):
+            at = base + b[:, k]
+            total[0][k], total[1][k] = _add(total[0][k], at, g, nodes * n_bins), _add(total[1][k], at, w, nodes * n_bins)
+    return np.stack([np.stack([x.reshape(nodes, n_bins) for x in t], axis=1) for t in total])
+
+
+def histograms(bins: np.ndarray, node: np.ndarray, grad: np.ndarray, weight: np.ndarray, nodes: int, n_bins: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The first node and the histogram of some open nodes after others, at most CELLS cells (or one
+    node) each; ``node`` is each row's place among the open nodes, -1 for none."""
+    per = max(1, CELLS // (bins.shape[1] * n_bins))
+    rows = np.flatnonzero(node >= 0)
+    if nodes <= per:
+        yield 0, histogram(bins, node, grad, weight, rows, 0, nodes, n_bins)
+        return
+    rows = rows[np.argsort(node[rows], kind="stable")]      # a node's rows stay in their order
+    ends = np.searchsorted(node[rows], np.arange(0, nodes + per, per))
+    for k, first in enumerate(range(0, nodes, per)):
+        yield first, histogram(bins, node, grad, weight, rows[ends[k]:ends[k + 1]], first, min(per, nodes - first), n_bins)
 
 
 def best_splits(hist: np.ndarray, spec: TreeSpec, use: np.ndarray) -> list[tuple[int, int, float] | None]:
@@ -231,34 +276,42 @@ class _Growing:
         self.open, self.level = nxt, self.level + 1
 
 
+def _node_sums(at: np.ndarray, grad: np.ndarray, weight: np.ndarray, nodes: int) -> np.ndarray:
+    """(nodes, 2): sums of weighted gradient and weight over the rows of each open node."""
+    g = w = None
+    for s in range(0, len(at), STEP):
+        r = s + np.flatnonzero(at[s:s + STEP] >= 0)
+        weigh = weight[r].astype(float)
+        g, w = _add(g, at[r], grad[r] * weigh, nodes), _add(w, at[r], weigh, nodes)
+    return np.stack([g, w], axis=1) if len(at) else np.zeros((nodes, 2))
+
+
 def grow_tree(bins: np.ndarray, grad: np.ndarray, weight: np.ndarray, spec: TreeSpec, use: np.ndarray, n_bins: int) -> Tree:
     """One tree on rows held in memory."""
     t = _Growing(spec)
-    inside = weight > 0
-    bins, grad, weight = bins[inside], grad[inside], weight[inside]
-    at = np.zeros(len(bins), dtype=np.int64)     # each row's place among the open nodes, -1 in a leaf
+    at = np.where(weight > 0, np.int32(0), np.int32(-1))     # each row's place among the open nodes, -1 in a leaf or left out
     while t.open:
-        rows = np.flatnonzero(at >= 0)
-        b, n = bins[rows], at[rows]
         before = t.open
-        sums = np.stack([np.bincount(n, grad[rows] * weight[rows], len(before)), np.bincount(n, weight[rows], len(before))], axis=1)
+        sums = _node_sums(at, grad, weight, len(before))
         splits: list = [None] * len(before)
         if t.level < spec.depth:
             able = np.flatnonzero(sums[:, 1] >= max(spec.min_split, 2 * spec.min_leaf))   # others are leaves anyway
-            place = np.full(len(before), -1)
+            place = np.full(len(before) + 1, -1, np.int32)     # the last one is that of rows without a place
             place[able] = np.arange(len(able))
-            some = place[n] >= 0
             if len(able):
-                hist = histogram(b[some], place[n][some], grad[rows][some], weight[rows][some], len(able), n_bins)
-                for i, found in zip(able.tolist(), best_splits(hist, spec, use)):
-                    splits[i] = found
+                for first, hist in histograms(bins, place[at], grad, weight, len(able), n_bins):
+                    for i, found in zip(able[first:].tolist(), best_splits(hist, spec, use)):
+                        splits[i] = found
         t.grow(splits, sums.tolist())
-        place = {node: i for i, node in enumerate(t.open)}
         f, c, lo, hi = (np.array([x[k] for k in before]) for x in (t.tree.feature, t.tree.cut, t.tree.left, t.tree.right))
-        go = np.where(b[np.arange(len(b)), np.maximum(f[n], 0)] <= c[n], lo[n], hi[n])
-        to = np.full(len(t.tree.feature), -1)
-        to[list(place)] = list(place.values())
-        at[rows] = np.where(f[n] >= 0, to[go], -1)
+        to = np.full(len(t.tree.feature), -1, np.int32)
+        to[t.open] = np.arange(len(t.open))
+        for s in range(0, len(at), STEP):
+            part = at[s:s + STEP]
+            rows = np.flatnonzero(part >= 0)
+            n = part[rows]
+            go = np.where(bins[s + rows, np.maximum(f[n], 0)] <= c[n], lo[n], hi[n])
+            part[rows] = np.where(f[n] >= 0, to[go], -1)
     return t.tree
 
 
@@ -270,20 +323,24 @@ def _boost(b: dict, fit: dict, blocks: int = 1, block: int = 0) -> tuple[float,
     if not len(train):
         raise ValueError("no training rows")
     base = float(y[train].mean())
+    unseen, checked = bins[valid], y[valid]
+    if len(train) < len(y):
+        bins, y, rid = bins[train], y[train], rid[train]
     if spec.bagged:
-        trees = [grow_tree(bins[train], y[train] - base, _weights(rid[train], k, spec), spec, _columns(bins.shape[1], k, spec), n_bins)
+        grad = y - base
+        trees = [grow_tree(bins, grad, _weights(rid, k, spec), spec, _columns(bins.shape[1], k, spec), n_bins)
                  for k in range(block, spec.rounds, blocks)]
         return base, 1.0 / spec.rounds, trees
     margin, check = np.full(len(train), base), np.full(len(valid), base)
     trees, best, keep = [], np.inf, 0
     for k in range(spec.rounds):
-        t = grow_tree(bins[train], y[train] - margin, _weights(rid[train], k, spec), spec, _columns(bins.shape[1], k, spec), n_bins)
+        t = grow_tree(bins, y - margin, _weights(rid, k, spec), spec, _columns(bins.shape[1], k, spec), n_bins)
         trees.append(t)
         value = spec.rate * np.asarray(t.value)
-        margin += value[t.walk(bins[train])]
+        margin += value[t.walk(bins)]
         if len(valid):
-            check += value[t.walk(bins[valid])]
-            error = float(((y[valid] - check) ** 2).mean())
+            check += value[t.walk(unseen)]
+            error = float(((checked - check) ** 2).mean())
             if error < best:
                 best, keep = error, k + 1
             elif k + 1 - keep >= PATIENCE:
@@ -409,9 +466,9 @@ def _fit_held(b: Binned, fits: Sequence[Fit], keep: bool) -> dict[str, Ensemble]
                 error = None
                 if job["test"]:
                     test = np.flatnonzero(rows["masks"][job["test"]])
-                    p = np.full(len(test), base)
+                    p, scored = np.full(len(test), base), rows["bins"][test]
                     for t in trees:
-                        p += scale * np.asarray(t.value)[t.walk(rows["bins"][test])]
+                        p += scale * np.asarray(t.value)[t.walk(scored)]
                     error = float(np.sqrt(((rows["y"][test] - p) ** 2).mean())) if len(test) else None
                 made = json.dumps([asdict(t) for t in trees]) if keep else "[]"
                 yield pa.RecordBatch.from_pydict({"fit": [k], "block": [i], "base": [base], "scale": [scale], "error": [error], "trees": [made]},
@@ -489,6 +546,24 @@ def _batch(batch: pa.RecordBatch) -> tuple[np.ndarray, dict]:
     return np.frombuffer(raw, np.uint8).reshape(batch.num_rows, -1), cols
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, dict]]:
+    """The rows of many batches together, up to CHUNK_BYTES, so that a histogram is made of many rows."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > CHUNK_BYTES:
+            yield _together(held)
+            held, size = [], 0
+        held.append(_batch(batch))
+        size += batch.nbytes
+    if held:
+        yield _together(held)
+
+
+def _together(held: list[tuple[np.ndarray, dict]]) -> tuple[np.ndarray, dict]:
+    names = [c for c in held[0][1] if c != "bins"]
+    return np.concatenate([bins for bins, _ in held]), {c: pa.concat_arrays([cols[c] for _, cols in held]) for c in names}
+
+
 def _margin(k: int, bins: np.ndarray, cols: dict, base: float, scale: float, since: list[Tree], rows: np.ndarray) -> np.ndarray:
     """Predictions of fit ``k``: those written, and the trees since."""
     if "margins" in cols:
@@ -513,32 +588,11 @@ def _grow_levels(b: Binned, fits, flags, trees: list[tuple[int, int]], rows: Dat
         [(j, f, float(fits[k].spec.min_leaf), float(fits[k].spec.min_split), float(fits[k].spec.l2)) for j, (k, _) in enumerate(trees)
          for f in np.flatnonzero(use[j]).tolist()], "job int, feature int, min_leaf double, min_split double, l2 double")
     while any(g.open for g in growing):
-        state = [(g.tree, g.open) for g in growing]
+        # a leaf at full depth needs its sums only, which any one feature has
+        state = [(g.tree.packed(), g.open, 1 if g.level >= g.spec.depth else len(b.features)) for g in growing]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total: dict[int, np.ndarray] = {}
-            for batch in batches:
-                bins, cols = _batch(batch)
-                rid, y = cols["rid"].to_numpy(), cols["y"].to_numpy()
-                for j, ((k, number), (tree, nodes)) in enumerate(zip(trees, state)):
-                    if not nodes:
-                        continue
-                    at = np.flatnonzero(cols[flags[k]["train"]].to_numpy(zero_copy_only=False).astype(bool))
-                    weight = _weights(rid[at], number, fits[k].spec)
-                    at, weight = at[weight > 0], weight[weight > 0]
-                    place = np.full(len(tree.feature), -1)
-                    place[nodes] = np.arange(len(nodes))
-                    node = place[tree.walk(bins[at])]
-                    at, weight, node = at[node >= 0], weight[node >= 0], node[node >= 0]
-                    if len(at):
-                        grad = y[at] - _margin(k, bins, cols, bases[k], scales[k], since[k], at)
-                        h = histogram(bins[at], node, grad, weight, len(nodes), n_bins)
-                        total[j] = total[j] + h if j in total else h
-            for j, h in total.items():
-                n, f, c = np.nonzero(h[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), j, np.int32)), *(pa.array(x.astype(np.int32)) for x in (n, f, c)), pa.array(h[0][n, f, c]), pa.array(h[1][n, f, c])],
-                    names=["job", "node", "feature", "bin", "g", "w"])
+            return _level_sums(batches, trees, state, fits, flags, bases, scales, since, n_bins)
 
         sums = (rows.select(*_columns_of(b, rows)).mapInArrow(run, "job int, node int, feature int, bin int, g double, w double")
                 .groupBy("job", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("w").alias("w")))
@@ -562,6 +616,34 @@ def _grow_levels(b: Binned, fits, flags, trees: list[tuple[int, int]], rows: Dat
     return [g.tree for g in growing]
 
 
+def _level_sums(batches: Iterator[pa.RecordBatch], trees: list[tuple[int, int]], state: list[tuple[Tree, list[int], int]], fits, flags, bases,
+                scales, since, n_bins: int) -> Iterator[pa.RecordBatch]:
+    """The histograms of a task's rows, handed on a part of a tree at a time; ``state`` has each tree,
+    its open nodes and of how many features."""
+    for bins, cols in _chunks(batches):
+        rid, y = cols["rid"].to_numpy(), cols["y"].to_numpy()
+        weight, grad, node = np.zeros(len(bins), np.uint8), np.zeros(len(bins)), np.full(len(bins), -1, np.int32)
+        for j, ((k, number), (tree, nodes, width)) in enumerate(zip(trees, state)):
+            if not nodes:
+                continue
+            place = np.full(len(tree.feature), -1, np.int32)
+            place[nodes] = np.arange(len(nodes))
+            node[:] = -1
+            at = np.flatnonzero(cols[flags[k]["train"]].to_numpy(zero_copy_only=False).astype(bool))
+            for s in range(0, len(at), STEP):
+                some = at[s:s + STEP]
+                weight[some] = _weights(rid[some], number, fits[k].spec)
+                some = some[weight[some] > 0]
+                node[some] = place[tree.walk(bins[some])]
+                some = some[node[some] >= 0]
+                grad[some] = y[some] - _margin(k, bins, cols, bases[k], scales[k], since[k], some)
+            for first, h in histograms(bins[:, :width], node, grad, weight, len(nodes), n_bins):
+                n, f, c = np.nonzero(h[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), j, np.int32)), *(pa.array(x.astype(np.int32)) for x in (n + first, f, c)),
+                     pa.array(h[0][n, f, c]), pa.array(h[1][n, f, c])], names=["job", "node", "feature", "bin", "g", "w"])
+
+
 def _errors(b: Binned, fits, flags, which: list[int], role: str, rows: DataFrame, bases, since) -> dict[int, float | None]:
     """Mean squared error of the fits ``which`` on their rows of ``role``."""
     scales = _scales(fits)
