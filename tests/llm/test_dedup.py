@@ -309,6 +309,40 @@ def test_nearest_against_brute_force(spark):
     assert ann.nearest(few.limit(0)).count() == 0
 
 
+def _joins(df):
+    """The joins as Spark plans them before it has run anything."""
+    return [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+
+
+def test_nearest_shuffles_copies_of_queries_once_a_bucket(spark, monkeypatch):
+    """Copies of the queries' vectors are not broadcast, few in a wide window, and meet all of it."""
+    monkeypatch.setattr(ann, "TILES", (8, 16))
+    n, k = 2_000, 5
+    x = np.random.default_rng(4).normal(size=(n, 64))
+    rows = ann.staged(spark.createDataFrame([(i, i, v.tolist()) for i, v in enumerate(x)], "node bigint, vec_id bigint, vec array<double>"), "t")
+    curves = ann._curves(64, 3)[:1]
+    tiles = ann.ordered_tiles(rows, curves, ann._spans(rows, curves, 64), 64, 16, "double")
+    rank = np.zeros(n, dtype=int)
+    for t in tiles.select("start", "nodes").collect():
+        rank[np.frombuffer(t.nodes, "<i8")] = t.start + np.arange(len(t.nodes) // 8)
+    for window, bucket in ((40, 16), (800, 50)):
+        plan = ann.Plan(1, window, 16, 0.0)
+        found = ann._search(tiles, plan, 64, k, 20, "<f8")
+        joins = [j for j in _joins(found) if "bucket" in j]
+        assert len(joins) == 1 and "SortMergeJoin" in joins[0], joins
+        assert plan.bucket == bucket
+        best = {}
+        for r in ann._merge(found, k).collect():
+            best.setdefault(r.q, []).append(r.x)
+        assert sorted(best) == list(range(0, n, 20))
+        for q, got in best.items():
+            s = x @ x[q]
+            inside = np.sort(s[(np.abs(rank - rank[q]) <= window) & (np.arange(n) != q)])[-k:]
+            assert len(set(got)) == k and (np.sort(s[got]) >= inside - 1e-9).all()   # whole tiles: the window's best or better
+    few = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:100])], "vec_id bigint, embedding array<double>")
+    assert "SortMergeJoin" in _joins(ann.nearest(few))[0]
+
+
 def test_nearest_recall_on_the_table(spark):
     sf = "/root/testdata/sf0.1"
     out = queries.QUERIES["op6_nearest_neighbours"](spark, sf).toPandas()

@@ -35,6 +35,7 @@ BITS = 7             # per dimension: keys of 56 bits
 SAMPLE_QUERIES = 128
 TARGET_RECALL = 0.97
 TILES = (512, 4096)  # rows of a tile: a quarter of the window, within these
+BUCKET = 16          # a bucket is the window over this, within 1 and this many tiles
 _BLOCK = 4096        # rows scored at a time
 _HEAD = 8192         # best lists a task holds before handing them on
 
@@ -199,7 +200,7 @@ def nearest(df: DataFrame, k: int = 20, query_every: int = 20, target_recall: fl
     plan = measure(rows.where(F.col("vec_id") % query_every == 0), rows, curves, spans, n, dims, k, sample_queries, target_recall)
     tiles = ordered_tiles(rows, curves[:plan.orderings], spans, dims, plan.tile, kind)
     found = staged(_merge(_search(tiles, plan, dims, k, query_every, _PACKED[kind]), k), "ann-found")
-    return (found.join(rows.select(F.col("node").alias("q"), F.col("vec_id").alias("query_id")), "q")
+    return (found.hint("merge").join(rows.select(F.col("node").alias("q"), F.col("vec_id").alias("query_id")), "q")
             .select("query_id", "rank", F.col("x_id").alias("vec_id"), "score"))
 
 
@@ -280,6 +281,11 @@ class Plan:
     tile: int
     compared: float      # rows a query is compared with, expected
 
+    @property
+    def bucket(self) -> int:
+        """In ranks: a query's vector is copied once for each that its window touches."""
+        return int(np.clip(self.window // BUCKET, self.tile, BUCKET * self.tile))
+
 
 def measure(queries: DataFrame, rows: DataFrame, curves: list, spans: list[np.ndarray], n: int, dims: int, k: int,
             sample: int, target_recall: float) -> Plan:
@@ -323,7 +329,7 @@ def _plan(gaps: np.ndarray, at_q: np.ndarray, n: int, target_recall: float) -> P
 
 def _search(tiles: DataFrame, plan: Plan, dims: int, k: int, query_every: int, packed: str) -> DataFrame:
     """Candidates (q, x, x_id, score) of every query from the tiles that its own windows touch."""
-    window, tile = plan.window, plan.tile
+    window, tile, bucket = plan.window, plan.tile, plan.bucket
 
     def queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -341,9 +347,10 @@ def _search(tiles: DataFrame, plan: Plan, dims: int, k: int, query_every: int, p
     asked = staged(tiles.select("curve", "start", "nodes", "ids", "vecs")
                    .mapInArrow(queries, "curve int, lo bigint, hi bigint, q_at binary, q_nodes binary, q_vecs binary"), "ann-queries")
     # a tile that reaches into [lo, hi] starts after lo - tile, and no tile starts before rank 0
-    asked = asked.select("curve", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("lo") - tile + 1) / tile)), F.floor(F.col("hi") / tile)))
+    asked = asked.select("curve", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("lo") - tile + 1) / bucket)), F.floor(F.col("hi") / bucket)))
                          .alias("bucket"), "q_at", "q_nodes", "q_vecs")
-    met = (asked.join(tiles.withColumn("bucket", F.floor(F.col("start") / tile)), ["curve", "bucket"])
+    # Spark sizes the copies as the one row they come from, and would broadcast all of them
+    met = (asked.hint("merge").join(tiles.withColumn("bucket", F.floor(F.col("start") / bucket)), ["curve", "bucket"])
            .select("q_at", "q_nodes", "q_vecs", "start", "nodes", "ids", "vecs"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
