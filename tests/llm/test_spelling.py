@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 
@@ -82,6 +83,22 @@ def test_dense_vocabulary_at_any_alphabet(spark, monkeypatch):
     assert sorted(small) == sorted(c for _, cs in spelling.neighbour_codes(word, table, 4) for c in cs.tolist())
 
 
+def _joins(df):
+    """The joins as Spark plans them before it has run anything."""
+    return [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+
+
+def test_tables_of_words_are_not_broadcast(spark):
+    """Neighbours found are many times the words by whose table Spark sizes them."""
+    words = ["".join(w) for w in product("ab", repeat=6)]
+    near = spelling.near_words(spark.createDataFrame([(w, 9) for w in words], "word string, n bigint"))
+    joins = _joins(near)
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0], joins
+    assert near.count() == 6 * len(words)
+    joins = _joins(spelling.spelling_forms(spark.createDataFrame([(1, "colour " * 50 + "colours " * 5)], "doc_id bigint, text string")))
+    assert len(joins) == 2 and all("SortMergeJoin" in j for j in joins), joins
+
+
 def test_neighbourhood_is_full_and_once():
     table = spelling.symbol_table(3)
     letter = {}

@@ -222,7 +222,8 @@ def near_words(vocab: DataFrame, symbols: int = SYMBOLS, bits: int = TABLE_BITS)
 
     found = coded.select("word", "n").mapInArrow(generate, "word string, n bigint, code bigint")
     others = coded.select("code", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return found.join(others, "code").where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
+    # Spark sizes all neighbours found as the words they come from, and would broadcast them
+    return found.hint("merge").join(others, "code").where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -231,7 +232,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     at = staged(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         up = at.select(F.col("word").alias("root"), F.col("root").alias("up"))
-        nxt = staged(at.join(up, "root", "left").select("word", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")),
+        nxt = staged(at.hint("merge").join(up, "root", "left").select("word", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")),
                      "spelling-roots")
         at = nxt.select("word", "root")
         if nxt.where("moved").isEmpty():
@@ -254,6 +255,7 @@ def spelling_forms(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     near = staged(near.select("word", "n_near", F.when(enough, F.col("top")["near"]).alias("form"),
                               F.when(enough, -F.col("top")["minus"]).alias("form_n")), "spelling-near")
     roots = _roots(near.where("form is not null"))
-    return (vocab.join(near, "word", "left").join(roots, "word", "left")
+    # packed files of words take several times their size in memory: merged too, not broadcast
+    return (vocab.join(near.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                     F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form_n"))
